@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing, simhash
+from . import bpe, packing, rules, simhash
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -33,8 +33,12 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.query(table(spark, sf_dir, "documents"))
 
 
+def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_packing": op2_packing, "op7_bpe": op7_bpe, "op10_simhash": op10_simhash}
+    return {"op2_packing": op2_packing, "op4_quality_rules": op4_quality_rules, "op7_bpe": op7_bpe, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
