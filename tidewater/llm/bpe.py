@@ -2,7 +2,7 @@
 
 Every word of a batch is inserted once. Words in sorted order are the depth-first order of their
 trie, so the walk needs only the states of the current path: for each prefix, the last token of its
-encoding. That token is the only vocabulary entry that ends the prefix and may stand next to the
+encoding. An automaton over the vocabulary lists the tokens that end a prefix; the last token is the only vocabulary entry that ends the prefix and may stand next to the
 last token of what is left of it; a shared prefix is therefore encoded once. Two tokens may be
 neighbours if no merge crosses their border at any time while both are being built.
 """
@@ -11,6 +11,8 @@ from __future__ import annotations
 
 import json
 import re
+import struct
+import unicodedata
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -25,12 +27,22 @@ WORD_END = "</w>"
 # White space of the tokenizer's normalizer (Unicode White_Space).
 SPACE = "".join(map(chr, [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 _SPACE_RUN = re.compile(f"[{SPACE}]+")
-_NOT_SPACE_FOR_US = re.compile("[\x1c-\x1f]")  # str.split() would split there
-_PIECE = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^{SPACE}a-z0-9]+")  # of lower-cased ASCII
-#: Chunks remembered by a Python worker; beyond it the memory starts anew.
-CACHE_CHUNKS = 250_000
+_SHORT = "'s|'t|'re|'ve|'m|'ll|'d"
+_LATIN_END = "\u0250"
+
+
+def _class(kind: str) -> str:
+    """The lower-case Latin code points of a general category, for a character class."""
+    return re.escape("".join(c for c in map(chr, range(ord(_LATIN_END))) if unicodedata.category(c)[0] == kind))
+
+
+# Letters, digits and quotes start different alternatives, so that the common case may come first.
+_ASCII_PIECE = re.compile(rf"[a-z]+|{_SHORT}|[0-9]|[^{SPACE}a-z0-9]+")
+_LATIN_PIECE = re.compile(rf"[{_class('L')}]+|{_SHORT}|[{_class('N')}]|[^{SPACE}{_class('L')}{_class('N')}]+")
+#: Words remembered by a Python worker; beyond it the memory starts anew.
+CACHE_WORDS = 600_000
 #: Characters whose words are held at a time.
-SEGMENT_CHARS = 1 << 20
+SEGMENT_CHARS = 1 << 21
 NEVER = 1 << 60
 
 
@@ -43,6 +55,10 @@ def byte_alphabet() -> list[str]:
     return [stand_in[b] for b in range(256)]
 
 
+def _pack_ids(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordBpe:
     """Encoder and decoder of a word-end BPE file (``tokenizers`` JSON)."""
 
@@ -62,16 +78,54 @@ class WordBpe:
             self.rank[left, right] = rank
             parts[self.vocab[a + b]] = (left, right, rank)
         self.parts = parts
-        plain = [s for s in self.vocab if not s.endswith(WORD_END) or s == WORD_END]
-        self.inner = {s: self.vocab[s] for s in plain}
-        self.final = {s[: -len(WORD_END)]: i for s, i in self.vocab.items() if s.endswith(WORD_END) and s != WORD_END}
-        self.width = {i: len(s) for s, i in self.inner.items()} | {i: len(s) for s, i in self.final.items()}
-        self.longest_inner = max(map(len, self.inner))
-        self.longest_final = max(map(len, self.final))
+        self.width: dict[int, int] = {}
+        self._automaton()
         self.bytes = byte_alphabet()
+        self.byte_of = {c: b for b, c in enumerate(self.bytes)}
         self.rules = Tokenizer.from_file(path)
-        self._fits: dict[tuple[int, int], bool] = {}
-        self._chunks: dict[str, bytes] = {}
+        self._fits: dict[int, bool] = {}
+        self._ids: dict[str, bytes] = {}
+
+    def _automaton(self) -> None:
+        """States are the prefixes of vocabulary strings; each knows the tokens that are its suffixes, longest first."""
+        self.step: dict[int, int] = {}  # (state, character) -> state
+        self.inner_at: list[tuple[int, ...]] = [()]
+        self.final_at: list[tuple[int, ...]] = [()]
+        chars, parent, inner, final = [0], [0], {}, {}
+        for name, token in self.vocab.items():
+            ends = name.endswith(WORD_END) and name != WORD_END
+            text, at = name[: -len(WORD_END)] if ends else name, 0
+            self.width[token] = len(text)
+            for c in text:
+                key = at << 16 | ord(c)
+                if (to := self.step.get(key)) is None:
+                    to = self.step[key] = len(chars)
+                    chars.append(ord(c))
+                    parent.append(at)
+                at = to
+            (final if ends else inner)[at] = token
+        # Breadth first: the longest proper suffix of a state that is a state, too.
+        depth = [0] * len(chars)
+        for at in range(1, len(chars)):
+            depth[at] = depth[parent[at]] + 1
+        self.back = [0] * len(chars)
+        self.inner_at += [()] * (len(chars) - 1)
+        self.final_at += [()] * (len(chars) - 1)
+        for at in sorted(range(1, len(chars)), key=depth.__getitem__):
+            to = self._step(self.back[parent[at]], chars[at]) if parent[at] else 0
+            self.back[at] = to
+            self.inner_at[at] = ((inner[at],) if at in inner else ()) + self.inner_at[to]
+            self.final_at[at] = ((final[at],) if at in final else ()) + self.final_at[to]
+
+    def _step(self, at: int, char: int) -> int:
+        """The state after ``char``; what the vocabulary doesn't continue falls back to a suffix."""
+        key = at << 16 | char
+        to = self.step.get(key)
+        if to is None:
+            to = self._step(self.back[at], char) if at else 0
+            if at and len(self.step) < 2_000_000:
+                self.step[key] = to
+        return to
 
     def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
         """The tokens that stand at one edge while ``token`` is built, each with the rank of the merge that ends it."""
@@ -84,7 +138,7 @@ class WordBpe:
 
     def fits(self, left: int, right: int) -> bool:
         """Whether no merge crosses the border of ``left`` and ``right``."""
-        known = self._fits.get((left, right))
+        known = self._fits.get(left << 20 | right)
         if known is None:
             known, edge = True, self._edge(right, 0)
             for a, a_until in self._edge(left, 1):
@@ -94,72 +148,71 @@ class WordBpe:
                         known = False
             if len(self._fits) > 1_000_000:
                 self._fits.clear()
-            self._fits[left, right] = known
+            self._fits[left << 20 | right] = known
         return known
 
     def encode_words(self, words: Iterable[str]) -> dict[str, list[int]]:
         """Token ids of each distinct word (in the byte alphabet, not empty); words share the work on common prefixes."""
         out: dict[str, list[int]] = {}
-        last: list[int] = [-1]  # by depth on the current path: the last token of that prefix
-        before = ""
-        inner, final, width, fits = self.inner, self.final, self.width, self.fits
+        last, states = [-1], [0]  # by depth on the current path: last token of that prefix, state
+        before, width, fits = "", self.width, self._fits
+        steps, inner_at, final_at = self.step, self.inner_at, self.final_at
         for word in sorted(words):
             n, depth, most = len(word), 0, min(len(word), len(before)) - 1
             while depth < most and word[depth] == before[depth]:
                 depth += 1
-            del last[depth + 1 :]
-            for d in range(depth + 1, n):
-                for size in range(min(d, self.longest_inner), 0, -1):
-                    token = inner.get(word[d - size : d])
-                    if token is not None and (size == d or fits(last[d - size], token)):
-                        last.append(token)
+            del last[depth + 1 :], states[depth + 1 :]
+            at = states[depth]
+            for d in range(depth + 1, n + 1):
+                char = ord(word[d - 1])
+                to = steps.get(at << 16 | char)
+                at = self._step(at, char) if to is None else to
+                for token in inner_at[at] if d < n else final_at[at]:
+                    rest = d - width[token]
+                    if rest == 0:
+                        break
+                    fit = fits.get(last[rest] << 20 | token)
+                    if self.fits(last[rest], token) if fit is None else fit:
                         break
                 else:
                     raise ValueError("the vocabulary lacks a byte")
-            for size in range(min(n, self.longest_final), 0, -1):
-                token = final.get(word[n - size :])
-                if token is not None and (size == n or fits(last[n - size], token)):
-                    break
-            else:
-                raise ValueError("the vocabulary lacks a final byte")
-            ids, at = [token], n - size
-            while at:
-                ids.append(last[at])
-                at -= width[last[at]]
+                if d < n:
+                    last.append(token)
+                    states.append(at)
+            ids = [token]
+            while rest:
+                ids.append(last[rest])
+                rest -= width[last[rest]]
             ids.reverse()
             out[word] = ids
             before = word
         return out
 
-    def _pieces(self, chunk: str) -> list[str]:
-        """Words of a chunk without white space, in the byte alphabet.
+    def _pieces(self, text: str) -> list[str]:
+        """Normalized words of a text, in order.
 
-        Beyond ASCII the file's own normalizer and splitter decide, so that their Unicode tables hold.
+        Latin texts are split here; beyond them the file's own rules decide, so that their Unicode tables hold.
         """
-        if not chunk.isascii():
-            text = self.rules.normalizer.normalize_str(chunk) if self.rules.normalizer else chunk
-            return [p for p, _ in self.rules.pre_tokenizer.pre_tokenize_str(text)]
-        chunk = chunk.lower()
-        # The byte alphabet leaves printable ASCII alone.
-        found = [chunk] if chunk.isalpha() else _PIECE.findall(chunk)
-        if chunk.isprintable():
-            return found
-        names = self.bytes
-        return ["".join([names[b] for b in p.encode()]) for p in found]
-
-    def _learn(self, chunks: set[str]) -> None:
-        """Makes sure that the memory holds all ``chunks``."""
-        known = self._chunks
-        if len(known) + len(chunks) > CACHE_CHUNKS:
+        if text.isascii():
+            return _ASCII_PIECE.findall(text.lower())
+        if max(text) < _LATIN_END:
+            return _LATIN_PIECE.findall(unicodedata.normalize("NFC", text).lower())
+        text = self.rules.normalizer.normalize_str(text) if self.rules.normalizer else text
+        back = self.byte_of
+        return [bytes([back[c] for c in p]).decode("utf-8") for p, _ in self.rules.pre_tokenizer.pre_tokenize_str(text)]
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Makes sure that the memory holds all ``pieces``."""
+        known, names = self._ids, self.bytes
+        if len(known) + len(pieces) > CACHE_WORDS:
             known.clear()
-        chunks = {c for c in chunks if c and c not in known}
-        pieces = {c: self._pieces(c) for c in chunks}
-        ids = self.encode_words({p for ps in pieces.values() for p in ps})
-        for c, ps in pieces.items():
-            self._chunks[c] = np.array([i for p in ps for i in ids[p]], dtype="<u4").tobytes()
+        shown = {p: p if p.isascii() and p.isprintable() else "".join([names[b] for b in p.encode("utf-8")]) for p in pieces if p not in known}
+        ids = self.encode_words(shown.values())
+        for p, word in shown.items():
+            known[p] = _pack_ids(ids[word])
 
     def _parts_of(self, text: str) -> Iterator[list[str] | int]:
-        """Lists of chunks and ids of special tokens, in order; no list covers much more than SEGMENT_CHARS."""
+        """Lists of words and ids of special tokens, in order; no list covers much more than SEGMENT_CHARS."""
         for part in self.special_split.split(text) if self.special_split and "<|" in text else (text,):
             if part in self.special:
                 yield self.special[part]
@@ -170,26 +223,22 @@ class WordBpe:
                 if end < len(part):
                     space = _SPACE_RUN.search(part, end)
                     end = space.start() if space else len(part)
-                segment = part[at:end]
-                yield _SPACE_RUN.split(segment) if _NOT_SPACE_FOR_US.search(segment) else segment.split()
+                yield self._pieces(part[at:end])
                 at = end
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text, little-endian unsigned 32-bit."""
         out: list[bytes] = []
-        waiting: list[list[str] | int] = []
-        lengths: list[int] = []
+        waiting: list[list[list[str] | int]] = []
         held = 0
 
         def flush() -> None:
             nonlocal held
-            self._learn({c for p in waiting if not isinstance(p, int) for c in p})
-            get, at = self._chunks, 0
-            for n in lengths:
-                out.append(b"".join([p.to_bytes(4, "little") if isinstance(p, int) else b"".join([get[c] for c in p if c]) for p in waiting[at : at + n]]))
-                at += n
+            self._learn(set().union(*(part for parts in waiting for part in parts if not isinstance(part, int))))
+            get = self._ids.__getitem__
+            for parts in waiting:
+                out.append(b"".join([p.to_bytes(4, "little") if isinstance(p, int) else b"".join(map(get, p)) for p in parts]))
             waiting.clear()
-            lengths.clear()
             held = 0
 
         for text in texts:
@@ -197,16 +246,12 @@ class WordBpe:
                 flush()
                 ids = []
                 for part in self._parts_of(text):
-                    if isinstance(part, int):
-                        ids.append(part.to_bytes(4, "little"))
-                    else:
-                        self._learn(set(part))
-                        ids.append(b"".join([self._chunks[c] for c in part if c]))
+                    waiting.append([part])
+                    flush()
+                    ids.append(out.pop())
                 out.append(b"".join(ids))
                 continue
-            parts = list(self._parts_of(text))
-            waiting.extend(parts)
-            lengths.append(len(parts))
+            waiting.append(list(self._parts_of(text)))
             held += len(text)
             if held >= SEGMENT_CHARS:
                 flush()
