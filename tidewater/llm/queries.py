@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, packing, pii, rules, simhash
+from . import bpe, digest, packing, pii, rules, simhash
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -37,12 +37,16 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest.query(table(spark, sf_dir, "documents"))
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.query(table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_packing": op2_packing, "op4_quality_rules": op4_quality_rules, "op6_pii": op6_pii, "op7_bpe": op7_bpe, "op10_simhash": op10_simhash}
+    return {"op2_packing": op2_packing, "op4_quality_rules": op4_quality_rules, "op5_fingerprints": op5_fingerprints, "op6_pii": op6_pii, "op7_bpe": op7_bpe, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:
