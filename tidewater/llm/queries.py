@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, digest, packing, pii, rules, simhash
+from . import bpe, digest, packing, pii, rules, simhash, suffix
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -33,6 +33,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.query(table(spark, sf_dir, "documents"))
 
 
+def op3_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix.query(table(spark, sf_dir, "documents"))
+
+
 def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -46,7 +50,7 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_packing": op2_packing, "op4_quality_rules": op4_quality_rules, "op5_fingerprints": op5_fingerprints, "op6_pii": op6_pii, "op7_bpe": op7_bpe, "op10_simhash": op10_simhash}
+    return {"op2_packing": op2_packing, "op3_repeats": op3_repeats, "op4_quality_rules": op4_quality_rules, "op5_fingerprints": op5_fingerprints, "op6_pii": op6_pii, "op7_bpe": op7_bpe, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:

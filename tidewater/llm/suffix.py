@@ -231,7 +231,7 @@ def answer(table: pa.Table) -> pa.Table:
 
 
 def cut_out(table: pa.Table, told: pa.Table, shards: int) -> pa.Table:
-    """Of a block: each document's removed spans and remaining bytes. ``told`` has the shared minimizers and the answers."""
+    """Of a block: each document's removed spans, remaining bytes and other columns. ``told`` has the shared minimizers and the answers."""
     shared = told.filter(pa.compute.is_valid(told.column("hashes")))
     least: dict[tuple[int, bytes], None] = {}
     docs = list(_candidates(table, shared))
@@ -258,14 +258,17 @@ def cut_out(table: pa.Table, told: pa.Table, shards: int) -> pa.Table:
         kept = np.frombuffer(data, np.uint8)[~gone].tobytes() if len(edge) else data
         rows.append((doc, [{"start": x, "stop": y} for x, y in edge.reshape(-1, 2).tolist()], kept))
     kinds = (("id", pa.int64()), ("removed", pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))), ("kept", pa.binary()))
-    return pa.table({n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate(kinds)})
+    out = pa.table({n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate(kinds)})
+    for name in table.column_names[3:]:
+        out = out.append_column(name, table.column(name))
+    return out
 
 
 REMOVED = "array<struct<start:long,stop:long>>"
 
 
-def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, removed, kept): the byte spans of each text that earlier documents hold, and the remaining bytes.
+def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry: tuple[str, ...] = ()) -> DataFrame:
+    """(id, removed, kept, *carry): the byte spans of each text that earlier documents hold, the remaining bytes, other columns.
 
     A byte is removed if a string of 50 bytes covers it that also starts in a document with a smaller
     id; texts count as they come in. Null texts are empty. Rows with equal ids keep a row each and don't
@@ -274,16 +277,43 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     size = text_bytes(docs, text_col)
     blocks = max(shuffle_parts(docs.sparkSession), size // BLOCK_BYTES + 1)
     shards = max(shuffle_parts(docs.sparkSession), size // SHARD_BYTES + 1)
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("data"))
-    dealt = rows.filter("id is not null").select(F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int").alias("block"), "id", "data").repartition("block")
+    more = [f"c{i}" for i in range(len(carry))]
+    rows = docs.select(
+        F.pmod(F.xxhash64(F.col(id_col)), F.lit(blocks)).cast("int").alias("block"),
+        F.col(id_col).cast("long").alias("id"),
+        F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("data"),
+        *(F.col(f"`{c}`").alias(n) for c, n in zip(carry, more)),
+    )
+    kinds = "".join(f", {n} {docs.schema[c].dataType.simpleString()}" for c, n in zip(carry, more))
+    dealt = rows.filter("id is not null").repartition("block")
     asked = dealt.groupBy("block").applyInArrow(lambda t: ask_minimizers(t, shards), "shard int, block int, hashes binary, several binary")
     shared = written(asked.groupBy("shard").applyInArrow(shared_minimizers, "block int, hashes binary"), "shared-minimizers")
-    sought = dealt.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(lambda t, s: ask_segments(t, s, shards), "shard int, block int, n int, n_bytes long, minimizers binary, sizes binary, ids binary, bytes binary")
+    sought = dealt.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(
+        lambda t, s: ask_segments(t, s, shards),
+        "shard int, block int, n int, n_bytes long, minimizers binary, sizes binary, ids binary, bytes binary",
+    )
     answers = sought.groupBy("shard").applyInArrow(answer, "block int, shard int, n long, least binary")
     told = answers.withColumn("hashes", F.lit(None).cast("binary")).unionByName(shared, allowMissingColumns=True)
-    done = dealt.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(lambda t, s: cut_out(t, s, shards), f"id long, removed {REMOVED}, kept binary")
-    free = rows.filter("id is null").select("id", F.array().cast(REMOVED).alias("removed"), F.col("data").alias("kept"))
-    return done.unionByName(free).withColumnRenamed("id", id_col)
+    done = dealt.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(lambda t, s: cut_out(t, s, shards), f"id long, removed {REMOVED}, kept binary{kinds}")
+    free = rows.filter("id is null").select("id", F.array().cast(REMOVED).alias("removed"), F.col("data").alias("kept"), *more)
+    out = done.unionByName(free)
+    return out.select(F.col("id").alias(id_col), "removed", "kept", *(F.col(n).alias(c) for c, n in zip(carry, more)))
+
+
+def without_repeats(docs: DataFrame) -> DataFrame:
+    """``docs`` with the removed spans cut out of ``text`` and ``n_chars`` counted anew where something went.
+
+    A character of which only some bytes went becomes U+FFFD. A text that is removed as a whole is
+    left empty; null texts stay null.
+    """
+    others = [c for c in docs.columns if c not in ("doc_id", "text")]
+    found = dedup(docs.withColumn("_null", F.col("text").isNull()), carry=(*others, "_null"))
+    text = F.when(F.col("_null"), F.lit(None)).otherwise(F.make_valid_utf8(F.col("kept").cast("string")))
+    found = found.withColumn("text", text)
+    if "n_chars" in others:
+        kind = docs.schema["n_chars"].dataType
+        found = found.withColumn("n_chars", F.when(F.size("removed") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
+    return found.select(docs.columns)
 
 
 def query(docs: DataFrame) -> DataFrame:
