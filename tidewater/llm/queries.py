@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, digest, langid, packing, pii, rules, simhash, suffix
+from . import bpe, digest, html, langid, packing, pii, rules, simhash, suffix
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -29,6 +29,10 @@ def op7_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.query(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op8_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.query(table(spark, sf_dir, "pages"))
+
+
 def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.query(table(spark, sf_dir, "documents"))
 
@@ -54,7 +58,7 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op2_packing": op2_packing, "op3_repeats": op3_repeats, "op4_quality_rules": op4_quality_rules, "op5_fingerprints": op5_fingerprints, "op6_pii": op6_pii, "op7_bpe": op7_bpe, "op9_language": op9_language, "op10_simhash": op10_simhash}
+    return {"op2_packing": op2_packing, "op3_repeats": op3_repeats, "op4_quality_rules": op4_quality_rules, "op5_fingerprints": op5_fingerprints, "op6_pii": op6_pii, "op7_bpe": op7_bpe, "op8_html": op8_html, "op9_language": op9_language, "op10_simhash": op10_simhash}
 
 
 def oracle_sql() -> dict[str, str]:

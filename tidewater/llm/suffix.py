@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .rindex import RunIndex
-from .shared import shuffle_parts, text_bytes, written
+from .shared import shuffle_parts, text_bytes
 
 DEPTH = 50
 GRAM = 25
@@ -285,9 +285,9 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry
         *(F.col(f"`{c}`").alias(n) for c, n in zip(carry, more)),
     )
     kinds = "".join(f", {n} {docs.schema[c].dataType.simpleString()}" for c, n in zip(carry, more))
-    dealt = rows.filter("id is not null").repartition("block")
+    dealt = rows.filter("id is not null").repartition("block")  # one exchange, which all three steps read
     asked = dealt.groupBy("block").applyInArrow(lambda t: ask_minimizers(t, shards), "shard int, block int, hashes binary, several binary")
-    shared = written(asked.groupBy("shard").applyInArrow(shared_minimizers, "block int, hashes binary"), "shared-minimizers")
+    shared = asked.groupBy("shard").applyInArrow(shared_minimizers, "block int, hashes binary")
     sought = dealt.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(
         lambda t, s: ask_segments(t, s, shards),
         "shard int, block int, n int, n_bytes long, minimizers binary, sizes binary, ids binary, bytes binary",
