@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import star
+from . import star, texts
 
-MODULES = (star,)
+MODULES = (star, texts)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
