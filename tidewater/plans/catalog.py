@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import star, texts
+from . import lines, links, star, texts
 
-MODULES = (star, texts)
+MODULES = (star, texts, lines, links)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

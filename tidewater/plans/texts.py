@@ -80,9 +80,9 @@ LINES = ["ALLOA.", "LONDON DOCKS & CO.", "April 16.", "Sept. 11", "April 27. And
          "Fatfield (s)-Memel-sleepers, deals-Order", "Dec. 3 Mary Ann-St. John-deals-J. Smith & Sons", "some prose without marks", "", None]
 case("p4_parse_record", LINES, lambda s: {k: known(T.parse_record(s)[k], k) for k in ("format_type", "month", "day", "ship_name", "origin_port", "cargo", "merchant")},
      """case when s like '%@%' then 'early_at' when regexp_matches(s, '^(\\w+\\.\\s+)?\\d{1,2}\\s+[^-]+-[^-]+-[^-]+-.+$') then 'standard_dash' when regexp_matches(s, '^[A-Za-z][^-]+-[^-]+-[^-]+-.+$') then 'condensed' end format_type,
-case when s like '%@%' or regexp_matches(s, '^(\\w+\\.\\s+)?\\d{1,2}\\s+[^-]+-[^-]+-[^-]+-.+$') then nullif(regexp_extract(s, '^(\\w{3,9})\\.\\s+\\d', 1), '') end "month",
-case when s like '%@%' or regexp_matches(s, '^(\\w+\\.\\s+)?\\d{1,2}\\s+[^-]+-[^-]+-[^-]+-.+$') then try_cast(regexp_extract(s, '^(?:\\w+\\.\\s+)?(\\d{1,2})', 1) as int) end "day",
-case when s like '%@%' then trim(regexp_extract(s, '^\\w+\\. \\d+\\. ([^@]+)@', 1)) when regexp_matches(s, '^[^-]+-[^-]+-[^-]+-.+$') then trim(replace(regexp_extract(s, '^(?:(?:\\w+\\.\\s+)?\\d+ )?([^-]+)-', 1), '(s)', '')) end ship_name,
+case when s like '%@%' or regexp_matches(s, '^(\\w+\\.\\s+)?\\d{1,2}\\s+[^-]+-[^-]+-[^-]+-.+$') then nullif(regexp_extract(s, '^(\\w{3,9})\\.?\\s+\\d', 1), '') end "month",
+case when s like '%@%' or regexp_matches(s, '^(\\w+\\.\\s+)?\\d{1,2}\\s+[^-]+-[^-]+-[^-]+-.+$') then try_cast(regexp_extract(s, '^(?:\\w+\\.?\\s+)?(\\d{1,2})', 1) as int) end "day",
+case when s like '%@%' then trim(regexp_extract(s, '^\\w+\\.? \\d+\\.? ([^@]+)@', 1)) when regexp_matches(s, '^[^-]+-[^-]+-[^-]+-.+$') then trim(replace(regexp_extract(s, '^(?:(?:\\w+\\.\\s+)?\\d+ )?([^-]+)-', 1), '(s)', '')) end ship_name,
 case when s like '%@%' then regexp_extract(s, '@ ([^,]+),', 1) when regexp_matches(s, '^[^-]+-[^-]+-[^-]+-.+$') then trim(split_part(s, '-', 2)) end origin_port,
 case when s like '%@%' then regexp_extract(s, '(—.*)$', 1) when regexp_matches(s, '^[^-]+-[^-]+-[^-]+-.+$') then trim(split_part(s, '-', 3)) end cargo,
 case when s not like '%@%' and regexp_matches(s, '^[^-]+-[^-]+-[^-]+-.+$') then trim(split_part(s, '-', 4)) end merchant""")
