@@ -7,6 +7,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def similarity(a: Column, b: Column) -> Column:
@@ -16,7 +17,7 @@ def similarity(a: Column, b: Column) -> Column:
     return F.when(a.isNull() | b.isNull() | (a == "") | (b == ""), F.lit(0.0)).when(x == y, F.lit(1.0)).otherwise(1 - F.levenshtein(x, y) / longer)
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def matching_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp ratio without case, 0 with a null side; not symmetric. Call it on distinct pairs."""
     return pd.Series([SequenceMatcher(None, x.lower(), y.lower()).ratio() if x is not None and y is not None else 0.0 for x, y in zip(a, b)], dtype="float64")
