@@ -96,7 +96,7 @@ def is_port_header(line: Column) -> Column:
     return line.rlike(r"^[A-Z\s&.'()]+\.\s*$")
 
 
-DATE_HEADER = r"^(\w{3,9})\.\s+(\d{1,2})\.?\s*$"
+DATE_HEADER = r"^(\w{3,9})\.?\s+(\d{1,2})\.?\s*$"
 EARLY = r"(?i)^(?:(\w{3,9})\.?\s+(\d{1,2})\.?\s+)?([A-Za-z\s.&'-]+?)\s*(?:\(s\))?\s*@\s*([A-Za-z\s.,&-]+?),?\s*(?=[—\d])(.*?)$"
 STANDARD = r"(?i)^(?:(\w{3,9})\.\s+)?(\d{1,2})\s+([A-Za-z\s.&'-]+?)\s*(?:\(s\))?\s*-\s*([A-Za-z\s.,'-]+?)\s*-\s*([^-]+?)\s*-\s*(.+?)$"
 CONDENSED = r"(?i)^([A-Z][A-Za-z\s.&'-]+?)\s*(?:\(s\))?\s*-\s*([A-Za-z\s.,'-]+?)\s*-\s*([^-]+?)\s*-\s*(.+?)$"

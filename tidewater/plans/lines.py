@@ -144,8 +144,8 @@ HEADER = r"regexp_matches(line, '^[A-Z\s&.''()]+\.\s*$')"
 CONTEXT_SQL = rf"""{JOURNAL_SQL},
 named as (select *, case when {HEADER} then array_to_string(list_transform(string_split(regexp_replace(line, '\.\s*$', ''), ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') end name from journal),
 kinds as (select *, upper(name) in ('LONDON','LIVERPOOL','GLASGOW','HULL','BRISTOL','CARDIFF','LEITH','GRANGEMOUTH') is_city, regexp_matches(upper(name), 'DOCK|WHARF') is_dock,
-  nullif(coalesce(nullif(regexp_extract(line, '^(\w{{3,9}})\.\s+\d{{1,2}}\.?\s*$', 1), ''), regexp_extract(line, '^(\w{{3,9}})\.?\s+\d{{1,2}}\.?\s+.*(?:@|-.*-.*-)', 1)), '') m,
-  nullif(coalesce(nullif(regexp_extract(line, '^\w{{3,9}}\.\s+(\d{{1,2}})\.?\s*$', 1), ''), regexp_extract(line, '^\w{{3,9}}\.?\s+(\d{{1,2}})\.?\s+.*(?:@|-.*-.*-)', 1)), '') dd from named),
+  nullif(coalesce(nullif(regexp_extract(line, '^(\w{{3,9}})\.?\s+\d{{1,2}}\.?\s*$', 1), ''), regexp_extract(line, '^(\w{{3,9}})\.?\s+\d{{1,2}}\.?\s+.*(?:@|-.*-.*-)', 1)), '') m,
+  nullif(coalesce(nullif(regexp_extract(line, '^\w{{3,9}}\.?\s+(\d{{1,2}})\.?\s*$', 1), ''), regexp_extract(line, '^\w{{3,9}}\.?\s+(\d{{1,2}})\.?\s+.*(?:@|-.*-.*-)', 1)), '') dd from named),
 cities as (select *, last_value(case when is_city then name when name is not null and not is_dock then '' end ignore nulls) over (partition by doc_key order by n) city from kinds),
 ports as (select *, case when is_dock and coalesce(city, '') <> '' then city || ' (' || name || ')' else name end p from cities),
 context as (select doc_key, n, line, last_value(p ignore nulls) over w port, last_value(m ignore nulls) over w "month", last_value(dd ignore nulls) over w "day" from ports window w as (partition by doc_key order by n))"""

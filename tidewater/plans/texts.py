@@ -86,9 +86,9 @@ case when s like '%@%' then trim(regexp_extract(s, '^\\w+\\.? \\d+\\.? ([^@]+)@'
 case when s like '%@%' then regexp_extract(s, '@ ([^,]+),', 1) when regexp_matches(s, '^[^-]+-[^-]+-[^-]+-.+$') then trim(split_part(s, '-', 2)) end origin_port,
 case when s like '%@%' then regexp_extract(s, '(—.*)$', 1) when regexp_matches(s, '^[^-]+-[^-]+-[^-]+-.+$') then trim(split_part(s, '-', 3)) end cargo,
 case when s not like '%@%' and regexp_matches(s, '^[^-]+-[^-]+-[^-]+-.+$') then trim(split_part(s, '-', 4)) end merchant""")
-case("p5_headers", LINES, lambda s: {"is_header": T.is_port_header(s), "month": T.part(s, T.DATE_HEADER, 1), "day": known(T.part(s, T.DATE_HEADER, 2).cast("int"), "day"), "is_steamship": F.contains(s, F.lit("(s)")), "confidence": T.confidence(T.is_port_header(s), s.rlike(T.DATE_HEADER))},
-     """regexp_matches(s, '^[A-Z\\s&.''()]+\\.\\s*$') is_header, nullif(regexp_extract(s, '^(\\w{3,9})\\.?\\s+\\d{1,2}\\.?\\s*$', 1), '') "month", try_cast(regexp_extract(s, '^\\w{3,9}\\.?\\s+(\\d{1,2})\\.?\\s*$', 1) as int) "day",
-contains(s, '(s)') is_steamship, case when regexp_matches(s, '^[A-Z\\s&.''()]+\\.\\s*$') then 1.0 when regexp_matches(s, '^\\w{3,9}\\.\\s+\\d{1,2}\\.?\\s*$') then 0.9 else 0.7 end::double confidence""".replace("3,9})\\.?", "3,9})\\.").replace("3,9}\\.?\\s", "3,9}\\.\\s"))
+case("p5_headers", LINES, lambda s: {"is_header": F.coalesce(T.is_port_header(s), F.lit(False)), "month": T.part(s, T.DATE_HEADER, 1), "day": known(T.part(s, T.DATE_HEADER, 2).cast("int"), "day"), "is_steamship": F.coalesce(F.contains(s, F.lit("(s)")), F.lit(False)), "confidence": T.confidence(T.is_port_header(s), s.rlike(T.DATE_HEADER))},
+     """coalesce(regexp_matches(s, '^[A-Z\\s&.''()]+\\.\\s*$'), false) is_header, nullif(regexp_extract(s, '^(\\w{3,9})\\.?\\s+\\d{1,2}\\.?\\s*$', 1), '') "month", try_cast(regexp_extract(s, '^\\w{3,9}\\.?\\s+(\\d{1,2})\\.?\\s*$', 1) as int) "day",
+coalesce(contains(s, '(s)'), false) is_steamship, case when regexp_matches(s, '^[A-Z\\s&.''()]+\\.\\s*$') then 1.0 when regexp_matches(s, '^\\w{3,9}\\.?\\s+\\d{1,2}\\.?\\s*$') then 0.9 else 0.7 end::double confidence""")
 case("p13_merchant", ["Order", "nil", " Nickols & Co. ltd", "Love & Co.", "Churchill Bros. & Sim.", "  ", None, "---", "A. Co. B"], lambda s: {"merchant": T.normalize_merchant(s)},
      "case when s is null or lower(trim(s)) in ('order', 'nil', 'ditto', '---') then '' else replace(replace(replace(rtrim(trim(s), '.'), '&', 'and'), ' Co.', ' Company'), ' Bros.', ' Brothers') end merchant")
 COMMODITIES = ["Deal", "sawn fir deal", "bright yellow deals", "white pine timber", "oak staves", "boars", "mahogany logs", "teak planks", "firewood", "  Battens ", "", None, "lath", "flooring", "deals &c", "deals &", "smith & co", "& ends", "&", "slating battens"]
