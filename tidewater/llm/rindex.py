@@ -5,32 +5,43 @@ from __future__ import annotations
 import numpy as np
 
 _SEPARATOR = 1
-_SHIFT = 2  # bytes become symbols 2 to 257; 0 stands behind the end
+_SHIFT = 2  # bytes become symbols 2 to 257
 
 
-def suffix_array(symbols: np.ndarray, longest: int) -> np.ndarray:
-    """Order of all suffixes by their first ``longest`` symbols, then by position (prefix doubling)."""
-    n, pack = len(symbols), 7
-    key = np.zeros(n, np.int64)
-    for k in range(pack):
-        key[: n - k] |= symbols[k:].astype(np.int64) << (9 * (pack - 1 - k)) if n > k else 0
-    order = np.argsort(key, kind="stable")
-    known = pack
-    rank = _ranks(key[order], order)
-    while known < longest:
-        after = np.zeros(n, np.int64)
-        after[: n - known] = rank[known:] + 1
-        key = rank * (n + 1) + after
-        order = np.argsort(key, kind="stable")
-        rank = _ranks(key[order], order)
-        known *= 2
-    return order
+#: Symbols of one index; a rank and a place have so many bits, so that a sort key holds two ranks and a place.
+_BITS = 21
+LIMIT = (1 << _BITS) - 1
 
 
-def _ranks(ordered: np.ndarray, order: np.ndarray) -> np.ndarray:
-    rank = np.empty(len(order), np.int64)
-    rank[order] = np.concatenate([[0], np.cumsum(ordered[1:] != ordered[:-1])])
-    return rank
+def suffix_array(symbols: np.ndarray, longest: int, depth: int) -> tuple[np.ndarray, np.ndarray, int]:
+    """Order of all suffixes by their first ``longest`` symbols, then by place; and ranks by some first symbols and how many.
+
+    Prefix doubling over plain sorts of numbers that hold two ranks and the place. The ranks returned
+    are those by at least half of ``depth`` symbols and at most ``depth - 1``.
+    """
+    n = len(symbols)
+    if n > LIMIT:
+        raise ValueError("too long for one index")
+    used, code = np.unique(symbols, return_inverse=True)
+    bits = max(1, int(len(used)).bit_length())  # code 0 stands behind the end
+    known = min(2 * _BITS // bits, depth - 1)
+    key = np.zeros(n, np.int64)
+    for k in range(known):
+        key <<= bits
+        key[: max(0, n - k)] |= code[k:] + 1
+    place, rank = np.arange(n, dtype=np.int64), np.empty(n, np.int64)
+    while True:
+        key = np.sort(key << _BITS | place)
+        order = key & LIMIT
+        key >>= _BITS
+        rank[order] = np.cumsum(np.concatenate([[0], key[1:] != key[:-1]]))
+        if known < depth:
+            by, partial = known, rank.copy()
+        if known >= longest:
+            return order, partial, by
+        key = rank << _BITS
+        key[: n - known] |= rank[known:] + 1
+        known *= 2
 
 
 class RunIndex:
@@ -46,26 +57,31 @@ class RunIndex:
         flat = np.frombuffer(b"\x00".join(strings) + b"\x00", np.uint8).astype(np.uint16) + _SHIFT
         ends = np.cumsum(sizes + 1) - 1
         flat[ends] = _SEPARATOR
-        order = suffix_array(flat, int(sizes.max()) + 1)
+        order, rank, by = suffix_array(flat, int(sizes.max()) + 1, depth)
         self.rows = n = len(flat)
         bwt = flat[order - 1]  # of the first suffix the last separator, which is right
         head = np.concatenate([[True], bwt[1:] != bwt[:-1]])
         start = np.flatnonzero(head)
         char, length = bwt[start].astype(np.int64), np.diff(np.append(start, n))
         self.samples = np.stack([order[start], order[start + length - 1]])  # text places at both ends of each run
-        by = np.lexsort((start, char))
-        self.keys = (char[by] << 40) + start[by]
-        self.start, self.length = start[by], length[by]
+        sorted_runs = np.lexsort((start, char))
+        char = char[sorted_runs]
+        self.keys = (char << 40) + start[sorted_runs]
+        self.start, self.length, self.char = start[sorted_runs], length[sorted_runs], char
         total = np.cumsum(self.length) - self.length
-        first = np.searchsorted(char[by], np.arange(260))
-        self.before = total - total[np.minimum(first[char[by]], len(total) - 1)]
-        self.char = char[by]
+        first = np.searchsorted(char, np.arange(260))
+        self.before = total - total[np.minimum(first[char], len(total) - 1)]
+        # The run of each row, to start from: most rows of a range already hold the symbol that is asked for.
+        self.run = (np.cumsum(head) - 1).astype(np.int32)
+        self.run_char, self.run_start, self.run_before = bwt[start].astype(np.int64), start, np.empty(len(start), np.int64)
+        self.run_before[sorted_runs] = self.before
         self.smaller = np.searchsorted(np.sort(flat), np.arange(260))
-        # Suffixes with equal first bytes stand together: borders of these groups, and their smallest owner.
+        # Suffixes with equal first bytes stand together in groups: their borders, the group of each row, and their smallest owner.
         left = np.repeat(ends, sizes + 1)[order] - order
-        self.borders, self.wider = _borders(flat, order, left, depth), _borders(flat, order, left, depth - 1)
+        self.group, borders = _groups(rank, by, order, left, depth)
         owner = np.repeat(np.asarray(owners, np.int64), sizes + 1)[order]
-        self.least = np.minimum.reduceat(owner, self.borders[:-1])
+        self.least = np.minimum.reduceat(owner, borders[:-1])
+        self.wider, self.borders = _groups(rank, by, order, left, depth - 1)
 
     def rank(self, char: np.ndarray, row: np.ndarray) -> np.ndarray:
         """How many of the first ``row`` symbols of the transform are ``char``."""
@@ -74,10 +90,18 @@ class RunIndex:
         inside = self.before[safe] + np.minimum(row - self.start[safe], self.length[safe])
         return np.where((at >= 0) & (self.char[safe] == char), inside, 0)
 
+    def _rank_at(self, char: np.ndarray, row: np.ndarray, more: int) -> np.ndarray:
+        """``rank(char, row + more)`` for more 0 or 1, from the run of ``row`` where that has the symbol."""
+        run = self.run[row]
+        out = self.run_before[run] + row - self.run_start[run] + more
+        other = np.flatnonzero(self.run_char[run] != char)
+        out[other] = self.rank(char[other], row[other] + more)
+        return out
+
     def extend(self, char: np.ndarray, low: np.ndarray, high: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Row ranges of the matches of ``low`` to ``high`` with ``char`` before them."""
+        """Row ranges of the matches of ``low`` to ``high``, which are not empty, with ``char`` before them."""
         base = self.smaller[char]
-        return base + self.rank(char, low), base + self.rank(char, high)
+        return base + self._rank_at(char, low, 0), base + self._rank_at(char, high - 1, 1)
 
     def _longest(self, flat: np.ndarray, place: np.ndarray, most: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """The longest match at each place, of up to ``most`` symbols, by bisection over backward searches: size and range."""
@@ -116,25 +140,20 @@ class RunIndex:
                 size[lost], lo[lost], hi[lost] = self._longest(flat, place[lost], size[lost] - 1)
             full = np.flatnonzero(size == depth)
             if len(full):  # recorded, then widened to all suffixes that share one byte less
-                out[place[full]] = self.least[np.searchsorted(self.borders, lo[full], side="right") - 1]
-                group = np.searchsorted(self.wider, lo[full], side="right") - 1
-                lo[full], hi[full], size[full] = self.wider[group], self.wider[group + 1], depth - 1
+                out[place[full]] = self.least[self.group[lo[full]]]
+                group = self.wider[lo[full]]
+                lo[full], hi[full], size[full] = self.borders[group], self.borders[group + 1], depth - 1
             low[live], high[live], match[live] = lo, hi, size
         return [out[o : o + max(0, s - depth + 1)] for o, s in zip(offset.tolist(), sizes.tolist())]
 
 
-def _borders(flat: np.ndarray, order: np.ndarray, left: np.ndarray, depth: int) -> np.ndarray:
-    """Rows at which another string of ``depth`` symbols begins, and the end; shorter suffixes stand alone."""
+def _groups(rank: np.ndarray, by: int, order: np.ndarray, left: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The group of each row, and the rows where groups begin and the end; rows of a group share ``depth`` symbols of one string.
+
+    ``rank`` tells suffixes apart by their first ``by`` symbols: two overlapping looks at it cover ``depth``.
+    """
+    a = rank[order]
+    b = rank[np.minimum(order + depth - by, len(rank) - 1)]
     long = left >= depth
-    border = np.concatenate([[True], ~(long[1:] & long[:-1])])
-    lead = _windows(flat, depth)
-    both = np.flatnonzero(~border)
-    for at in range(0, len(both), 1 << 17):  # a window's symbols are copied: not too many at a time
-        part = both[at : at + (1 << 17)]
-        border[part[(lead[order[part]] != lead[order[part - 1]]).any(axis=1)]] = True
-    return np.append(np.flatnonzero(border), len(order))
-
-
-def _windows(flat: np.ndarray, depth: int) -> np.ndarray:
-    padded = np.concatenate([flat.astype(np.uint16), np.zeros(depth, np.uint16)])
-    return np.lib.stride_tricks.sliding_window_view(padded, depth)
+    border = np.concatenate([[True], ~(long[1:] & long[:-1] & (a[1:] == a[:-1]) & (b[1:] == b[:-1]))])
+    return np.cumsum(border) - 1, np.append(np.flatnonzero(border), len(order))

@@ -15,6 +15,8 @@ What repeats is therefore combined in its block before it moves, however many do
 
 from __future__ import annotations
 
+import itertools
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,8 +33,10 @@ BLOCK_BYTES = 8 << 20
 #: Text bytes for each shard of minimizers.
 SHARD_BYTES = 16 << 20
 #: Segment bytes that one index holds; a shard's minimizers are dealt to as many indexes as it takes.
-INDEX_BYTES = 2 << 20
-_CHUNK = 1 << 18
+INDEX_BYTES = 1_900_000
+_CHUNK = 1 << 16
+#: Strings of a segment at most.
+LONGEST = 2 * (DEPTH - GRAM + 1)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _MIX = np.uint64(0xBF58476D1CE4E5B9)
 NOBODY = np.iinfo(np.int64).max
@@ -68,10 +72,16 @@ def minimizers(data: bytes) -> Iterator[tuple[int, np.ndarray]]:
 
 
 def segments(data: bytes) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(minimizer, first string, behind the last string) of each segment, in chunks."""
+    """(minimizer, first string, behind the last string) of each segment, in chunks; long ones are cut."""
     for at, h in minimizers(data):
         first = np.flatnonzero(np.concatenate([[True], h[1:] != h[:-1]]))
-        yield h[first], first + at, np.append(first[1:], len(h)) + at
+        behind = np.append(first[1:], len(h))
+        if (behind - first > LONGEST).any():  # periodic text has one minimizer for long
+            parts = -((first - behind) // LONGEST)
+            nth = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+            first, end = np.repeat(first, parts) + nth * LONGEST, np.repeat(behind, parts)
+            behind = np.minimum(first + LONGEST, end)
+        yield h[first], first + at, behind + at
 
 
 def _pack(values: np.ndarray) -> bytes:
@@ -154,10 +164,10 @@ def shared_minimizers(table: pa.Table) -> pa.Table:
     return pa.table({"block": pa.array([blocks[i] for i in keep], pa.int32()), "hashes": pa.array([_pack48(out[i]) for i in keep], pa.binary())})
 
 
-def _candidates(table: pa.Table, shared: pa.Table) -> Iterator[tuple[int, bytes, np.ndarray, np.ndarray, np.ndarray]]:
+def _candidates(docs: list[tuple[int, bytes]], shared: pa.Table) -> Iterator[tuple[int, bytes, np.ndarray, np.ndarray, np.ndarray]]:
     """(id, data, minimizer, first, behind) of the segments with shared minimizers, document by document."""
     known = np.unique(np.concatenate([np.zeros(0, np.uint64), *(_unpack48(b) for b in shared.column("hashes").to_pylist())]))
-    for doc, data in _documents(table):
+    for doc, data in docs:
         parts = []
         if len(known):
             for h, first, behind in segments(data):
@@ -168,22 +178,28 @@ def _candidates(table: pa.Table, shared: pa.Table) -> Iterator[tuple[int, bytes,
         yield (doc, data, *(np.concatenate(c) for c in zip(*parts))) if parts else (doc, data, *(np.zeros(0, k) for k in (np.uint64, np.int64, np.int64)))
 
 
+def _by_shard(minimizer: dict[bytes, int], shards: int) -> dict[int, list[bytes]]:
+    """Different segments in the order in which a block sends them: by shard, then by their bytes."""
+    by: dict[int, list[bytes]] = {}
+    for segment in sorted(minimizer):
+        by.setdefault(minimizer[segment] % shards, []).append(segment)
+    return by
+
+
 def ask_segments(table: pa.Table, shared: pa.Table, shards: int) -> pa.Table:
-    """Of a block, for each shard: its different segments in order of (minimizer, bytes), and their smallest ids."""
-    least: dict[tuple[int, bytes], int] = {}
-    for doc, data, h, first, behind in _candidates(table, shared):
-        for m, a, b in zip(h.tolist(), first.tolist(), behind.tolist()):
-            key = (m, data[a : b + DEPTH - 1])
-            if least.get(key, NOBODY) > doc:
-                least[key] = doc
-    by: dict[int, list[tuple[int, bytes]]] = {}
-    for key in sorted(least):
-        by.setdefault(key[0] % shards, []).append(key)
+    """Of a block, for each shard: its different segments, and the smallest id of each."""
+    least: dict[bytes, int] = {}
+    minimizer: dict[bytes, int] = {}
+    docs = sorted(_documents(table), key=lambda x: x[0], reverse=True)  # the smallest id is written last
+    for doc, data, h, first, behind in _candidates(docs, shared):
+        own = [data[a:b] for a, b in zip(first.tolist(), (behind + (DEPTH - 1)).tolist())]
+        minimizer.update(zip(own, h.tolist()))
+        least.update(dict.fromkeys(own, doc))
     block = table.column("block")[0].as_py() if table.num_rows else -1
     rows = [
-        (s, block, len(keys), sum(len(k[1]) for k in keys), _pack(np.array([k[0] for k in keys], np.uint64)), _pack(np.array([len(k[1]) for k in keys], np.int32)),
-         _pack(np.array([least[k] for k in keys], np.int64)), pa.compress(b"".join(k[1] for k in keys), codec="zstd", asbytes=True))
-        for s, keys in by.items()
+        (s, block, len(own), sum(map(len, own)), _pack(np.array([minimizer[k] for k in own], np.uint64)), _pack(np.array(list(map(len, own)), np.int32)),
+         _pack(np.array([least[k] for k in own], np.int64)), pa.compress(b"".join(own), codec="zstd", asbytes=True))
+        for s, own in _by_shard(minimizer, shards).items()
     ]
     return pa.table({f.name: pa.array([r[i] for r in rows], f.type) for i, f in enumerate(_SEGMENTS)})
 
@@ -216,47 +232,84 @@ def answer(table: pa.Table) -> pa.Table:
 
     held = 0
     for m in sorted(groups):
-        if len(groups[m]) > 1:  # a minimizer with one segment shares strings with no other
-            pending += groups[m]
-            held += sum(map(len, groups[m]))
-            if held >= INDEX_BYTES:
-                index()
-                held = 0
+        group = groups[m]
+        size = sum(map(len, group)) + len(group)
+        if len(group) == 1:  # a minimizer with one segment shares strings with no other
+            continue
+        if size > INDEX_BYTES:
+            owners.update(_strings_apart(group, least))
+            continue
+        if held + size > INDEX_BYTES:
+            index()
+            held = 0
+        pending += group
+        held += size
     index()
     rows = []
     for block, own in asked:
-        values = [owners[s] if s in owners else np.full(len(s) - DEPTH + 1, least[s]) for s in own]
-        rows.append((block, table.column("shard")[0].as_py(), sum(map(len, values)), _pack(np.concatenate(values).astype(np.int64))))
+        widths = np.array(list(map(len, own)), np.int64) - (DEPTH - 1)
+        values = np.repeat(np.array([least[s] for s in own], np.int64), widths)
+        ends = np.cumsum(widths).tolist()
+        for s, end in zip(own, ends):
+            if (found := owners.get(s)) is not None:
+                values[end - len(found) : end] = found
+        rows.append((block, table.column("shard")[0].as_py(), len(values), _pack(values)))
     return pa.table({n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate((("block", pa.int32()), ("shard", pa.int32()), ("n", pa.int64()), ("least", pa.binary())))})
 
 
+def _strings_apart(group: list[bytes], least: dict[bytes, int]) -> Iterator[tuple[bytes, np.ndarray]]:
+    """The answers for segments that one index can't hold: their strings are dealt to as many as it takes."""
+    strings: dict[bytes, int] = {}
+    for segment in group:
+        for i in range(len(segment) - DEPTH + 1):
+            string = segment[i : i + DEPTH]
+            strings[string] = min(strings.get(string, NOBODY), least[segment])
+    parts: list[list[bytes]] = [[] for _ in range(len(strings) * (DEPTH + 1) // INDEX_BYTES * 2 + 2)]
+    for string in strings:
+        parts[zlib.crc32(string) % len(parts)].append(string)
+    for part in filter(None, parts):
+        found = RunIndex(part, np.array([strings[s] for s in part], np.int64), DEPTH).least_owners(part)
+        strings.update(zip(part, (int(f[0]) for f in found)))
+    for segment in group:
+        yield segment, np.array([strings[segment[i : i + DEPTH]] for i in range(len(segment) - DEPTH + 1)], np.int64)
+
+
 def cut_out(table: pa.Table, told: pa.Table, shards: int) -> pa.Table:
     """Of a block: each document's removed spans, remaining bytes and other columns. ``told`` has the shared minimizers and the answers."""
     shared = told.filter(pa.compute.is_valid(told.column("hashes")))
-    least: dict[tuple[int, bytes], None] = {}
-    docs = list(_candidates(table, shared))
-    for _, data, h, first, behind in docs:
-        for m, a, b in zip(h.tolist(), first.tolist(), behind.tolist()):
-            least[m, data[a : b + DEPTH - 1]] = None
+    minimizer: dict[bytes, int] = {}
+    docs = []
+    for doc, data, h, first, behind in _candidates(list(_documents(table)), shared):
+        own = [data[a:b] for a, b in zip(first.tolist(), (behind + (DEPTH - 1)).tolist())]
+        minimizer.update(zip(own, h.tolist()))
+        docs.append((doc, data, first.tolist(), own))
     answers = {r["shard"]: _unpack(r["least"], r["n"], np.int64) for r in told.select(["shard", "n", "least"]).to_pylist() if r["least"] is not None}
-    place: dict[tuple[int, bytes], tuple[int, int]] = {}
-    at: dict[int, int] = {}
-    for key in sorted(least):  # as it was asked
-        s = key[0] % shards
-        place[key] = (s, at.get(s, 0))
-        at[s] = at.get(s, 0) + len(key[1]) - DEPTH + 1
+    # Of each segment the answers for its strings, and the extremes of these.
+    known: dict[bytes, tuple[int, int, int, int, int]] = {}
+    for s, own in _by_shard(minimizer, shards).items():
+        ends = np.cumsum(np.array(list(map(len, own)), np.int64) - (DEPTH - 1))
+        starts = np.concatenate([[0], ends[:-1]])
+        low, high = np.minimum.reduceat(answers[s], starts).tolist(), np.maximum.reduceat(answers[s], starts).tolist()
+        known.update(zip(own, zip(low, high, starts.tolist(), ends.tolist(), itertools.repeat(s))))
     rows = []
-    for doc, data, h, first, behind in docs:
-        steps = np.zeros(len(data) + 1, np.int32)
-        for m, a, b in zip(h.tolist(), first.tolist(), behind.tolist()):
-            s, o = place[m, data[a : b + DEPTH - 1]]
-            hit = np.flatnonzero(answers[s][o : o + b - a] < doc) + a
-            np.add.at(steps, hit, 1)
-            np.add.at(steps, hit + DEPTH, -1)
+    for doc, data, first, own in docs:
+        begin, stop = [], []
+        for a, segment in zip(first, own):
+            low, high, at, end, s = known[segment]
+            if high < doc:
+                begin.append(a)
+                stop.append(a + len(segment))
+            elif low < doc:
+                hit = (np.flatnonzero(answers[s][at:end] < doc) + a).tolist()
+                begin += hit
+                stop += [x + DEPTH for x in hit]
+        if not begin:
+            rows.append((doc, [], data))
+            continue
+        steps = np.bincount(begin, minlength=len(data) + 1) - np.bincount(stop, minlength=len(data) + 1)
         gone = np.cumsum(steps[:-1]) > 0
         edge = np.flatnonzero(np.diff(gone.astype(np.int8), prepend=0, append=0))
-        kept = np.frombuffer(data, np.uint8)[~gone].tobytes() if len(edge) else data
-        rows.append((doc, [{"start": x, "stop": y} for x, y in edge.reshape(-1, 2).tolist()], kept))
+        rows.append((doc, [{"start": x, "stop": y} for x, y in edge.reshape(-1, 2).tolist()], np.frombuffer(data, np.uint8)[~gone].tobytes()))
     kinds = (("id", pa.int64()), ("removed", pa.list_(pa.struct([("start", pa.int64()), ("stop", pa.int64())]))), ("kept", pa.binary()))
     out = pa.table({n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate(kinds)})
     for name in table.column_names[3:]:
