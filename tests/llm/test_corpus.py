@@ -66,7 +66,7 @@ def test_passages_are_cut_from_documents(spark):
     assert out.columns == docs.columns
     got = {r["doc_id"]: r for r in out.collect()}
     assert got[1]["text"] == line + "own text" and got[1]["n_chars"] == 5 and got[3]["text"] is None
-    assert got[2]["text"] == "beforeafter" and got[2]["n_chars"] == 11
+    assert got[2]["text"] == "before after" and got[2]["n_chars"] == 12
 
 
 def test_scores(spark):

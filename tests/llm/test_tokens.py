@@ -41,7 +41,7 @@ def test_queries(spark):
     docs = spark.createDataFrame([(i, t, "c") for i, t in enumerate([*ODD, None, "word " * 9000])], "doc_id long, text string, ids string")
     theirs = tokenizers.Tokenizer.from_file(PATH)
     texts = {r["doc_id"]: r["text"] or "" for r in docs.collect()}
-    for r in bpe.query(docs).collect():
+    for r in bpe.query(docs, PATH).collect():
         ids = theirs.encode(texts[r["doc_id"]], add_special_tokens=False).ids
         assert r["n_tokens"] == len(ids)
         assert r["ids_sha256"] == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()

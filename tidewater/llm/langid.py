@@ -170,6 +170,8 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
     rows = picked.mapInArrow(vectors, "h long, lang string, at binary, count binary").limit(sample).collect()
     rows.sort(key=lambda r: (r["h"], r["lang"], r["count"]))
     langs = sorted({r["lang"] for r in rows})
+    if not langs:
+        return Model([], idf, np.zeros((FEATURES, 0)), np.zeros(0), 1.0)
     xs = []
     for r in rows:
         count = np.zeros(FEATURES, np.int64)

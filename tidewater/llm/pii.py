@@ -31,6 +31,8 @@ ROUNDS = 3
 MIN_SEEDS = 5
 MIN_SCORE = 0.8
 CONTEXT_CHARS = 64
+#: What is found has so many characters: shorter numbers identify nobody.
+MIN_CHARS = 6
 SPAN = "array<struct<start:int,stop:int>>"
 FOUND = "array<struct<start:int,stop:int,value:string,lead:string,trail:string>>"
 _BLOCK = 256
@@ -106,18 +108,26 @@ def _word(gap: Column, last: bool) -> Column:
 
 
 def instances(text: Column) -> Column:
-    """Tokens with a digit or an at sign: place, shape (runs of letters as one), left and right word ('' next to another one)."""
+    """Tokens with a digit or an at sign: place, shape (runs of letters as one), left and right word.
+
+    Next to another such token the word is ``<id>``, at the ends of the text ``<end>``.
+    """
     shape = lambda v: F.regexp_replace(F.regexp_replace(F.regexp_replace(v, r"\p{Lu}+", "A"), r"\p{Ll}+", "a"), "[0-9]", "9")
-    return F.transform(
-        located(text, TOKEN),
-        lambda x: F.struct(
-            x["start"].alias("start"),
-            x["stop"].alias("stop"),
-            shape(F.left(x["value"], F.lit(CONTEXT_CHARS))).alias("shape"),
-            _word(x["lead"], True).alias("left"),
-            _word(x["trail"], False).alias("right"),
-        ),
-    )
+    beside = lambda word, at_end: F.when(word != "", word).when(at_end, "<end>").otherwise("<id>")
+
+    def describe(found: Column) -> Column:
+        return F.transform(
+            found,
+            lambda x, i: F.struct(
+                x["start"].alias("start"),
+                x["stop"].alias("stop"),
+                shape(F.left(x["value"], F.lit(CONTEXT_CHARS))).alias("shape"),
+                beside(_word(x["lead"], True), i == 0).alias("left"),
+                beside(_word(x["trail"], False), i == F.size(found) - 1).alias("right"),
+            ),
+        )
+
+    return let(located(text, TOKEN), describe)
 
 
 def scanned(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
@@ -150,7 +160,7 @@ def discover(scan: DataFrame) -> DataFrame:
         of = scores.join(edges.select("_row", "start", "stop", "pattern"), ["_row", "start", "stop"])
         good = of.groupBy("pattern", "kind").agg(F.sum("score").alias("s"), F.count("*").alias("support")).filter(F.col("support") >= MIN_SEEDS)
         good = good.join(totals, "pattern").select("pattern", "kind", (F.col("s") / F.col("n")).alias("score")).filter(F.col("score") >= MIN_SCORE)
-        found = edges.filter("seed is null").join(good, "pattern").groupBy("_row", "start", "stop").agg(F.max(F.struct("score", "kind")).alias("best"))
+        found = edges.filter((F.col("stop") - F.col("start") >= MIN_CHARS) & F.col("seed").isNull()).join(good, "pattern").groupBy("_row", "start", "stop").agg(F.max(F.struct("score", "kind")).alias("best"))
         found = found.select("_row", "start", "stop", F.col("best.kind").alias("kind"), F.col("best.score").alias("score"))
         seeds = edges.filter("seed is not null").select("_row", "start", "stop", F.col("seed").alias("kind"), F.lit(1.0).alias("score")).distinct()
         scores = written(seeds.unionByName(found), "pii-scores")

@@ -359,14 +359,15 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     A character of which only some bytes went becomes U+FFFD. A text that is removed as a whole is
     left empty; null texts stay null.
     """
-    others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    found = dedup(docs.withColumn("_null", F.col("text").isNull()), carry=(*others, "_null"))
-    text = F.when(F.col("_null"), F.lit(None)).otherwise(F.make_valid_utf8(F.col("kept").cast("string")))
-    found = found.withColumn("text", text)
-    if "n_chars" in others:
-        kind = docs.schema["n_chars"].dataType
-        found = found.withColumn("n_chars", F.when(F.size("removed") > 0, F.length("text").cast(kind)).otherwise(F.col("n_chars")))
-    return found.select(docs.columns)
+    names = {c: f"k{i}" for i, c in enumerate(docs.columns)}  # own names, so that none clashes
+    inner = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in names.items()), F.col("text").isNull().alias("is_null"))
+    doc_id, text = names["doc_id"], names["text"]
+    found = dedup(inner, doc_id, text, tuple(c for c in inner.columns if c not in (doc_id, text)))
+    found = found.withColumn(text, F.when(~F.col("is_null"), F.make_valid_utf8(F.col("kept").cast("string"))))
+    if "n_chars" in names:
+        n_chars = names["n_chars"]
+        found = found.withColumn(n_chars, F.when(F.size("removed") > 0, F.length(text).cast(docs.schema["n_chars"].dataType)).otherwise(F.col(n_chars)))
+    return found.select(*(F.col(n).cast(docs.schema[c].dataType).alias(c) for c, n in names.items()))
 
 
 def query(docs: DataFrame) -> DataFrame:
