@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import lines, links, star, texts
+from . import lines, links, more, star, texts
 
-MODULES = (star, texts, lines, links)
+MODULES = (star, texts, lines, links, more)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
