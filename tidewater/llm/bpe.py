@@ -40,7 +40,7 @@ def _class(kind: str) -> str:
 _ASCII_PIECE = re.compile(rf"[a-z]+|{_SHORT}|[0-9]|[^{SPACE}a-z0-9]+")
 _LATIN_PIECE = re.compile(rf"[{_class('L')}]+|{_SHORT}|[{_class('N')}]|[^{SPACE}{_class('L')}{_class('N')}]+")
 #: Words remembered by a Python worker; beyond it the memory starts anew.
-CACHE_WORDS = 600_000
+CACHE_WORDS = 400_000
 #: Characters whose words are held at a time.
 SEGMENT_CHARS = 1 << 21
 NEVER = 1 << 60
@@ -123,7 +123,7 @@ class WordBpe:
         to = self.step.get(key)
         if to is None:
             to = self._step(self.back[at], char) if at else 0
-            if at and len(self.step) < 2_000_000:
+            if at and len(self.step) < 500_000:
                 self.step[key] = to
         return to
 
@@ -146,7 +146,7 @@ class WordBpe:
                     # Of equal merges the leftmost comes first: a's own wins a tie, b's own loses it.
                     if (r := self.rank.get((a, b))) is not None and a_until > r and b_until >= r:
                         known = False
-            if len(self._fits) > 1_000_000:
+            if len(self._fits) > 300_000:
                 self._fits.clear()
             self._fits[left << 20 | right] = known
         return known
