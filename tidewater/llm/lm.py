@@ -27,14 +27,22 @@ SHARD_BYTES = 16 << 20
 #: Words whose hashes a Python worker remembers.
 CACHE_WORDS = 500_000
 _ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
-_known: dict[bytes, int] = {}
+
+
+class _Hashes(dict):
+    """Hashes of words, worked out when first asked for."""
+
+    def __missing__(self, word: bytes) -> int:
+        self[word] = h = xxhash.xxh64_intdigest(word)
+        return h
+
+
+_known = _Hashes()
 
 
 def _hashes(words: list[bytes]) -> np.ndarray:
     if len(_known) > CACHE_WORDS:
         _known.clear()
-    for w in set(words).difference(_known):
-        _known[w] = xxhash.xxh64_intdigest(w)
     return np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))
 
 
