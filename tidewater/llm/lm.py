@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .rules import words_of
-from .shared import shuffle_parts, text_bytes
+from .shared import parts, text_bytes
 
 ORDER = 3
 BACKOFF = 0.4
@@ -217,8 +217,7 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
     equal or null ids are scored like others.
     """
     size = text_bytes(docs, text_col)
-    blocks = max(shuffle_parts(docs.sparkSession), size // BLOCK_BYTES + 1)
-    shards = max(shuffle_parts(docs.sparkSession), size // SHARD_BYTES + 1)
+    blocks, shards = parts(docs.sparkSession, size, BLOCK_BYTES), parts(docs.sparkSession, size, SHARD_BYTES)
     rows = docs.select(
         F.pmod(F.xxhash64(F.col(id_col), F.octet_length(text_col)), F.lit(blocks)).cast("int").alias("block"),
         F.col(id_col).cast("long").alias("id"),

@@ -37,3 +37,8 @@ def shuffle_parts(spark: SparkSession) -> int:
 def text_bytes(docs: DataFrame, text_col: str = "text") -> int:
     """UTF-8 bytes of a text column; one scan of that column."""
     return docs.agg(F.coalesce(F.sum(F.octet_length(text_col)), F.lit(0))).first()[0]
+
+
+def parts(spark: SparkSession, size: int, each: int) -> int:
+    """How many parts of ``each`` bytes to deal ``size`` bytes to; small inputs get a part for each MB, up to the shuffle's own number and 64."""
+    return max(size // each + 1, min(shuffle_parts(spark), (size >> 20) + 1, 64))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .rindex import RunIndex
-from .shared import shuffle_parts, text_bytes
+from .shared import parts, text_bytes
 
 DEPTH = 50
 GRAM = 25
@@ -328,8 +328,7 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry
     match each other; rows with a null id are neither searched nor found, and stay whole.
     """
     size = text_bytes(docs, text_col)
-    blocks = max(shuffle_parts(docs.sparkSession), size // BLOCK_BYTES + 1)
-    shards = max(shuffle_parts(docs.sparkSession), size // SHARD_BYTES + 1)
+    blocks, shards = parts(docs.sparkSession, size, BLOCK_BYTES), parts(docs.sparkSession, size, SHARD_BYTES)
     more = [f"c{i}" for i in range(len(carry))]
     rows = docs.select(
         F.pmod(F.xxhash64(F.col(id_col)), F.lit(blocks)).cast("int").alias("block"),
