@@ -20,6 +20,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import minhash
 from .components import star_table, stars
 from .shared import written
 
@@ -185,8 +186,10 @@ def query(docs: DataFrame) -> DataFrame:
 def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` without near-duplicates: of each group the row with the smallest ``doc_id`` stays; rows without an id stay.
 
-    Rows that share the smallest id are one document: one of them stays.
+    Groups are linked by five-word shingles with a similarity of 0.8 or more, which fingerprints of 64
+    bits can't tell apart at a radius that a tree can search. Rows that share the smallest id are one
+    document: one of them stays.
     """
-    first = groups(docs).filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
+    first = minhash.groups(docs).filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
     kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return kept.unionByName(docs.filter(F.col("doc_id").isNull())).select(docs.columns)
