@@ -132,3 +132,29 @@ def test_page_table(spark):
     pages = spark.createDataFrame([(1, "<p>a", "u"), (2, None, "v")], "page_id long, html string, text string")
     assert {(r["page_id"], r["text"]) for r in html.query(pages).collect()} == {(1, "a"), (2, "")}
     assert html.extract(pages).columns == ["page_id", "text"]
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        ("<table><td>x</table>", "x"),
+        ("<table><td>a<td>b<tr><td>c</table>", "a  b\nc"),
+        ("<table><tbody><td>x<td>y</tbody><tfoot><th>z</table>", "x  y\nz"),
+        ("<table><form><tr><td>x</form><td>y</table>", "x  y"),
+        ("<table><center><tr><td>x</table>", "x"),
+        ("<table><tr><form><td>x</table>", "x"),
+        ("<p>before<table>loose<tr>text<td>cell</table>after", "before\n\nloosetext\n\ncell\n\nafter"),
+        ("<table><tr><td>cell</td><div>block <b>bold</b></div></tr><tr><td>next</table>", "block bold\n\ncell\nnext"),
+        ("<table><tr><table><tr><td>second</table>", "second"),
+        ("<table><tr><td><table><td>in</table>x<td>out</table>", "in  out\nx"),
+        ("<table><colgroup><col>loose<tr><td>x</table>", "loose\n\nx"),
+        ("<table><template><tr><td>no</template><tr><td>x</table>", "x"),
+        ("<table><script>no</script><tr><td>x</table>", "x"),
+        ("<head><title>T</title><h1>Head</h1><p>text", "Head\n\ntext"),
+        ("<html><head><meta charset=utf-8><title>T</title>\ntext", "text"),
+        ("<head><style>no</style><noscript>no</noscript></head><body>yes", "yes"),
+        ("a <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>no</annotation></math> b", "a x=1 b"),
+    ],
+)
+def test_pages_with_tags_left_out(page, text):
+    assert html.render(page) == text

@@ -18,7 +18,13 @@ from pyspark.sql import types as T
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that show no text of their own.
-UNSEEN = frozenset("head title script style template noscript iframe object svg canvas audio video datalist math".split())
+UNSEEN = frozenset("head title script style template noscript iframe object svg canvas audio video datalist annotation annotation-xml".split())
+#: What can stand in a head; other start tags and text end it.
+IN_HEAD = frozenset("html head base basefont bgsound link meta noframes noscript script style template title".split())
+#: Parts of a table, each with the open elements that it can stand in.
+TABLE_PARTS = {t: ("table",) for t in ("caption", "colgroup", "tbody", "thead", "tfoot")} | {"col": ("table", "colgroup"), "tr": ("table", "tbody", "thead", "tfoot")}
+TABLE_PARTS |= {t: ("table", "tbody", "thead", "tfoot", "tr") for t in ("td", "th")}
+_FOSTERING = frozenset("table tbody thead tfoot tr".split())
 #: Blocks with a blank line around them, and blocks that only begin a line.
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure form fieldset hr".split())
 BLOCK = SPACED | frozenset("html body div section article header footer nav aside main address li dt dd figcaption caption legend tr td th thead tbody tfoot details summary option".split())
@@ -47,10 +53,10 @@ INDENT = "  "
 
 
 class Node:
-    __slots__ = ("tag", "attrs", "children")
+    __slots__ = ("tag", "attrs", "children", "parent")
 
     def __init__(self, tag: str, attrs: dict[str, str]):
-        self.tag, self.attrs, self.children = tag, attrs, []
+        self.tag, self.attrs, self.children, self.parent = tag, attrs, [], None
 
     def hidden(self) -> bool:
         a = self.attrs
@@ -84,16 +90,71 @@ class Tree(HTMLParser):
         if at is not None:
             self._pop(at)
 
+    def _last(self, tags: tuple[str, ...]) -> int:
+        """Where the innermost open one of ``tags`` is; 0 if none is."""
+        if any(self.count.get(t) for t in tags):
+            for i in range(len(self.open) - 1, 0, -1):
+                if self.open[i].tag in tags:
+                    return i
+        return 0
+
+    def _push(self, node: Node) -> None:
+        self.open.append(node)
+        self.count[node.tag] = self.count.get(node.tag, 0) + 1
+
+    def _add(self, child: Node | str) -> None:
+        """Puts ``child`` into the innermost open element."""
+        self.open[-1].children.append(child)
+        if isinstance(child, Node):
+            child.parent = self.open[-1]
+
+    def _foster(self, child: Node | str) -> None:
+        """Puts before the innermost table what can't stand between its cells."""
+        table = self.open[self._last(("table",))]
+        around = table.parent
+        around.children.insert(len(around.children) - (around.children[-1] is table), child)
+        if isinstance(child, Node):
+            child.parent = around
+
+    def _fosters(self) -> bool:
+        return self.open[-1].tag in _FOSTERING and self.open[self._last(("table", "template"))].tag == "table"
+
+    def _within_table(self, tag: str) -> None:
+        """Leaves what is open between the table and its part ``tag``, and opens the parts that authors may leave out."""
+        if self.open[self._last(("table", "template"))].tag != "table":
+            return
+        self._pop(self._last(TABLE_PARTS[tag]) + 1)
+        for parent, implied in (("table", "tbody"), ("tbody", "tr"), ("thead", "tr"), ("tfoot", "tr")):
+            if self.open[-1].tag == parent and implied in TABLE_PARTS[tag]:
+                node = Node(implied, {})
+                self._add(node)
+                self._push(node)
+
     def handle_starttag(self, tag: str, attrs: list) -> None:
+        if self.open[-1].tag == "head" and tag not in IN_HEAD:
+            self._end(("head",), ())
+        if self.open[-1].tag == "colgroup" and tag not in ("col", "template"):
+            self._pop(len(self.open) - 1)
         if tag in _CLOSES_P:
             self._end(("p",), _SCOPE)
         if tag in IMPLIED:
             self._end(*IMPLIED[tag])
         node = Node(tag, {k: v or "" for k, v in attrs})
-        self.open[-1].children.append(node)
+        if tag in TABLE_PARTS:
+            self._within_table(tag)
+            self._add(node)
+        elif self._fosters() and tag == "form":
+            return  # stays empty there
+        elif self._fosters() and tag not in ("script", "style", "template"):
+            if tag == "table":  # ends the one whose cells it doesn't stand in
+                self._pop(self._last(("table",)))
+                self.handle_starttag(tag, attrs)
+                return
+            self._foster(node)
+        else:
+            self._add(node)
         if tag not in VOID:
-            self.open.append(node)
-            self.count[tag] = self.count.get(tag, 0) + 1
+            self._push(node)
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)  # HTML ignores the slash
@@ -106,11 +167,19 @@ class Tree(HTMLParser):
                 if self.open[i].tag == tag:
                     self._pop(i)
                     break
-                if self.open[i].tag in ("td", "th", "table") and tag not in ("tr", "tbody", "thead", "tfoot", "table", "td", "th", "body", "html"):
+                if self.open[i].tag in ("td", "th", "table") and tag not in ("tr", "tbody", "thead", "tfoot", "table", "td", "th", "body", "html", "template"):
                     break  # a stray end tag doesn't reach out of its cell
 
     def handle_data(self, data: str) -> None:
-        self.open[-1].children.append(data)
+        if data.strip(" \t\n\r\f"):
+            if self.open[-1].tag == "head":
+                self._end(("head",), ())
+            if self.open[-1].tag == "colgroup":
+                self._pop(len(self.open) - 1)
+            if self._fosters():
+                self._foster(data)
+                return
+        self._add(data)
 
 
 class Page:
