@@ -6,7 +6,7 @@ from collections import Counter
 import pytest
 
 from tidewater.plans import catalog
-from tidewater.sources.tables import table
+from tidewater.sources.tables import ships, table
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
@@ -21,3 +21,10 @@ def test_all_events_are_linked(spark):
     assert {r["auto_id"] for r in catalog.queries()["j8_nearest_all"](spark, SF).collect()} == {i for i in events if i % 2 == 0}
 
 
+def test_all_shipments_are_placed(spark):
+    got = {r["record_id"]: r["place"] for r in catalog.queries()["o2_text_order_all"](spark, SF).collect()}
+    rows = ships(spark, SF).selectExpr("record_id", "year(ship_date) y", "date_format(ship_date, 'MMMM') m", "day(ship_date) d").collect()
+    assert set(got) == {r["record_id"] for r in rows} and len(got) == len(rows)
+    for y in {r["y"] for r in rows}:
+        own = sorted((r for r in rows if r["y"] == y), key=lambda r: (r["m"], str(r["d"]) if r["record_id"] % 3 else "99", r["record_id"]))
+        assert [got[r["record_id"]] for r in own] == list(range(1, len(own) + 1))

@@ -74,13 +74,23 @@ def w11_ranks(spark, d):
     return per.withColumn("place", F.rank().over(Window.partitionBy("destination_port").orderBy(F.desc("ship_count"))))
 
 
-def o2_text_order(spark, d):
+def text_order(s):
     """Places in the order of year, month name and day as texts, missing ones last."""
-    s = ships(spark, d).filter("record_id % 10 = 0").select("record_id", F.year("ship_date").cast("string").alias("y"), N.month_name(F.month("ship_date")).alias("m"), F.when(F.col("record_id") % 3 != 0, F.day("ship_date").cast("string")).alias("dd"))
+    s = s.select("record_id", F.year("ship_date").cast("string").alias("y"), N.month_name(F.month("ship_date")).alias("m"), F.when(F.col("record_id") % 3 != 0, F.day("ship_date").cast("string")).alias("dd"))
     order = [F.coalesce("y", F.lit("9999")), F.coalesce("m", F.lit("ZZZ")), F.coalesce("dd", F.lit("99")), F.col("record_id")]
     return s.withColumn("place", F.row_number().over(Window.partitionBy("y").orderBy(*order))).select("record_id", "place")
 
 
+def o2_text_order(spark, d):
+    """Places among a tenth of the shipments, as its SQL has them."""
+    return text_order(ships(spark, d).filter("record_id % 10 = 0"))
+
+
+def o2_text_order_all(spark, d):
+    """Places among all shipments."""
+    return text_order(ships(spark, d))
+
+
 def o5_natural_order(spark, d):
     """Names by their text and then their number."""
     p = table(spark, d, "part").select("p_brand").distinct()
@@ -104,7 +114,7 @@ def n13_grades(spark, d):
     return e.groupBy(N.grade(F.col("p")).alias("grade")).agg(F.count("*").alias("users"))
 
 
-QUERIES = {f.__name__: f for f in (f5_skip_headers, f9_import_records, p21_fix_table, p29_aliases, p35_recompose, t4_entries, t8_blocks, w7_running_ids, w9_import_blocks, w11_ranks, o2_text_order, o5_natural_order, k9_batches, n5_arrival_dates, n13_grades)}
+QUERIES = {f.__name__: f for f in (f5_skip_headers, f9_import_records, p21_fix_table, p29_aliases, p35_recompose, t4_entries, t8_blocks, w7_running_ids, w9_import_blocks, w11_ranks, o2_text_order, o2_text_order_all, o5_natural_order, k9_batches, n5_arrival_dates, n13_grades)}
 LONG = "|".join(s for s in B.SKIP_HEADERS if len(s) > 4)
 SHORT = ", ".join(quoted(s) for s in B.SKIP_HEADERS if len(s) <= 4)
 SQL = {
@@ -125,3 +135,4 @@ select record_id, cast(row_number() over (partition by y order by y, m, coalesce
     "n5_arrival_dates": f"with {SHIPS} select record_id, strftime(ship_date, '%Y-%m-%d') arrival from ships",
     "n13_grades": """select case when p >= 35 then 'GOOD' when p >= 25 then 'MODERATE' else 'POOR' end grade, count(*) users from (select user_id, 100 * count(*) filter ("value" > 50) / count(*) p from events group by 1) group by 1""",
 }
+SQL["o2_text_order_all"] = SQL["o2_text_order"].replace(" where record_id % 10 = 0", "")
