@@ -109,6 +109,38 @@ def test_languages(spark):
     assert {r["lang_pred"] for r in langid.query(docs.filter("lang = 'xx'").unionByName(odd.filter("doc_id = 1000000"))).collect()} == {"und"}
 
 
+def test_a_frequent_minimizer_is_dealt_to_many_shards(monkeypatch):
+    """A phrase that different text follows each time: no task gets all of its segments, and equal strings still meet."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(suffix, "INDEX_BYTES", 10_000)
+    rng, shards = random.Random(4), 8
+    phrase = bytes(rng.choice(b"abcdefgh") for _ in range(50))
+    texts = [phrase[10:] + bytes(rng.choice(b"abcdefgh") for _ in range(60)) for _ in range(600)] + [phrase + b"the same end"] * 3
+    blocks = [pa.table({"block": pa.array([b] * 201, pa.int32()), "id": pa.array(range(b, 603, 3), pa.int64()), "data": pa.array(texts[b::3], pa.binary())}) for b in range(3)]
+    group = lambda tables, key, k: pa.concat_tables(tables).filter(pa.compute.field(key) == k)
+    asked = [suffix.ask_minimizers(t, shards) for t in blocks]
+    shared = [suffix.shared_minimizers(group(asked, "shard", s)) for s in range(shards)]
+    sought = [suffix.ask_segments(t, group(shared, "block", b), shards).cast(suffix._SEGMENTS) for b, t in enumerate(blocks)]
+    sent = [group(sought, "shard", s) for s in range(2 * shards)]
+    whole = [sum(len(suffix._unpack(b, n, np.uint64)) for b, n in zip(t["minimizers"].to_pylist(), t["n"].to_pylist()) if b is not None) for t in sent]
+    n_strings = [sum(t["n"].to_pylist()) for t in sent[shards:]]
+    assert sum(whole) < 100 and sum(n_strings) > 5_000 and max(n_strings) < 2 * sum(n_strings) / shards
+    told = pa.concat_tables([suffix.answer(t) for t in sent if t.num_rows])
+    told = pa.concat_tables([told, *shared], promote_options="default")
+    got = {}
+    for b, t in enumerate(blocks):
+        out = suffix.cut_out(t, group([told], "block", b), shards)
+        got |= dict(zip(out["id"].to_pylist(), out["kept"].to_pylist()))
+    seen = {}
+    for doc, data in enumerate(texts):
+        gone = bytearray(len(data))
+        for i in range(len(data) - 49):
+            if seen.setdefault(data[i : i + 50], doc) < doc:
+                gone[i : i + 50] = bytes([1]) * 50
+        assert got[doc] == bytes(c for c, g in zip(data, gone) if not g)
+
+
 @pytest.mark.parametrize(
     "page, text",
     [

@@ -10,6 +10,10 @@ exact steps follow, each between blocks of documents and shards of minimizers:
    streams them through it and answers with the smallest id that holds each string,
 3. each block marks what a smaller id holds, and cuts it out.
 
+A minimizer with more segments than an index holds is hot: its segments go as single strings to shards
+of their own, dealt by a hash of the whole string, which compare them without an index. So no minimizer,
+however frequent, has to fit a task.
+
 What repeats is therefore combined in its block before it moves, however many documents hold it.
 """
 
@@ -117,22 +121,29 @@ def _shards(hashes: np.ndarray, shards: int) -> np.ndarray:
 
 
 def ask_minimizers(table: pa.Table, shards: int) -> pa.Table:
-    """Of a block, for each shard: its minimizers, and which of them several documents of the block have."""
+    """Of a block, for each shard: its minimizers, which of them several documents of the block have, and how many segments each has."""
     found: list[np.ndarray] = []
+    times: list[np.ndarray] = []
     held = 0
-    once, twice = np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    once, twice, n_segments = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
 
     def merge() -> None:
-        nonlocal once, twice, found, held
-        values, counts = np.unique(np.concatenate([once, *found]), return_counts=True)
+        nonlocal once, twice, n_segments, found, times, held
+        values, at, counts = np.unique(np.concatenate([once, *found]), return_inverse=True, return_counts=True)
+        n_segments = np.bincount(at, np.concatenate([n_segments, *times]), len(values)).astype(np.int64)
         twice = np.union1d(twice, values[counts > 1])
-        once, found, held = values, [], 0
+        once, found, times, held = values, [], [], 0
+
+    def add(own: list[np.ndarray]) -> None:
+        values, n = np.unique(np.concatenate(own), return_counts=True)
+        found.append(values)
+        times.append(n)
 
     last = None
     own: list[np.ndarray] = []
     for doc, data in sorted(_documents(table), key=lambda x: x[0]):
         if doc != last and own:
-            found.append(np.unique(np.concatenate(own)))
+            add(own)
             held += len(found[-1])
             own = []
         last = doc
@@ -140,7 +151,7 @@ def ask_minimizers(table: pa.Table, shards: int) -> pa.Table:
         if held > 1_000_000:
             merge()
     if own:
-        found.append(np.unique(np.concatenate(own)))
+        add(own)
     merge()
     block, to = table.column("block")[0].as_py(), _shards(once, shards)
     order = np.argsort(to, kind="stable")
@@ -148,20 +159,45 @@ def ask_minimizers(table: pa.Table, shards: int) -> pa.Table:
     rows = []
     for a, b in zip(cuts, [*cuts[1:], len(order)]):
         part = once[order[a:b]]
-        rows.append((int(to[order[a]]), block, _pack48(part), np.packbits(np.isin(part, twice, assume_unique=True)).tobytes()))
-    return pa.table({n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate((("shard", pa.int32()), ("block", pa.int32()), ("hashes", pa.binary()), ("several", pa.binary())))})
+        rows.append((int(to[order[a]]), block, _pack48(part), np.packbits(np.isin(part, twice, assume_unique=True)).tobytes(), _pack(np.ceil(np.log2(n_segments[order[a:b]])).astype(np.uint8))))
+    return pa.table({n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate((("shard", pa.int32()), ("block", pa.int32()), ("hashes", pa.binary()), ("several", pa.binary()), ("sizes", pa.binary())))})
 
 
 def shared_minimizers(table: pa.Table) -> pa.Table:
-    """Of a shard, for each block: its minimizers that more than one document has."""
+    """Of a shard, for each block: its minimizers that more than one document has, and which of them are hot in all blocks together."""
     blocks = table.column("block").to_pylist()
     parts = [_unpack48(b) for b in table.column("hashes").to_pylist()]
     flags = [np.unpackbits(np.frombuffer(b, np.uint8), count=len(p)).astype(bool) for b, p in zip(table.column("several").to_pylist(), parts)]
     everything = np.sort(np.concatenate(parts)) if parts else np.zeros(0, np.uint64)
     again = np.unique(np.concatenate([everything[1:][everything[1:] == everything[:-1]], *(p[f] for p, f in zip(parts, flags))]))
+    n_segments = np.zeros(len(again), np.int64)  # at most twice as many as there are
+    for p, blob in zip(parts, table.column("sizes").to_pylist()):
+        at = np.minimum(np.searchsorted(again, p), len(again) - 1) if len(again) else np.zeros(0, np.int64)
+        hit = again[at] == p if len(again) else np.zeros(0, bool)
+        n_segments[at[hit]] += np.int64(1) << _unpack(blob, len(p), np.uint8)[hit].astype(np.int64)
+    burning = again[n_segments > _hot()]
     out = [p[np.isin(p, again, assume_unique=True)] for p in parts]
     keep = [i for i, p in enumerate(out) if len(p)]
-    return pa.table({"block": pa.array([blocks[i] for i in keep], pa.int32()), "hashes": pa.array([_pack48(out[i]) for i in keep], pa.binary())})
+    hot = [_pack48(np.intersect1d(out[i], burning, assume_unique=True)) for i in keep]
+    return pa.table({"block": pa.array([blocks[i] for i in keep], pa.int32()), "hashes": pa.array([_pack48(out[i]) for i in keep], pa.binary()), "hot": pa.array(hot, pa.binary())})
+
+
+def _hot() -> int:
+    """Segments of a minimizer that fit an index whatever their length."""
+    return INDEX_BYTES // (LONGEST + DEPTH)
+
+
+def _hot_minimizers(shared: pa.Table) -> set[int]:
+    return set(itertools.chain.from_iterable(_unpack48(b).tolist() for b in shared.column("hot").to_pylist()))
+
+
+def _hot_strings(minimizer: dict[bytes, int], hot: set[int], shards: int) -> tuple[list[bytes], dict[int, list[bytes]]]:
+    """The segments of hot minimizers, and their different strings by shard (behind those of segments) in the order in which a block sends them."""
+    long = [s for s, m in minimizer.items() if m in hot] if hot else []
+    by: dict[int, list[bytes]] = {}
+    for string in sorted({s[i : i + DEPTH] for s in long for i in range(len(s) - DEPTH + 1)}):
+        by.setdefault(shards + zlib.crc32(string) % shards, []).append(string)
+    return long, by
 
 
 def _candidates(docs: list[tuple[int, bytes]], shared: pa.Table) -> Iterator[tuple[int, bytes, np.ndarray, np.ndarray, np.ndarray]]:
@@ -187,16 +223,28 @@ def _by_shard(minimizer: dict[bytes, int], shards: int) -> dict[int, list[bytes]
 
 
 def ask_segments(table: pa.Table, shared: pa.Table, shards: int) -> pa.Table:
-    """Of a block, for each shard: its different segments, and the smallest id of each."""
+    """Of a block, for each shard: its different segments, or strings if hot, and the smallest id of each."""
     least: dict[bytes, int] = {}
     minimizer: dict[bytes, int] = {}
+    apart: dict[bytes, int] = {}
     docs = sorted(_documents(table), key=lambda x: x[0], reverse=True)  # the smallest id is written last
     for doc, data, h, first, behind in _candidates(docs, shared):
         own = [data[a:b] for a, b in zip(first.tolist(), (behind + (DEPTH - 1)).tolist())]
         minimizer.update(zip(own, h.tolist()))
         least.update(dict.fromkeys(own, doc))
     block = table.column("block")[0].as_py() if table.num_rows else -1
+    long, strings = _hot_strings(minimizer, _hot_minimizers(shared), shards)
+    for segment in long:
+        del minimizer[segment]
+        doc = least.pop(segment)
+        for i in range(len(segment) - DEPTH + 1):
+            string = segment[i : i + DEPTH]
+            apart[string] = min(apart.get(string, NOBODY), doc)
     rows = [
+        (s, block, len(own), DEPTH * len(own), None, None, _pack(np.array([apart[k] for k in own], np.int64)), pa.compress(b"".join(own), codec="zstd", asbytes=True))
+        for s, own in strings.items()
+    ]
+    rows += [
         (s, block, len(own), sum(map(len, own)), _pack(np.array([minimizer[k] for k in own], np.uint64)), _pack(np.array(list(map(len, own)), np.int32)),
          _pack(np.array([least[k] for k in own], np.int64)), pa.compress(b"".join(own), codec="zstd", asbytes=True))
         for s, own in _by_shard(minimizer, shards).items()
@@ -209,6 +257,8 @@ _SEGMENTS = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("n", pa.in
 
 def answer(table: pa.Table) -> pa.Table:
     """Of a shard, for each block and segment: the smallest id that holds each of its strings."""
+    if table.column("sizes").null_count:
+        return _answer_strings(table)
     asked, least, groups = [], {}, {}
     for r in table.to_pylist():
         sizes, text = _unpack(r["sizes"], r["n"], np.int32), pa.decompress(r["bytes"], r["n_bytes"], codec="zstd", asbytes=True)
@@ -236,9 +286,6 @@ def answer(table: pa.Table) -> pa.Table:
         size = sum(map(len, group)) + len(group)
         if len(group) == 1:  # a minimizer with one segment shares strings with no other
             continue
-        if size > INDEX_BYTES:
-            owners.update(_strings_apart(group, least))
-            continue
         if held + size > INDEX_BYTES:
             index()
             held = 0
@@ -254,24 +301,27 @@ def answer(table: pa.Table) -> pa.Table:
             if (found := owners.get(s)) is not None:
                 values[end - len(found) : end] = found
         rows.append((block, table.column("shard")[0].as_py(), len(values), _pack(values)))
+    return _answers(rows)
+
+
+def _answers(rows: list[tuple]) -> pa.Table:
     return pa.table({n: pa.array([r[i] for r in rows], t) for i, (n, t) in enumerate((("block", pa.int32()), ("shard", pa.int32()), ("n", pa.int64()), ("least", pa.binary())))})
 
 
-def _strings_apart(group: list[bytes], least: dict[bytes, int]) -> Iterator[tuple[bytes, np.ndarray]]:
-    """The answers for segments that one index can't hold: their strings are dealt to as many as it takes."""
-    strings: dict[bytes, int] = {}
-    for segment in group:
-        for i in range(len(segment) - DEPTH + 1):
-            string = segment[i : i + DEPTH]
-            strings[string] = min(strings.get(string, NOBODY), least[segment])
-    parts: list[list[bytes]] = [[] for _ in range(len(strings) * (DEPTH + 1) // INDEX_BYTES * 2 + 2)]
-    for string in strings:
-        parts[zlib.crc32(string) % len(parts)].append(string)
-    for part in filter(None, parts):
-        found = RunIndex(part, np.array([strings[s] for s in part], np.int64), DEPTH).least_owners(part)
-        strings.update(zip(part, (int(f[0]) for f in found)))
-    for segment in group:
-        yield segment, np.array([strings[segment[i : i + DEPTH]] for i in range(len(segment) - DEPTH + 1)], np.int64)
+def _answer_strings(table: pa.Table) -> pa.Table:
+    """Of a shard of hot strings, for each block and string: the smallest id that holds it."""
+    blobs = list(zip(*(table.column(c).to_pylist() for c in ("block", "shard", "n", "n_bytes", "ids", "bytes"))))
+
+    def own(n: int, n_bytes: int, blob: bytes) -> Iterator[bytes]:
+        text = pa.decompress(blob, n_bytes, codec="zstd", asbytes=True)
+        return (text[i : i + DEPTH] for i in range(0, n_bytes, DEPTH))
+
+    least: dict[bytes, int] = {}
+    for _, _, n, n_bytes, ids, blob in blobs:
+        for string, doc in zip(own(n, n_bytes, blob), _unpack(ids, n, np.int64).tolist()):
+            if doc < least.get(string, NOBODY):
+                least[string] = doc
+    return _answers([(block, shard, n, _pack(np.array([least.get(k, NOBODY) for k in own(n, n_bytes, blob)], np.int64))) for block, shard, n, n_bytes, _, blob in blobs])
 
 
 def cut_out(table: pa.Table, told: pa.Table, shards: int) -> pa.Table:
@@ -286,6 +336,16 @@ def cut_out(table: pa.Table, told: pa.Table, shards: int) -> pa.Table:
     answers = {r["shard"]: _unpack(r["least"], r["n"], np.int64) for r in told.select(["shard", "n", "least"]).to_pylist() if r["least"] is not None}
     # Of each segment the answers for its strings, and the extremes of these.
     known: dict[bytes, tuple[int, int, int, int, int]] = {}
+    long, strings = _hot_strings(minimizer, _hot_minimizers(shared), shards)
+    if long:
+        apart = dict(itertools.chain.from_iterable(zip(own, answers[s].tolist()) for s, own in strings.items()))
+        each = [np.array([apart[k[i : i + DEPTH]] for i in range(len(k) - DEPTH + 1)], np.int64) for k in long]
+        at = 0
+        for segment, values in zip(long, each):
+            del minimizer[segment]
+            known[segment] = (int(values.min()), int(values.max()), at, at + len(values), -1)
+            at += len(values)
+        answers[-1] = np.concatenate(each)
     for s, own in _by_shard(minimizer, shards).items():
         ends = np.cumsum(np.array(list(map(len, own)), np.int64) - (DEPTH - 1))
         starts = np.concatenate([[0], ends[:-1]])
@@ -338,14 +398,14 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry
     )
     kinds = "".join(f", {n} {docs.schema[c].dataType.simpleString()}" for c, n in zip(carry, more))
     dealt = rows.filter("id is not null").repartition("block")  # one exchange, which all three steps read
-    asked = dealt.groupBy("block").applyInArrow(lambda t: ask_minimizers(t, shards), "shard int, block int, hashes binary, several binary")
-    shared = asked.groupBy("shard").applyInArrow(shared_minimizers, "block int, hashes binary")
+    asked = dealt.groupBy("block").applyInArrow(lambda t: ask_minimizers(t, shards), "shard int, block int, hashes binary, several binary, sizes binary")
+    shared = asked.groupBy("shard").applyInArrow(shared_minimizers, "block int, hashes binary, hot binary")
     sought = dealt.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(
         lambda t, s: ask_segments(t, s, shards),
         "shard int, block int, n int, n_bytes long, minimizers binary, sizes binary, ids binary, bytes binary",
     )
     answers = sought.groupBy("shard").applyInArrow(answer, "block int, shard int, n long, least binary")
-    told = answers.withColumn("hashes", F.lit(None).cast("binary")).unionByName(shared, allowMissingColumns=True)
+    told = answers.withColumns({"hashes": F.lit(None).cast("binary"), "hot": F.lit(None).cast("binary")}).unionByName(shared, allowMissingColumns=True)
     done = dealt.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(lambda t, s: cut_out(t, s, shards), f"id long, removed {REMOVED}, kept binary{kinds}")
     free = rows.filter("id is null").select("id", F.array().cast(REMOVED).alias("removed"), F.col("data").alias("kept"), *more)
     out = done.unionByName(free)
