@@ -1,10 +1,11 @@
 """Language-model scores by stupid backoff, from n-gram counts of the whole corpus.
 
-Each document is scored by the counts of all other documents. Texts are dealt to blocks; for each
-order, a block sends its different n-grams, as hashes and with their counts, to the shards of the
-count table, which are partitioned by hash; the shards add up and join the totals back to what each
-block asked for. An n-gram that other documents hold has both of its shorter parts in other
-documents, so higher orders ask only for those. The block then sums the scores of each document.
+Each document is scored by the counts of all other documents. Every task packs the texts it reads into
+blocks of word numbers, so texts are split and hashed once. For each order, a block sends its different
+n-grams, as hashes and with their counts, to the shards of the count table, which are partitioned by
+hash; the shards add up and join the totals back to what each block asked for. An n-gram that other
+documents hold has both of its shorter parts in other documents, so higher orders ask only for those.
+The block then sums the scores of each document.
 """
 
 from __future__ import annotations
@@ -14,105 +15,135 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .rules import words_of
 from .shared import parts, text_bytes
 
 ORDER = 3
 BACKOFF = 0.4
 BLOCK_BYTES = 8 << 20
 SHARD_BYTES = 16 << 20
-#: Words whose hashes a Python worker remembers.
-CACHE_WORDS = 500_000
 _ODD, _MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 
 
-class _Hashes(dict):
-    """Hashes of words, worked out when first asked for."""
+class _Numbers(dict):
+    """Numbers of words in the order in which they are first asked for."""
 
     def __missing__(self, word: bytes) -> int:
-        self[word] = h = xxhash.xxh64_intdigest(word)
-        return h
-
-
-_known = _Hashes()
-
-
-def _hashes(words: list[bytes]) -> np.ndarray:
-    if len(_known) > CACHE_WORDS:
-        _known.clear()
-    return np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))
+        self[word] = n = len(self)
+        return n
+
+
+def _cuts(data: bytes, size: int = 1 << 22) -> Iterator[slice]:
+    """Slices of about ``size`` bytes that end at spaces or line ends."""
+    at = 0
+    while at < len(data):
+        end = at + size
+        if end < len(data):
+            found = [p for p in (data.find(b" ", end), data.find(b"\n", end)) if p >= 0]
+            end = min(found, default=len(data))
+        yield slice(at, end)
+        at = end
+
+
+BLOCKS = pa.schema([("block", pa.int64()), ("ids", pa.list_(pa.int64())), ("sizes", pa.binary()), ("vocabulary", pa.binary()), ("n", pa.int64()), ("codes", pa.binary())])
+
+
+def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of documents: ids, words of each, hashes of the different words, and the words as numbers of these."""
+    first = TaskContext.get().partitionId() << 32
+    ids: list[int | None] = []
+    sizes: list[int] = []
+    codes: list[np.ndarray] = []
+    numbers, held = _Numbers(), 0
+
+    def row() -> pa.RecordBatch:
+        nonlocal numbers, held, first
+        vocabulary = np.fromiter(map(xxhash.xxh64_intdigest, numbers), np.uint64, len(numbers))
+        flat = np.concatenate([np.zeros(0, np.uint32), *codes])
+        planes = _pack(np.ascontiguousarray(flat.view(np.uint8).reshape(-1, 4).T))
+        values = (first, list(ids), np.array(sizes, np.int64).tobytes(), vocabulary.tobytes(), len(flat), planes)
+        numbers, held, first = _Numbers(), 0, first + 1
+        ids.clear(), sizes.clear(), codes.clear()
+        return pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, BLOCKS)], schema=BLOCKS)
+
+    for b in batches:
+        for i in range(b.num_rows):
+            data, n = b.column(1)[i].as_py().lower(), 0
+            for at in _cuts(data):
+                words = data[at].split()
+                codes.append(np.fromiter(map(numbers.__getitem__, words), np.uint32, len(words)))
+                n += len(words)
+            ids.append(b.column(0)[i].as_py())
+            sizes.append(n)
+            held += len(data)
+            if held >= BLOCK_BYTES:
+                yield row()
+    if ids:
+        yield row()
+
+
+class Level:
+    """The places of n-grams in use, by n-gram and place, and what their different n-grams are."""
+
+    def __init__(self, block: Block, n: int, below: Level | None, counts: np.ndarray | None):
+        use = block.left >= n
+        if below is not None and len(use):
+            use &= (counts > 0) & np.append(counts[1:] > 0, False)
+        at = np.flatnonzero(use)
+        # What comes before the last word and the last word tell n-grams apart.
+        key = block.codes[at + n - 1] if below is None else below.rank[at] * len(block.vocabulary) + block.codes[at + n - 1]
+        bits = max(1, len(use).bit_length())
+        if len(key) and int(key.max()).bit_length() + bits > 63:
+            key = np.unique(key, return_inverse=True)[1].astype(np.int64)
+        mixed = np.sort(key << bits | at)
+        self.at, key = mixed & ((1 << bits) - 1), mixed >> bits
+        first = np.concatenate([[True], key[1:] != key[:-1]]) if len(key) else np.zeros(0, bool)
+        starts = np.flatnonzero(first)
+        self.counts = np.diff(np.append(starts, len(key)))
+        self.rank = np.full(len(use), -1, np.int64)
+        self.rank[self.at] = np.cumsum(first) - 1
+        doc = block.doc[self.at]
+        own = np.flatnonzero(first | np.concatenate([[True], doc[1:] != doc[:-1]])) if len(key) else starts
+        times = np.diff(np.append(own, len(key)))
+        self.per_doc = np.repeat(times, times)
+        hashes = block.hashes(self.at[starts], n)
+        self.order = np.argsort(hashes)
+        self.grams = hashes[self.order]
+
+    def others(self, totals: np.ndarray) -> np.ndarray:
+        """For each place, how often other documents hold its n-gram; ``totals`` are in order of the hashes."""
+        by_rank, out = np.empty(len(totals), np.int64), np.zeros(len(self.rank), np.int64)
+        by_rank[self.order] = totals
+        out[self.at] = np.repeat(by_rank, self.counts) - self.per_doc
+        return out
 
 
 class Block:
-    """The words of a block's documents behind each other, and the counts in other documents level by level."""
+    """The words of a block's documents behind each other."""
 
     def __init__(self, table: pa.Table):
-        parts, sizes, self.ids = [], [], []
-        for batch in table.select(["id", "data"]).to_batches():
-            for i in range(batch.num_rows):
-                data, n = batch.column(1)[i].as_py().lower(), 0
-                for at in self._cuts(data):
-                    part = _hashes(data[at].split())
-                    parts.append(part)
-                    n += len(part)
-                sizes.append(n)
-                self.ids.append(batch.column(0)[i].as_py())
-        self.sizes = np.array(sizes, np.int64)
-        self.words = np.concatenate([np.zeros(0, np.uint64), *parts])
-        self.doc = np.repeat(np.arange(len(sizes)), self.sizes)
-        self.left = np.repeat(np.cumsum(self.sizes), self.sizes) - np.arange(len(self.words))  # words from here to the document's end
-
-    @staticmethod
-    def _cuts(data: bytes, size: int = 1 << 22) -> Iterator[slice]:
-        """Slices of about ``size`` bytes that end at spaces or line ends."""
-        at = 0
-        while at < len(data):
-            end = at + size
-            if end < len(data):
-                found = [p for p in (data.find(b" ", end), data.find(b"\n", end)) if p >= 0]
-                end = min(found, default=len(data))
-            yield slice(at, end)
-            at = end
-
-    def grams(self, n: int) -> np.ndarray:
-        """A hash for each place; places with fewer than ``n`` words left are of no use."""
-        h = self.words.copy()
+        row = table.select(BLOCKS.names).to_pylist()[0]
+        self.number, self.ids = row["block"], row["ids"]
+        self.sizes, self.vocabulary = np.frombuffer(row["sizes"], np.int64), np.frombuffer(row["vocabulary"], np.uint64)
+        n = row["n"]
+        planes = pa.decompress(row["codes"], 4 * n, codec="zstd", asbytes=True) if n else b""
+        self.codes = np.ascontiguousarray(np.frombuffer(planes, np.uint8).reshape(4, n).T).view(np.uint32).ravel().astype(np.int64)
+        self.doc = np.repeat(np.arange(len(self.sizes)), self.sizes)
+        self.left = np.repeat(np.cumsum(self.sizes), self.sizes) - np.arange(n)  # words from here to the document's end
+
+    def hashes(self, places: np.ndarray, n: int) -> np.ndarray:
+        """The hashes of the n-grams at ``places``."""
+        h = self.vocabulary[self.codes[places]]
         for k in range(1, n):
-            h = h * _ODD
-            h[: len(h) - k] += self.words[k:]
+            h = h * _ODD + self.vocabulary[self.codes[places + k]]
             h ^= h >> np.uint64(29)
             h *= _MIX
             h ^= h >> np.uint64(32)
         return h
 
-    def level(self, n: int, below: np.ndarray | None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Places in order of their n-grams, where each different one begins, these, and each place's count in its document.
-
-        Only places count whose two shorter n-grams are ``below`` 0 nowhere.
-        """
-        use = self.left >= n
-        if below is not None and len(below):
-            use &= (below > 0) & np.append(below[1:] > 0, False)
-        at = np.flatnonzero(use)
-        h = self.grams(n)[at]
-        order = np.argsort(h, kind="stable")
-        at, h = at[order], h[order]
-        first = np.concatenate([[True], h[1:] != h[:-1]]) if len(h) else np.zeros(0, bool)
-        own = first | np.concatenate([[True], self.doc[at[1:]] != self.doc[at[:-1]]]) if len(h) else first
-        starts = np.flatnonzero(own)
-        per_doc = np.repeat(np.diff(np.append(starts, len(h))), np.diff(np.append(starts, len(h))))
-        return at, np.flatnonzero(first), h[first], per_doc
-
-    def others(self, n: int, below: np.ndarray | None, totals: np.ndarray) -> np.ndarray:
-        """For each place, how often other documents hold its n-gram; ``totals`` are in order of the different ones."""
-        at, starts, grams, per_doc = self.level(n, below)
-        out = np.zeros(len(self.words), np.int64)
-        out[at] = np.repeat(totals, np.diff(np.append(starts, len(at)))) - per_doc
-        return out
-
 
 def _pack(values: np.ndarray) -> bytes:
     return pa.compress(np.ascontiguousarray(values), codec="zstd", asbytes=True) if len(values) else b""
@@ -140,45 +171,57 @@ def _cut(grams: np.ndarray, shards: int) -> np.ndarray:
     return np.concatenate([[0], np.searchsorted(grams, np.array(bounds, np.uint64)), [len(grams)]])
 
 
-ASKED = pa.schema([("shard", pa.int32()), ("block", pa.int32()), ("n", pa.int64()), ("grams", pa.binary()), ("counts", pa.binary())])
-TOLD = pa.schema([("block", pa.int32()), ("level", pa.int32()), ("shard", pa.int32()), ("n", pa.int64()), ("words", pa.int64()), ("totals", pa.binary())])
+ASKED = pa.schema([("shard", pa.int32()), ("block", pa.int64()), ("n", pa.int64()), ("grams", pa.binary()), ("counts", pa.binary())])
+TOLD = pa.schema([("block", pa.int64()), ("level", pa.int32()), ("shard", pa.int32()), ("n", pa.int64()), ("words", pa.int64()), ("totals", pa.binary())])
 
 
-def _levels(block: Block, told: pa.Table) -> tuple[list[np.ndarray], int]:
-    """Counts in other documents of each level that was told, and the words of the corpus."""
+def _levels(block: Block, told: pa.Table, order: int) -> tuple[list[np.ndarray], Level | None, int]:
+    """Counts in other documents of each order up to ``order``, the last of these levels, and the words of the corpus."""
     rows = sorted(told.select(["level", "shard", "n", "words", "totals"]).to_pylist(), key=lambda r: (r["level"], r["shard"]))
-    out: list[np.ndarray] = []
-    words = sum(r["words"] for r in rows if r["level"] == 0)
-    for n in range(1, max((r["level"] for r in rows), default=0) + 1):
-        totals = np.concatenate([np.zeros(0, np.int64), *(_unpack(r["totals"], r["n"]) for r in rows if r["level"] == n)])
-        out.append(block.others(n, out[-1] if out else None, totals))
-    return out, words
+    level, counts = None, []
+    for n in range(1, order + 1):
+        level = Level(block, n, level, counts[-1] if counts else None)
+        counts.append(level.others(np.concatenate([np.zeros(0, np.int64), *(_unpack(r["totals"], r["n"]) for r in rows if r["level"] == n)])))
+    return counts, level, sum(r["words"] for r in rows)
+
+
+def _asked(block: Block, level: Level, shards: int, all_shards: bool) -> pa.RecordBatch:
+    """For each shard the different n-grams of a level and how often they occur."""
+    cuts, counts = _cut(level.grams, shards), level.counts[level.order]
+    rows = [(s, block.number, int(b - a), _planes(level.grams[a:b]), _pack(counts[a:b])) for s, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())) if b > a or all_shards]
+    return pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], f.type) for i, f in enumerate(ASKED)], schema=ASKED)
+
+
+def ask_words(batches: Iterator[pa.RecordBatch], shards: int) -> Iterator[pa.RecordBatch]:
+    """What blocks ask first: their words, of every shard, so that each shard's share of the corpus reaches every block."""
+    for b in batches:
+        for i in range(b.num_rows):
+            block = Block(pa.Table.from_batches([b.slice(i, 1)]))
+            yield _asked(block, Level(block, 1, None, None), shards, True)
 
 
 def ask(table: pa.Table, told: pa.Table, n: int, shards: int) -> pa.Table:
-    """Of a block, for each shard: its different n-grams of order ``n`` and how often they occur."""
-    number = table.column("block")[0].as_py() if table.num_rows else -1
+    """What a block asks of order ``n``, 2 or more."""
+    if not table.num_rows:
+        return ASKED.empty_table()
     block = Block(table)
-    below, _ = _levels(block, told)
-    while len(below) < n - 1:  # no answer came, as nothing was asked
-        below.append(np.zeros(len(block.words), np.int64))
-    at, starts, grams, _ = block.level(n, below[-1] if below else None)
-    counts = np.diff(np.append(starts, len(at)))
-    cuts = _cut(grams, shards)
-    rows = [(s, number, int(b - a), _planes(grams[a:b]), _pack(counts[a:b])) for s, (a, b) in enumerate(zip(cuts[:-1].tolist(), cuts[1:].tolist())) if b > a]
-    return pa.table({f.name: pa.array([r[i] for r in rows], f.type) for i, f in enumerate(ASKED)})
+    counts, below, _ = _levels(block, told, n - 1)
+    return pa.Table.from_batches([_asked(block, Level(block, n, below, counts[-1]), shards, False)])
 
 
 def add_up(table: pa.Table, level: int) -> pa.Table:
     """Of a shard: the totals of its n-grams, joined to what each block asked for."""
     rows = table.to_pylist()
-    grams = [_from_planes(r["grams"], r["n"]) for r in rows]
-    values, at = np.unique(np.concatenate(grams), return_inverse=True)
-    totals = np.zeros(len(values), np.int64)
-    np.add.at(totals, at, np.concatenate([_unpack(r["counts"], r["n"]) for r in rows]))
-    joined, out, begin = totals[at], [], 0
+    grams = np.concatenate([_from_planes(r["grams"], r["n"]) for r in rows])
+    counts = np.concatenate([_unpack(r["counts"], r["n"]) for r in rows])
+    order = np.argsort(grams)
+    grams, joined = grams[order], np.empty(len(grams), np.int64)
+    if len(grams):
+        starts = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
+        joined[order] = np.repeat(np.add.reduceat(counts[order], starts), np.diff(np.append(starts, len(grams))))
+    words, out, begin = int(counts.sum()) if level == 1 else 0, [], 0
     for r in rows:
-        out.append((r["block"], level, r["shard"], r["n"], 0, _pack(joined[begin : begin + r["n"]])))
+        out.append((r["block"], level, r["shard"], r["n"], words, _pack(joined[begin : begin + r["n"]])))
         begin += r["n"]
     return pa.table({f.name: pa.array([r[i] for r in out], f.type) for i, f in enumerate(TOLD)})
 
@@ -186,16 +229,14 @@ def add_up(table: pa.Table, level: int) -> pa.Table:
 def score(table: pa.Table, told: pa.Table, order: int) -> pa.Table:
     """Of a block: each document's words and the sum of its words' log10 scores."""
     block = Block(table)
-    counts, corpus = _levels(block, told)
-    while len(counts) < order:
-        counts.append(np.zeros(len(block.words), np.int64))
+    counts, _, corpus = _levels(block, told, order)
     others = corpus - block.sizes[block.doc]  # words in other documents
     # A word at p is the last of the n-gram at p - n + 1. Unseen words share the chance of one more word.
     log = np.log10(np.maximum(counts[0], 1) / (others + (counts[0] == 0)))
     penalty = np.log10(BACKOFF)
     for n in range(2, order + 1):
-        has = np.zeros(len(block.words), bool)
-        whole, context = np.zeros(len(block.words), np.int64), np.zeros(len(block.words), np.int64)
+        has = np.zeros(len(block.codes), bool)
+        whole, context = np.zeros(len(block.codes), np.int64), np.zeros(len(block.codes), np.int64)
         fit = np.flatnonzero(block.left >= n)
         has[fit + n - 1] = True
         whole[fit + n - 1], context[fit + n - 1] = counts[n - 1][fit], counts[n - 2][fit]
@@ -214,22 +255,14 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
     most ``order - 1`` words for which c(context word) > 0, times 0.4 for each shortening (only contexts that
     the document has count); a word found nowhere else counts like one more word, 1 / (words + 1). Null
     and wordless texts have no words and score 0. Equal texts in several rows see each other; rows with
-    equal or null ids are scored like others.
+    equal or null ids are scored like others. ``docs`` is a table, or other rows that come in the same
+    order when a lost task runs again (write them first if they come out of a shuffle).
     """
-    size = text_bytes(docs, text_col)
-    blocks, shards = parts(docs.sparkSession, size, BLOCK_BYTES), parts(docs.sparkSession, size, SHARD_BYTES)
-    rows = docs.select(
-        F.pmod(F.xxhash64(F.col(id_col), F.octet_length(text_col)), F.lit(blocks)).cast("int").alias("block"),
-        F.col(id_col).cast("long").alias("id"),
-        F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("data"),
-    )
-    dealt = rows.repartition("block")  # one exchange, which all levels read
-    spark = docs.sparkSession
-    # The size of the corpus reaches every block as level 0.
-    words = docs.agg(F.coalesce(F.sum(F.size(words_of(F.col(text_col))).cast("long")), F.lit(0))).first()[0]
-    told = spark.range(blocks).select(
-        F.col("id").cast("int").alias("block"), F.lit(0).alias("level"), F.lit(0).alias("shard"), F.lit(0).cast("long").alias("n"), F.lit(words).cast("long").alias("words"), F.lit(b"").alias("totals")
-    )
+    shards = parts(docs.sparkSession, text_bytes(docs, text_col), SHARD_BYTES)
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("data"))
+    # One exchange, which all orders read.
+    dealt = rows.mapInArrow(packed, "block long, ids array<long>, sizes binary, vocabulary binary, n long, codes binary").repartition("block")
+    asks, tells = "shard int, block long, n long, grams binary, counts binary", "block long, level int, shard int, n long, words long, totals binary"
 
     def asker(n: int):
         return lambda t, s: ask(t, s, n, shards)
@@ -237,9 +270,12 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
     def adder(n: int):
         return lambda t: add_up(t, n)
 
+    asked, told = dealt.mapInArrow(lambda b: ask_words(b, shards), asks), None
     for n in range(1, order + 1):
-        asked = dealt.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(asker(n), "shard int, block int, n long, grams binary, counts binary")
-        told = told.unionByName(asked.groupBy("shard").applyInArrow(adder(n), "block int, level int, shard int, n long, words long, totals binary"))
+        if told is not None:
+            asked = dealt.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(asker(n), asks)
+        answers = asked.groupBy("shard").applyInArrow(adder(n), tells)
+        told = answers if told is None else told.unionByName(answers)
     out = dealt.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(lambda t, s: score(t, s, order), "id long, n_words long, log_score double")
     return out.withColumnRenamed("id", id_col)
 
