@@ -29,6 +29,24 @@ def test_ids_and_text_are_the_librarys():
         assert mine.decode(ids) == theirs.decode(want.ids, skip_special_tokens=False)
 
 
+def test_every_code_point_alone_is_encoded_as_by_the_library():
+    mine, theirs = bpe.load(PATH), tokenizers.Tokenizer.from_file(PATH)
+    texts = [f"a{chr(c)}b" for c in range(0x110000) if not 0xD800 <= c < 0xE000] + ["BAKI ƏLI", "Ɔkan", "aȺb", "İstanbul", "ȺȾ Ɐ"]
+    for at in range(0, len(texts), 50_000):
+        part = texts[at : at + 50_000]
+        want = theirs.encode_batch(part, add_special_tokens=False)
+        assert [t for t, ids, w in zip(part, mine.encode(part), want) if np.frombuffer(ids, "<u4").tolist() != w.ids] == []
+
+
+def test_forgotten_words_and_pairs_are_learned_anew(monkeypatch):
+    texts = noise(80, "abcdefgh ", 200, 7)
+    whole = bpe.WordBpe(PATH).encode(texts)
+    monkeypatch.setattr(bpe, "CACHE_WORDS", 20)
+    monkeypatch.setattr(bpe, "CACHE_PAIRS", 10)
+    small = bpe.WordBpe(PATH)
+    assert [i for t in texts + texts for i in small.encode([t])] == whole + whole
+
+
 def test_long_texts_and_a_full_memory(monkeypatch):
     monkeypatch.setattr(bpe, "SEGMENT_CHARS", 50)
     monkeypatch.setattr(bpe, "CACHE_WORDS", 7)

@@ -14,7 +14,7 @@ import re
 import struct
 import unicodedata
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
+from functools import cached_property, lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -29,6 +29,7 @@ SPACE = "".join(map(chr, [*range(0x09, 0x0E), 0x20, 0x85, 0xA0, 0x1680, *range(0
 _SPACE_RUN = re.compile(f"[{SPACE}]+")
 _SHORT = "'s|'t|'re|'ve|'m|'ll|'d"
 _LATIN_END = "\u0250"
+_BEYOND_LATIN = re.compile(f"[{_LATIN_END}-\U0010ffff]")
 
 
 def _class(kind: str) -> str:
@@ -39,10 +40,11 @@ def _class(kind: str) -> str:
 # Letters, digits and quotes start different alternatives, so that the common case may come first.
 _ASCII_PIECE = re.compile(rf"[a-z]+|{_SHORT}|[0-9]|[^{SPACE}a-z0-9]+")
 _LATIN_PIECE = re.compile(rf"[{_class('L')}]+|{_SHORT}|[{_class('N')}]|[^{SPACE}{_class('L')}{_class('N')}]+")
-#: Words remembered by a Python worker; beyond it the memory starts anew.
+#: Words of each of a Python worker's two generations of memory, and pairs of tokens that it remembers.
 CACHE_WORDS = 400_000
+CACHE_PAIRS = 400_000
 #: Characters whose words are held at a time.
-SEGMENT_CHARS = 1 << 21
+SEGMENT_CHARS = 1 << 22
 NEVER = 1 << 60
 
 
@@ -67,8 +69,6 @@ class WordBpe:
             spec = json.load(f)
         self.vocab: dict[str, int] = spec["model"]["vocab"]
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
-        self.names: dict[int, str] = {i: s for s, i in self.vocab.items()} | {i: s for s, i in self.special.items()}
-        self.name_array = [self.names.get(i, "") for i in range(max(self.names) + 1)]
         self.special_split = re.compile("(" + "|".join(map(re.escape, self.special)) + ")") if self.special else None
         self.rank: dict[tuple[int, int], int] = {}
         parts: dict[int, tuple[int, int, int]] = {}
@@ -78,32 +78,35 @@ class WordBpe:
             self.rank[left, right] = rank
             parts[self.vocab[a + b]] = (left, right, rank)
         self.parts = parts
-        self.width: dict[int, int] = {}
+        self.width = [0] * (max(self.vocab.values()) + 1)
         self._automaton()
         self.bytes = byte_alphabet()
         self.byte_of = {c: b for b, c in enumerate(self.bytes)}
-        self.rules = Tokenizer.from_file(path)
-        self._fits: dict[int, bool] = {}
+        self.path = path
+        self._fits: list[dict[int, bool]] = [{} for _ in self.width]  # by the right token, then by the left one
+        self._pairs = 0
         self._ids: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
 
     def _automaton(self) -> None:
         """States are the prefixes of vocabulary strings; each knows the tokens that are its suffixes, longest first."""
-        self.step: dict[int, int] = {}  # (state, character) -> state
+        self.step: list[dict[str, int]] = [{}]  # of each state: character -> state
         self.inner_at: list[tuple[int, ...]] = [()]
         self.final_at: list[tuple[int, ...]] = [()]
-        chars, parent, inner, final = [0], [0], {}, {}
+        chars, parent, inner, final = [""], [0], {}, {}
         for name, token in self.vocab.items():
             ends = name.endswith(WORD_END) and name != WORD_END
             text, at = name[: -len(WORD_END)] if ends else name, 0
             self.width[token] = len(text)
             for c in text:
-                key = at << 16 | ord(c)
-                if (to := self.step.get(key)) is None:
-                    to = self.step[key] = len(chars)
-                    chars.append(ord(c))
+                if (to := self.step[at].get(c)) is None:
+                    to = self.step[at][c] = len(chars)
+                    self.step.append({})
+                    chars.append(c)
                     parent.append(at)
                 at = to
             (final if ends else inner)[at] = token
+        self._fallbacks = 0
         # Breadth first: the longest proper suffix of a state that is a state, too.
         depth = [0] * len(chars)
         for at in range(1, len(chars)):
@@ -117,14 +120,14 @@ class WordBpe:
             self.inner_at[at] = ((inner[at],) if at in inner else ()) + self.inner_at[to]
             self.final_at[at] = ((final[at],) if at in final else ()) + self.final_at[to]
 
-    def _step(self, at: int, char: int) -> int:
+    def _step(self, at: int, char: str) -> int:
         """The state after ``char``; what the vocabulary doesn't continue falls back to a suffix."""
-        key = at << 16 | char
-        to = self.step.get(key)
+        to = self.step[at].get(char)
         if to is None:
             to = self._step(self.back[at], char) if at else 0
-            if at and len(self.step) < 500_000:
-                self.step[key] = to
+            if at and self._fallbacks < 400_000:
+                self._fallbacks += 1
+                self.step[at][char] = to
         return to
 
     def _edge(self, token: int, side: int) -> list[tuple[int, int]]:
@@ -138,7 +141,7 @@ class WordBpe:
 
     def fits(self, left: int, right: int) -> bool:
         """Whether no merge crosses the border of ``left`` and ``right``."""
-        known = self._fits.get(left << 20 | right)
+        known = self._fits[right].get(left)
         if known is None:
             known, edge = True, self._edge(right, 0)
             for a, a_until in self._edge(left, 1):
@@ -146,9 +149,12 @@ class WordBpe:
                     # Of equal merges the leftmost comes first: a's own wins a tie, b's own loses it.
                     if (r := self.rank.get((a, b))) is not None and a_until > r and b_until >= r:
                         known = False
-            if len(self._fits) > 300_000:
-                self._fits.clear()
-            self._fits[left << 20 | right] = known
+            if self._pairs >= CACHE_PAIRS:
+                self._pairs = 0
+                for row in self._fits:
+                    row.clear()
+            self._pairs += 1
+            self._fits[right][left] = known
         return known
 
     def encode_words(self, words: Iterable[str]) -> dict[str, list[int]]:
@@ -157,28 +163,32 @@ class WordBpe:
         last, states = [-1], [0]  # by depth on the current path: last token of that prefix, state
         before, width, fits = "", self.width, self._fits
         steps, inner_at, final_at = self.step, self.inner_at, self.final_at
+
+        def last_token(tokens: tuple[int, ...], d: int) -> tuple[int, int]:
+            """Which of ``tokens``, all of which end the first ``d`` characters, ends their encoding; and where it begins."""
+            for token in tokens:
+                rest = d - width[token]
+                if not rest:
+                    return token, 0
+                left = last[rest]
+                fit = fits[token].get(left)
+                if self.fits(left, token) if fit is None else fit:
+                    return token, rest
+            raise ValueError("the vocabulary lacks a byte")
+
         for word in sorted(words):
             n, depth, most = len(word), 0, min(len(word), len(before)) - 1
             while depth < most and word[depth] == before[depth]:
                 depth += 1
             del last[depth + 1 :], states[depth + 1 :]
             at = states[depth]
-            for d in range(depth + 1, n + 1):
-                char = ord(word[d - 1])
-                to = steps.get(at << 16 | char)
+            for d in range(depth, n - 1):
+                char = word[d]
+                to = steps[at].get(char)
                 at = self._step(at, char) if to is None else to
-                for token in inner_at[at] if d < n else final_at[at]:
-                    rest = d - width[token]
-                    if rest == 0:
-                        break
-                    fit = fits.get(last[rest] << 20 | token)
-                    if self.fits(last[rest], token) if fit is None else fit:
-                        break
-                else:
-                    raise ValueError("the vocabulary lacks a byte")
-                if d < n:
-                    last.append(token)
-                    states.append(at)
+                last.append(last_token(inner_at[at], d + 1)[0])
+                states.append(at)
+            token, rest = last_token(final_at[self._step(at, word[-1])], n)
             ids = [token]
             while rest:
                 ids.append(last[rest])
@@ -188,6 +198,11 @@ class WordBpe:
             before = word
         return out
 
+    @cached_property
+    def rules(self) -> Tokenizer:
+        """The file's own normalizer and splitter, which only texts beyond Latin need."""
+        return Tokenizer.from_file(self.path)
+
     def _pieces(self, text: str) -> list[str]:
         """Normalized words of a text, in order.
 
@@ -195,18 +210,22 @@ class WordBpe:
         """
         if text.isascii():
             return _ASCII_PIECE.findall(text.lower())
-        if max(text) < _LATIN_END:
-            return _LATIN_PIECE.findall(unicodedata.normalize("NFC", text).lower())
+        # Tested in lower case: some Latin capitals have their lower case far beyond.
+        if not _BEYOND_LATIN.search(text) and not _BEYOND_LATIN.search(low := unicodedata.normalize("NFC", text).lower()):
+            return _LATIN_PIECE.findall(low)
         text = self.rules.normalizer.normalize_str(text) if self.rules.normalizer else text
         back = self.byte_of
         return [bytes([back[c] for c in p]).decode("utf-8") for p, _ in self.rules.pre_tokenizer.pre_tokenize_str(text)]
 
     def _learn(self, pieces: set[str]) -> None:
-        """Makes sure that the memory holds all ``pieces``."""
-        known, names = self._ids, self.bytes
-        if len(known) + len(pieces) > CACHE_WORDS:
-            known.clear()
-        shown = {p: p if p.isascii() and p.isprintable() else "".join([names[b] for b in p.encode("utf-8")]) for p in pieces if p not in known}
+        """Makes sure that the memory holds all ``pieces``; words that nothing has used for two generations are forgotten."""
+        if len(self._ids) > CACHE_WORDS:
+            self._older, self._ids = self._ids, {}
+        known, older, names = self._ids, self._older, self.bytes
+        fresh = pieces.difference(known)
+        again = fresh.intersection(older)
+        known.update(zip(again, map(older.__getitem__, again)))
+        shown = {p: p if p.isascii() and p.isprintable() else "".join([names[b] for b in p.encode("utf-8")]) for p in fresh.difference(again)}
         ids = self.encode_words(shown.values())
         for p, word in shown.items():
             known[p] = _pack_ids(ids[word])
@@ -258,18 +277,36 @@ class WordBpe:
         flush()
         return out
 
+    def decode(self, ids: bytes) -> str:
+        return load_names(self.path).decode(ids)
+
+
+class Names:
+    """The decoder of such a file, without what only the encoder needs."""
+
+    def __init__(self, path: str):
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        names = {i: s for s, i in spec["model"]["vocab"].items()} | {t["id"]: t["content"] for t in spec["added_tokens"]}
+        self.names = [names.get(i, "") for i in range(max(names) + 1)]
+
     def decode(self, ids: bytes) -> str:
         """The tokens' strings joined by spaces: such files name no decoder that would join them otherwise."""
-        names = self.name_array
+        names = self.names
         return " ".join([names[i] for i in np.frombuffer(ids, dtype="<u4").tolist() if names[i]])
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def load(path: str) -> WordBpe:
     """One encoder per Python worker, so its memory of words lasts over tasks."""
     return WordBpe(path)
 
 
+@lru_cache(maxsize=1)
+def load_names(path: str) -> Names:
+    return Names(path)
+
+
 def free_name(df: DataFrame, name: str) -> str:
     """``name``, with underscores if ``df`` has such a column already (names are compared without case)."""
     taken = {c.lower() for c in df.columns}
@@ -307,11 +344,11 @@ def decode(df: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded")
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.StringType(), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = load(path)
+        names = load_names(path)
         for whole in batches:
             for at in range(0, whole.num_rows, 512):
                 b = whole.slice(at, 512)
-                texts = pa.array([bpe.decode(i or b"") for i in b.column(ids_col).to_pylist()], pa.string())
+                texts = pa.array([names.decode(i or b"") for i in b.column(ids_col).to_pylist()], pa.string())
                 yield pa.RecordBatch.from_arrays([*b.columns, texts], schema.names)
 
     return df.mapInArrow(run, schema)
