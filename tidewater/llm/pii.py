@@ -30,24 +30,28 @@ ROUNDS = 3
 #: A pattern needs so many different seeds, a pattern and an instance such a score.
 MIN_SEEDS = 5
 MIN_SCORE = 0.8
-CONTEXT_CHARS = 64
 #: What is found has so many characters: shorter numbers identify nobody.
 MIN_CHARS = 6
 SPAN = "array<struct<start:int,stop:int>>"
 FOUND = "array<struct<start:int,stop:int,value:string,lead:string,trail:string>>"
-_BLOCK = 256
+#: Elements that are added up at a time; only the steps of work depend on it.
+_BLOCK = 128
 
 
-def running(sizes: Column) -> Column:
-    """The sums of all elements before each one."""
+def running(values: Column, both) -> Column:
+    """What ``both`` makes of all elements before each one, from 0 on: within blocks, after one pass over the blocks' totals."""
+
+    def scan(some: Column, begin: Column) -> Column:
+        start = F.struct(begin.alias("at"), F.array().cast("array<int>").alias("out"))
+        step = lambda a, x: F.struct(both(a["at"], x).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out"))
+        return F.aggregate(some, start, step, lambda a: a["out"])
 
     def block(b: Column) -> Column:
-        base = F.aggregate(F.slice(sizes, F.lit(1), b * _BLOCK), F.lit(0), lambda a, x: a + x)
-        start = F.struct(base.alias("at"), F.array().cast("array<int>").alias("out"))
-        step = lambda a, x: F.struct((a["at"] + x).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out"))
-        return F.aggregate(F.slice(sizes, b * _BLOCK + 1, F.lit(_BLOCK)), start, step, lambda a: a["out"])
+        return F.slice(values, b * _BLOCK + 1, F.lit(_BLOCK))
 
-    return F.flatten(F.transform(F.sequence(F.lit(0), F.floor((F.size(sizes) - 1) / _BLOCK).cast("int")), block))
+    blocks = F.sequence(F.lit(0), F.floor((F.size(values) - 1) / _BLOCK).cast("int"))
+    totals = F.transform(blocks, lambda b: F.aggregate(block(b), F.lit(0), both))
+    return let(totals, lambda t: let(scan(t, F.lit(0)), lambda begin: F.flatten(F.transform(blocks, lambda b: scan(block(b), F.get(begin, b))))))
 
 
 def located(text: Column, pattern: str) -> Column:
@@ -65,7 +69,7 @@ def located(text: Column, pattern: str) -> Column:
 
                 return F.transform(found, at_match)
 
-            return let(running(sizes), one)
+            return let(sizes, lambda x: let(running(x, lambda a, b: a + b), one))
 
         return F.when(F.size(found) == 0, F.array().cast(FOUND)).otherwise(let(F.split(text, pattern, -1), with_gaps).cast(FOUND))
 
@@ -101,14 +105,36 @@ def base_spans(text: Column, kind: str) -> Column:
     return F.when(F.contains(text, F.lit(HINTS[kind])), kept).otherwise(F.array().cast(SPAN)) if kind in HINTS else kept
 
 
+def spaced(text: Column) -> Column:
+    """``text`` with every white space of words as a space."""
+    for other in "\t\n\x0b\x0c\r":
+        text = F.replace(text, F.lit(other), F.lit(" "))
+    return text
+
+
 def _word(gap: Column, last: bool) -> Column:
-    near = F.right(gap, F.lit(CONTEXT_CHARS)) if last else F.left(gap, F.lit(CONTEXT_CHARS))
-    word = F.substring_index(F.trim(F.regexp_replace(near, r"[\x09-\x0D]", " ")), " ", -1 if last else 1)
-    return F.lower(word)
+    return F.lower(F.substring_index(F.trim(gap), " ", -1 if last else 1))
+
+
+def touched(tokens: Column, places: Column) -> Column:
+    """Of each of the ``tokens`` whether one of the ``places`` overlaps it; both are in order and don't overlap themselves.
 
+    The place of a token among the starts (ends) of the others tells how many of them come before its end (start).
+    """
+
+    def before(own: Column, others: Column, own_first: bool) -> Column:
+        mine = F.transform(own, lambda x: F.struct(x.alias("at"), F.lit(0 if own_first else 1).alias("other")))
+        rest = F.transform(others, lambda x: F.struct(x.alias("at"), F.lit(1 if own_first else 0).alias("other")))
+        numbered = F.transform(F.sort_array(F.concat(mine, rest)), lambda x, i: F.struct(x["other"].alias("other"), i.alias("i")))
+        return F.transform(F.filter(numbered, lambda x: x["other"] == (0 if own_first else 1)), lambda x, i: x["i"] - i)
+
+    starting = before(F.transform(tokens, lambda t: t["stop"]), F.transform(places, lambda s: s["start"]), True)
+    ended = before(F.transform(tokens, lambda t: t["start"]), F.transform(places, lambda s: s["stop"]), False)
+    return F.zip_with(starting, ended, lambda a, b: a > b)
 
-def instances(text: Column) -> Column:
-    """Tokens with a digit or an at sign: place, shape (runs of letters as one), left and right word.
+
+def instances(text: Column, base: dict[str, Column]) -> Column:
+    """Tokens with a digit or an at sign: place, shape (runs of letters as one), left and right word, and the kind of a base span there.
 
     Next to another such token the word is ``<id>``, at the ends of the text ``<end>``.
     """
@@ -116,55 +142,55 @@ def instances(text: Column) -> Column:
     beside = lambda word, at_end: F.when(word != "", word).when(at_end, "<end>").otherwise("<id>")
 
     def describe(found: Column) -> Column:
-        return F.transform(
-            found,
-            lambda x, i: F.struct(
-                x["start"].alias("start"),
-                x["stop"].alias("stop"),
-                shape(F.left(x["value"], F.lit(CONTEXT_CHARS))).alias("shape"),
-                beside(_word(x["lead"], True), i == 0).alias("left"),
-                beside(_word(x["trail"], False), i == F.size(found) - 1).alias("right"),
-            ),
-        )
+        flags = [F.when((F.size(places) > 0) & (F.size(found) > 0), touched(found, places)) for places in base.values()]
+
+        def labelled(marks: Column) -> Column:
+            def one(x: Column, i: Column) -> Column:
+                seed = F.lit(None).cast("string")
+                for k, kind in reversed(list(enumerate(base))):
+                    seed = F.when(F.get(F.get(marks, k), i), kind).otherwise(seed)
+                return F.struct(
+                    x["start"].alias("start"),
+                    x["stop"].alias("stop"),
+                    shape(x["value"]).alias("shape"),
+                    beside(_word(x["lead"], True), i == 0).alias("left"),
+                    beside(_word(x["trail"], False), i == F.size(found) - 1).alias("right"),
+                    seed.alias("seed"),
+                )
 
-    return let(located(text, TOKEN), describe)
+            return F.transform(found, one)
+
+        return let(F.array(*flags), labelled)
+
+    return let(located(spaced(text), TOKEN), describe)
 
 
 def scanned(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """A written table with ``keep``, a row id, the base spans of each kind and the instances; null texts have none."""
+    """A written table with a struct ``kept`` of the columns ``keep``, a row id, the base spans of each kind and the instances; null texts have none."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    got = docs.select(
-        *keep,
-        F.monotonically_increasing_id().alias("_row"),
-        *(base_spans(text, k).alias(f"_{k}") for k in KINDS),
-        instances(text).alias("_tokens"),
-    )
-    return written(got, "pii")
+    base = docs.select(F.struct(*(F.col(f"`{c}`") for c in keep)).alias("kept"), text.alias("text"), *(base_spans(text, k).alias(k) for k in KINDS))
+    tokens = instances(F.col("text"), {k: F.col(k) for k in KINDS})
+    return written(base.select("kept", F.monotonically_increasing_id().alias("row"), *KINDS, tokens.alias("tokens")), "pii")
 
 
 def discover(scan: DataFrame) -> DataFrame:
-    """(_row, kind, start, stop) of instances that patterns find and base spans don't touch."""
-    label = F.lit(None).cast("string")
-    token = F.col("t")
-    for k in reversed(KINDS):
-        label = F.when(F.exists(f"_{k}", lambda s: (s["start"] < F.col("t")["stop"]) & (s["stop"] > F.col("t")["start"])), k).otherwise(label)
-    flat = scan.select("_row", *(f"_{k}" for k in KINDS), F.explode("_tokens").alias("t"))
-    flat = flat.select("_row", token["start"].alias("start"), token["stop"].alias("stop"), token["shape"].alias("shape"), token["left"].alias("left"), token["right"].alias("right"), label.alias("seed"))
+    """(row, kind, start, stop) of instances that patterns find and base spans don't touch."""
+    key = ["row", "start", "stop"]
+    flat = scan.select("row", F.explode("tokens").alias("t")).select("row", "t.start", "t.stop", "t.shape", "t.left", "t.right", "t.seed")
     pattern = lambda name, *cols: F.concat_ws("\x00", F.lit(name), *cols)
     patterns = F.array(pattern("shape", "shape"), pattern("left", "left", "shape"), pattern("right", "right", "shape"), pattern("word", "left"))
-    edges = written(flat.select("_row", "start", "stop", "seed", F.explode(patterns).alias("pattern")), "pii-graph")
+    edges = written(flat.select(*key, "seed", F.explode(patterns).alias("pattern")), "pii-graph")
     totals = edges.groupBy("pattern").agg(F.count("*").alias("n"))
-    scores = edges.filter("seed is not null").select("_row", "start", "stop", F.col("seed").alias("kind"), F.lit(1.0).alias("score"))
-    scores = scores.distinct()
+    seeds = edges.filter("seed is not null").select(*key, F.col("seed").alias("kind"), F.lit(1.0).alias("score")).distinct()
+    scores = seeds
     for _ in range(ROUNDS):
-        of = scores.join(edges.select("_row", "start", "stop", "pattern"), ["_row", "start", "stop"])
+        of = scores.join(edges.select(*key, "pattern"), key)
         good = of.groupBy("pattern", "kind").agg(F.sum("score").alias("s"), F.count("*").alias("support")).filter(F.col("support") >= MIN_SEEDS)
         good = good.join(totals, "pattern").select("pattern", "kind", (F.col("s") / F.col("n")).alias("score")).filter(F.col("score") >= MIN_SCORE)
-        found = edges.filter((F.col("stop") - F.col("start") >= MIN_CHARS) & F.col("seed").isNull()).join(good, "pattern").groupBy("_row", "start", "stop").agg(F.max(F.struct("score", "kind")).alias("best"))
-        found = found.select("_row", "start", "stop", F.col("best.kind").alias("kind"), F.col("best.score").alias("score"))
-        seeds = edges.filter("seed is not null").select("_row", "start", "stop", F.col("seed").alias("kind"), F.lit(1.0).alias("score")).distinct()
+        found = edges.filter((F.col("stop") - F.col("start") >= MIN_CHARS) & F.col("seed").isNull()).join(good, "pattern").groupBy(*key).agg(F.max(F.struct("score", "kind")).alias("best"))
+        found = found.select(*key, F.col("best.kind").alias("kind"), F.col("best.score").alias("score"))
         scores = written(seeds.unionByName(found), "pii-scores")
-    return scores.join(edges.filter("seed is null").select("_row", "start", "stop").distinct(), ["_row", "start", "stop"], "left_semi").select("_row", "kind", "start", "stop")
+    return scores.join(edges.filter("seed is null").select(*key).distinct(), key, "left_semi").select("row", "kind", "start", "stop")
 
 
 def spans(scan: DataFrame) -> DataFrame:
@@ -172,14 +198,14 @@ def spans(scan: DataFrame) -> DataFrame:
     rank = F.lit(0)
     for i, k in enumerate(KINDS):
         rank = F.when(F.col("kind") == k, F.lit(i)).otherwise(rank)
-    more = discover(scan).groupBy("_row").agg(F.collect_list(F.struct(rank.alias("kind"), "start", "stop")).alias("_more"))
+    more = discover(scan).groupBy("row").agg(F.collect_list(F.struct(rank.alias("kind"), "start", "stop")).alias("more"))
 
     def ranked(i: int, kind: str) -> Column:
-        return F.transform(f"_{kind}", lambda s: F.struct(F.lit(i).alias("kind"), s["start"].alias("start"), s["stop"].alias("stop")))
+        return F.transform(kind, lambda s: F.struct(F.lit(i).alias("kind"), s["start"].alias("start"), s["stop"].alias("stop")))
 
     base = F.concat(*(ranked(i, k) for i, k in enumerate(KINDS)))
-    joined = scan.withColumn("base", base).drop("_tokens").join(more, "_row", "left")
-    return joined.withColumn("found", F.sort_array(F.concat("base", F.coalesce("_more", F.array().cast("array<struct<kind:int,start:int,stop:int>>"))))).drop("_more")
+    joined = scan.withColumn("base", base).drop("tokens").join(more, "row", "left")
+    return joined.withColumn("found", F.sort_array(F.concat("base", F.coalesce("more", F.array().cast("array<struct<kind:int,start:int,stop:int>>"))))).drop("more")
 
 
 def written_out(spans_col: str) -> Column:
@@ -191,8 +217,8 @@ def written_out(spans_col: str) -> Column:
 def query(docs: DataFrame) -> DataFrame:
     found = spans(scanned(docs))
     return found.select(
-        "doc_id",
-        *(F.size(f"_{k}").cast("long").alias(f"n_{k}") for k in KINDS),
+        "kept.doc_id",
+        *(F.size(k).cast("long").alias(f"n_{k}") for k in KINDS),
         F.sha2(written_out("base").cast("binary"), 256).alias("base_sha256"),
         written_out("found").alias("spans"),
     )
@@ -200,16 +226,35 @@ def query(docs: DataFrame) -> DataFrame:
 
 def masked(text: Column, places: Column) -> Column:
     """``text`` with every run of overlapping spans replaced by <KIND> of its first."""
-    ordered = F.array_sort(F.transform(places, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind"))))
+    ordered = F.sort_array(F.transform(places, lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"), s["kind"].alias("kind"))))
     names = F.array(*(F.lit(f"<{k.upper()}>") for k in KINDS))
 
-    def add(a: Column, s: Column) -> Column:
-        apart = s["start"] >= a["at"]
-        out = F.concat(a["out"], F.array(F.substring(text, a["at"] + 1, s["start"] - a["at"]), F.get(names, s["kind"])))
-        return F.struct(F.greatest(a["at"], s["stop"]).alias("at"), F.when(apart, out).otherwise(a["out"]).alias("out"))
+    def cut(spans_: Column) -> Column:
+        stops = F.transform(spans_, lambda s: s["stop"])
+
+        def replaced(done: Column) -> Column:
+            """``done``: where the spans before each one end. A run begins where they have ended."""
+            numbered = F.transform(spans_, lambda s, i: F.struct(F.get(done, i).alias("done"), s["start"].alias("start"), s["kind"].alias("kind")))
+
+            def joined(runs: Column) -> Column:
+                def block(b: Column) -> Column:
+                    return let(F.slice(runs, b * _BLOCK + 1, F.lit(_BLOCK)), filled)
+
+                def filled(some: Column) -> Column:
+                    begin, end = F.get(some, 0)["done"], F.element_at(some, -1)["start"]
+                    part = lambda piece: F.array_join(
+                        F.transform(some, lambda r: F.concat(F.substring(piece, r["done"] - begin + 1, r["start"] - r["done"]), F.get(names, r["kind"]))), ""
+                    )
+                    return let(F.substring(text, begin + 1, end - begin), part)
+
+                blocks = F.sequence(F.lit(0), F.floor((F.size(runs) - 1) / _BLOCK).cast("int"))
+                return F.concat(F.array_join(F.transform(blocks, block), ""), F.substring(text, F.array_max(stops) + 1, F.length(text)))
+
+            return let(F.filter(numbered, lambda r: r["start"] >= r["done"]), joined)
+
+        return let(stops, lambda x: let(running(x, lambda a, b: F.greatest(a, b)), replaced))
 
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
-    return F.aggregate(ordered, start, add, lambda a: F.concat(F.array_join(a["out"], ""), F.substring(text, a["at"] + 1, F.length(text))))
+    return let(ordered, cut)
 
 
 def mask(docs: DataFrame) -> DataFrame:
@@ -218,14 +263,14 @@ def mask(docs: DataFrame) -> DataFrame:
     inner = docs.select(*(F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(keep)))
     text = f"c{keep.index('text')}"
     found = spans(scanned(inner, text, tuple(inner.columns)))
-    new = F.when(F.size("found") > 0, masked(F.col(text), F.col("found"))).otherwise(F.col(text))
-    out = found.withColumn("_new", new)
+    old = F.col("kept")[text]
+    out = found.withColumn("new", F.when(F.size("found") > 0, masked(old, F.col("found"))).otherwise(old))
     cols = []
     for i, c in enumerate(keep):
-        value = F.col(f"c{i}")
+        value = F.col("kept")[f"c{i}"]
         if c == "text":
-            value = F.col("_new")
+            value = F.col("new")
         elif c == "n_chars":
-            value = F.when(F.size("found") > 0, F.length("_new").cast(docs.schema[c].dataType)).otherwise(value)
+            value = F.when(F.size("found") > 0, F.length("new").cast(docs.schema[c].dataType)).otherwise(value)
         cols.append(value.alias(c))
     return out.select(*cols)
