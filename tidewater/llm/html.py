@@ -8,7 +8,7 @@ marks, preformatted text as it is, the cells of a table in aligned columns.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -44,10 +44,9 @@ IMPLIED = {
     "body": (("head",), ()),
 }
 _SCOPE = frozenset("table td th caption body html".split())
-_HIDING = re.compile(r"display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)", re.I)
+_GONE = re.compile(r"display\s*:\s*none", re.I)
+_VISIBILITY = re.compile(r"visibility\s*:\s*(visible|hidden|collapse)", re.I)
 _SPACE = re.compile(r"[ \t\n\r\f]+")
-#: Tables within so many others are shown as plain blocks.
-NESTED_TABLES = 12
 COLUMN_GAP = "  "
 INDENT = "  "
 
@@ -59,8 +58,14 @@ class Node:
         self.tag, self.attrs, self.children, self.parent = tag, attrs, [], None
 
     def hidden(self) -> bool:
+        """Whether neither it nor anything in it is shown."""
         a = self.attrs
-        return self.tag in UNSEEN or "hidden" in a or bool(_HIDING.search(a.get("style") or "")) or (self.tag == "input" and a.get("type") == "hidden")
+        return self.tag in UNSEEN or "hidden" in a or bool(_GONE.search(a.get("style") or "")) or (self.tag == "input" and a.get("type") == "hidden")
+
+    def seen(self, around: bool) -> bool:
+        """Whether its own text is visible, given whether that around it is: what is invisible may hold visible elements."""
+        said = _VISIBILITY.findall(self.attrs.get("style") or "")
+        return said[-1].lower() == "visible" if said else around
 
 
 class Tree(HTMLParser):
@@ -213,60 +218,114 @@ class Page:
         self.gap = self.gap or spaced
 
 
-def _cells(table: Node) -> tuple[list[Node], list[list[Node]]]:
-    """Captions and rows of cells of a table, without what is hidden."""
-    captions, rows = [], []
+Cell = tuple[Node, bool]  # whether its text is visible
+Walk = Generator[Cell, list[str], list[str]]
+
+
+def _rows(table: Node, seen: bool) -> tuple[list[Cell], list[list[list[Cell]]]]:
+    """Captions and, for each part of a table, rows of cells, without what is hidden."""
+    captions: list[Cell] = []
+    parts: list[list[list[Cell]]] = []
+    loose = False  # rows of the table itself follow each other in one part
     for node in table.children:
         if isinstance(node, str) or node.hidden():
             continue
         if node.tag == "caption":
-            captions.append(node)
-        for row in [node] if node.tag == "tr" else node.children if node.tag in ("thead", "tbody", "tfoot") else ():
+            captions.append((node, node.seen(seen)))
+            continue
+        if node.tag not in ("tr", "thead", "tbody", "tfoot"):
+            continue
+        if node.tag != "tr" or not loose:
+            parts.append([])
+        loose, inner = node.tag == "tr", node.seen(seen)
+        for row in [node] if loose else node.children:
             if isinstance(row, Node) and row.tag == "tr" and not row.hidden():
-                rows.append([c for c in row.children if isinstance(c, Node) and c.tag in ("td", "th") and not c.hidden()])
-    return captions, rows
-
-
-def _span(cell: Node) -> int:
-    value = cell.attrs.get("colspan", "")
-    return min(1000, max(1, int(value))) if value.isascii() and value.isdigit() and len(value) < 5 else 1
-
-
-def _table(page: Page, table: Node, depth: int) -> None:
-    captions, rows = _cells(table)
+                around = row.seen(inner)
+                parts[-1].append([(c, c.seen(around)) for c in row.children if isinstance(c, Node) and c.tag in ("td", "th") and not c.hidden()])
+    return captions, parts
+
+
+def _number(cell: Node, name: str, most: int) -> int:
+    value = cell.attrs.get(name, "")
+    return min(most, int(value)) if value.isascii() and value.isdigit() and len(value) < 9 else 1
+
+
+def _placed(rows: list[list[Cell]]) -> list[list[tuple[int, int, Cell]]]:
+    """(first column, behind the last one, cell) of each row of a part; cells of rows above may reach down into a row."""
+    out, taken = [], {}  # taken: column -> the row where it is free again
+    for r, row in enumerate(rows):
+        here, at = [], 0
+        for cell in row:
+            while taken.get(at, 0) > r:
+                at += 1
+            wide, high = max(1, _number(cell[0], "colspan", 1000)), _number(cell[0], "rowspan", 65534)
+            here.append((at, at + wide, cell))
+            if high != 1:
+                taken.update(dict.fromkeys(range(at, at + wide), r + high if high else len(rows)))
+            at += wide
+        out.append(here)
+    return out
+
+
+def _table(page: Page, table: Node, seen: bool) -> Generator[Cell, list[str], None]:
+    """Captions, then the rows with their cells in aligned columns; a cell that spans columns widens the last of them if it must."""
+    captions, parts = _rows(table, seen)
     for c in captions:
-        for line in render_node(c, depth + 1):
+        for line in (yield c):
             page.put(line)
-    shown = [[(render_node(c, depth + 1) or [""], _span(c)) for c in row] for row in rows]
-    widths: dict[int, int] = {}
-    for row in shown:
-        at = 0
-        for lines, span in row:
-            if span == 1:
-                widths[at] = max(widths.get(at, 0), max(map(len, lines)))
-            at += span
-    for row in shown:
-        for k in range(max((len(lines) for lines, _ in row), default=0)):
-            parts, at = [], 0
-            for lines, span in row:
-                width = sum(widths.get(i, 0) for i in range(at, at + span)) + len(COLUMN_GAP) * (span - 1)
-                parts.append((lines[k] if k < len(lines) else "").ljust(width))
-                at += span
-            line = COLUMN_GAP.join(parts).rstrip(" ")
-            if line:
-                page.put(line)
-
-
-def render_node(root: Node, depth: int = 0) -> list[str]:
-    """The lines of everything visible below ``root``; a walk without recursion but for tables."""
+    rows = []
+    for part in parts:
+        for row in _placed(part):
+            shown = []
+            for begin, end, cell in row:
+                shown.append((begin, end, (yield cell) or [""]))
+            rows.append(shown)
+    # Columns lie between the places where some cell begins or ends.
+    edges = {edge: i for i, edge in enumerate(sorted({e for row in rows for begin, end, _ in row for e in (begin, end)}))}
+    widths = [0] * len(edges)
+    cells = sorted(((edges[end] - edges[begin], edges[begin], edges[end], max(map(len, lines))) for row in rows for begin, end, lines in row))
+    for _, begin, end, needed in cells:
+        widths[end - 1] += max(0, needed - sum(widths[begin:end]) - len(COLUMN_GAP) * (end - begin - 1))
+    starts = [0]
+    for width in widths:
+        starts.append(starts[-1] + width + len(COLUMN_GAP))
+    for row in rows:
+        for k in range(max((len(lines) for _, _, lines in row), default=0)):
+            line = ""
+            for begin, _, lines in row:
+                if k < len(lines) and lines[k]:
+                    line = line.ljust(starts[edges[begin]]) + lines[k]
+            if line.rstrip(" "):
+                page.put(line.rstrip(" "))
+
+
+def render_node(root: Node, seen: bool = True) -> list[str]:
+    """The lines of everything visible below ``root``; cells of tables are walked one within the other, however deep."""
+    walks, lines = [_walk(root, seen)], None
+    while True:
+        try:
+            cell = walks[-1].send(lines)
+            walks.append(_walk(*cell))
+            lines = None
+        except StopIteration as done:
+            walks.pop()
+            lines = done.value
+            if not walks:
+                return lines
+
+
+def _walk(root: Node, seen: bool) -> Walk:
+    """Asks for the lines of each cell of the tables below ``root``, and ends with the lines of ``root``."""
     page = Page()
     lists: list[list] = []  # kind and number of the open lists
     stack: list[tuple[Node | str, bool]] = [(c, True) for c in reversed(root.children)]
-    kept: list[tuple[str, str]] = []
+    kept: list[tuple[str, str, bool]] = []
     preformatted = 0
     while stack:
         node, enter = stack.pop()
         if isinstance(node, str):
+            if not seen:
+                continue
             if preformatted:
                 *whole, last = node.split("\n")
                 for line in whole:
@@ -284,27 +343,30 @@ def render_node(root: Node, depth: int = 0) -> list[str]:
             if tag == "br":
                 page.flush() if page.words else page.put("")
                 continue
+            visible = node.seen(seen)
             if tag == "img":
-                page.text(node.attrs.get("alt", ""))
+                page.text(node.attrs.get("alt", "") if visible else "")
                 continue
             if tag in BLOCK:
                 page.block(tag in SPACED and not (tag in ("ul", "ol") and lists))
             if tag == "hr":
-                page.put("---")
+                if visible:
+                    page.put("---")
                 page.block(True)
                 continue
-            if tag == "table" and depth < NESTED_TABLES:
-                _table(page, node, depth)
+            if tag == "table":
+                yield from _table(page, node, visible)
                 page.block(True)
                 continue
-            kept.append((page.indent, page.mark))
+            kept.append((page.indent, page.mark, seen))
+            seen = visible
             if tag in ("ul", "ol"):
                 start = node.attrs.get("start", "")
                 lists.append([tag, int(start) if start.isascii() and start.isdigit() and len(start) < 10 else 1])
                 page.indent += INDENT if len(lists) > 1 else ""
             elif tag == "li":
                 kind = lists[-1] if lists else ["ul", 1]
-                page.mark = "- " if kind[0] == "ul" else f"{kind[1]}. "
+                page.mark = ("- " if kind[0] == "ul" else f"{kind[1]}. ") if seen else ""
                 kind[1] += 1
             elif tag in ("blockquote", "dd"):
                 page.indent += INDENT
@@ -322,7 +384,7 @@ def render_node(root: Node, depth: int = 0) -> list[str]:
             page.block(tag in SPACED and not (tag in ("ul", "ol") and len(lists) > 1))
         if tag in ("ul", "ol"):
             lists.pop()
-        indent, mark = kept.pop()
+        indent, mark, seen = kept.pop()
         if tag == "li" or page.mark == mark:
             page.indent, page.mark = indent, mark
         else:  # the mark stands before a line of this block: later ones are indented as far
