@@ -307,14 +307,6 @@ def load_names(path: str) -> Names:
     return Names(path)
 
 
-def free_name(df: DataFrame, name: str) -> str:
-    """``name``, with underscores if ``df`` has such a column already (names are compared without case)."""
-    taken = {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name += "_"
-    return name
-
-
 def encode(df: DataFrame, path: str, text_col: str = "text", out: str = "ids") -> DataFrame:
     """Adds ``out``: the ids of ``text_col`` as binary, little-endian unsigned 32-bit; null and empty texts give no ids.
 

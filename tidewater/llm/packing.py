@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import bpe
-from .shared import shuffle_parts, written
+from .shared import free_name, shuffle_parts, written
 
 CAPACITY = 4096
 END_ID = 1
@@ -88,25 +88,26 @@ def pack(pieces: DataFrame, key: list[str], length_col: str = "length", capacity
     """Adds ``sequence_id`` and ``offset`` (long) to ``pieces``, each of 1 to ``capacity`` long; ``key`` tells rows apart.
 
     Rows with a null or smaller length get null for both. Rows with equal keys are placed one after
-    the other. Places within a sequence are gapless from 0. ``pieces`` is read twice and should be a
+    the other. Places within a sequence are gapless from 0. ``pieces`` is read three times and should be a
     written table. A length that many rows share is numbered in as many parts as there are shuffle
-    partitions.
+    partitions, and more of them beyond 4 million rows each. Existing columns of the two names are replaced.
     """
-    spark, salts = pieces.sparkSession, shuffle_parts(pieces.sparkSession)
-    names = {n: bpe.free_name(pieces, n) for n in ("_salt", "_rank", "_before")}
-    salt, rank, before = names.values()
+    spark = pieces.sparkSession
+    pieces = pieces.drop("sequence_id", "offset")
+    salts = shuffle_parts(spark) + (pieces.count() >> 22)
+    salt, rank, before, n, s = (free_name(pieces, x) for x in ("_salt", "_rank", "_before", "_n", "_s"))
     usable = F.col(length_col).between(1, capacity)
     salted = pieces.withColumn(salt, F.pmod(F.xxhash64(*key), F.lit(salts)).cast("int"))
-    by_part = salted.filter(usable).groupBy(F.col(length_col).alias("_n"), F.col(salt).alias("_s")).count()
+    by_part = salted.filter(usable).groupBy(F.col(length_col).alias(n), F.col(salt).alias(s)).count()
     by_part = written(by_part, "piece-counts")
-    histogram = {r["_n"]: r["c"] for r in by_part.groupBy("_n").agg(F.sum("count").alias("c")).collect()}  # at most `capacity` rows
+    histogram = {r[n]: r["c"] for r in by_part.groupBy(n).agg(F.sum("count").alias("c")).collect()}  # at most `capacity` rows
     table = lookup(plan(histogram, capacity))
-    starts = by_part.select("_n", "_s", (F.sum("count").over(Window.partitionBy("_n").orderBy("_s")) - F.col("count")).alias(before))
+    starts = by_part.select(n, s, (F.sum("count").over(Window.partitionBy(n).orderBy(s)) - F.col("count")).alias(before))
     numbered = (
         salted.withColumn(rank, F.row_number().over(Window.partitionBy(length_col, salt).orderBy(*key)) - 1)
-        .join(starts, F.col(length_col).eqNullSafe(F.col("_n")) & (F.col(salt) == F.col("_s")), "left")
+        .join(starts, F.col(length_col).eqNullSafe(F.col(n)) & (F.col(salt) == F.col(s)), "left")
         .withColumn(rank, F.col(rank) + F.col(before))
-        .drop("_n", "_s", salt, before)
+        .drop(n, s, salt, before)
     )
     kept = [c for c in numbered.columns if c != rank]
     schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in numbered.schema.fields if f.name != rank), "sequence_id long", "offset long"])
@@ -120,10 +121,10 @@ def pack(pieces: DataFrame, key: list[str], length_col: str = "length", capacity
                 yield b[kept].assign(sequence_id=None, offset=None)
                 continue
             known = b[rank].notna()
-            n, r = b[length_col].where(known, 1).to_numpy(np.int64), b[rank].where(known, 0).to_numpy(np.int64)
-            at = np.maximum(np.searchsorted(keys, (n << 44) + r, side="right") - 1, 0)
+            size, r = b[length_col].where(known, 1).to_numpy(np.int64), b[rank].where(known, 0).to_numpy(np.int64)
+            at = np.maximum(np.searchsorted(keys, (size << 44) + r, side="right") - 1, 0)
             nth, k = r - t["start"][at], t["copies"][at]
-            sequence, offset = t["base"][at] + nth // k, t["offset"][at] + nth % k * n
+            sequence, offset = t["base"][at] + nth // k, t["offset"][at] + nth % k * size
             yield b[kept].assign(sequence_id=pd.Series(sequence, b.index).where(known), offset=pd.Series(offset, b.index).where(known))
 
     return numbered.mapInPandas(place, schema)

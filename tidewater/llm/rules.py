@@ -13,6 +13,8 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import free_name
+
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 #: Labelled rows from which the list is learned (those with the smallest hashes of their ids).
@@ -67,20 +69,21 @@ def statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
 
     n_words, word_chars (code points in words), n_symbols (of ``#*$%&|<>``), n_dup_lines (lines with a
     word that equal an earlier line) and n_repeat_words (see ``repeated_words``). Columns of ``docs``
-    with these names are replaced.
+    with these names are replaced; all others stay.
     """
     text = F.coalesce(F.col(text_col), F.lit(""))
-    spaced = docs.withColumn("_words", words_of(text)).withColumn("_lines", F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
+    words, lines, n_lines, bangs, upper = own = [free_name(docs, n) for n in ("_words", "_lines", "_n_lines", "_bangs", "_upper")]
+    spaced = docs.withColumn(words, words_of(text)).withColumn(lines, F.filter(F.split(text, "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]")))
     out = spaced.withColumns(
         {
-            "n_words": F.size("_words").cast("long"),
-            "word_chars": F.length(F.array_join("_words", "")).cast("long"),
+            "n_words": F.size(words).cast("long"),
+            "word_chars": F.length(F.array_join(words, "")).cast("long"),
             "n_symbols": F.regexp_count(text, F.lit("[#*$%&|<>]")).cast("long"),
-            "n_dup_lines": (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long"),
-            "n_repeat_words": repeated_words(F.col("_words")).cast("long"),
-            "_n_lines": F.size("_lines"),
-            "_bangs": F.length(text) - F.length(F.replace(text, F.lit("!"), F.lit(""))),
-            "_upper": F.regexp_count(text, F.lit(r"\p{Lu}")),
+            "n_dup_lines": (F.size(lines) - F.size(F.array_distinct(lines))).cast("long"),
+            "n_repeat_words": repeated_words(F.col(words)).cast("long"),
+            n_lines: F.size(lines),
+            bangs: F.length(text) - F.length(F.replace(text, F.lit("!"), F.lit(""))),
+            upper: F.regexp_count(text, F.lit(r"\p{Lu}")),
         }
     )
     share = lambda a, b: F.col(a) / F.greatest(F.col(b), F.lit(1))
@@ -88,12 +91,12 @@ def statistics(docs: DataFrame, text_col: str = "text") -> DataFrame:
         {
             "mean_chars": share("word_chars", "n_words"),
             "symbol_share": share("n_symbols", "word_chars"),
-            "bang_share": share("_bangs", "word_chars"),
-            "upper_share": share("_upper", "word_chars"),
-            "dup_line_share": share("n_dup_lines", "_n_lines"),
+            "bang_share": share(bangs, "word_chars"),
+            "upper_share": share(upper, "word_chars"),
+            "dup_line_share": share("n_dup_lines", n_lines),
             "repeat_share": share("n_repeat_words", "n_words"),
         }
-    ).drop("_words", "_lines", "_n_lines", "_bangs", "_upper")
+    ).drop(*own)
 
 
 def base_failed() -> Column:
@@ -190,10 +193,11 @@ def verdict(rules: list[Rule]) -> Column:
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> list[Rule]:
     """Learns from ``rows`` labelled documents at most; labels and documents with null ids or qualities are left out."""
-    known = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("_quality"))
+    known = labels.filter("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     picked = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     joined = docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")  # at most `rows` pairs of numbers
-    got = statistics(joined).select(F.xxhash64("doc_id").alias("h"), "_quality", *(F.col(c).cast("double") for c in FEATURES)).collect()
+    joined = joined.groupBy("doc_id", "quality").agg(F.min("text").alias("text"))  # of rows with one id the smallest text
+    got = statistics(joined).select(F.xxhash64("doc_id").alias("h"), "quality", *(F.col(c).cast("double") for c in FEATURES)).collect()
     got.sort(key=tuple)
     x = np.array([r[2:] for r in got], float).reshape(-1, len(FEATURES))
     return learn(x, np.array([r[1] == 0 for r in got], bool))

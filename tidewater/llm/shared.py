@@ -9,13 +9,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _local_dirs: dict[str, str] = {}
+#: Paths of the tables written so far.
+_made: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """The folder named in ``spark.checkpoint.dir``; where that is unset a temporary one, which only a local master can share."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _local_dirs:
         _local_dirs[app] = tempfile.mkdtemp(prefix="tidewater-")
@@ -27,9 +31,32 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
+    _made.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def mark() -> int:
+    """How many tables were written so far."""
+    return len(_made)
+
+
+def forget(spark: SparkSession, since: int, keep: int = 1) -> None:
+    """Deletes the tables written since a ``mark``, but for the last ``keep``; nothing may read them any more."""
+    until = max(since, len(_made) - keep)
+    for path in _made[since:until]:
+        where = spark._jvm.org.apache.hadoop.fs.Path(path)
+        where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+    del _made[since:until]
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores if ``df`` has such a column already (names are compared without case)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def shuffle_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
