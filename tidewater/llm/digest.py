@@ -88,10 +88,10 @@ def followed(docs: DataFrame, id_col: str, text_col: str, parts: int) -> DataFra
     table = docs.sparkSession.createDataFrame(after, "part int, next_part int, next_id long")  # a row for each range
     first = whole.join(F.broadcast(table.select("next_part", "next_id")), (F.col("part") == F.col("next_part")) & F.col("id").eqNullSafe(F.col("next_id")))
     first = printed(first.groupBy("next_part").agg(F.min("text").alias("text")))
-    first = F.broadcast(table).join(first, "next_part").select("part", F.col("text").alias("next_text"), F.col("fingerprint").alias("next_fingerprint"))
-    names = ["id", "text", "fingerprint", "next_text", "next_fingerprint"]
-    ends = led.filter("next_text is null").drop("next_text", "next_fingerprint").join(first, "part")
-    return led.filter("next_text is not null").select(names).unionByName(ends.select(names))
+    first = F.broadcast(table).join(first, "next_part").select("part", F.col("text").alias("first_text"), F.col("fingerprint").alias("first_fingerprint"))
+    return led.join(first, "part", "left").select(
+        "id", "text", "fingerprint", F.coalesce("next_text", "first_text").alias("next_text"), F.coalesce("next_fingerprint", "first_fingerprint").alias("next_fingerprint")
+    )
 
 
 def edited(text: Column, follower: Column) -> Column:
