@@ -1,7 +1,7 @@
 """Language identification: sparse multinomial logistic regression on TF-IDF character n-grams.
 
 Document frequencies come from all documents of the learning folds. The weights are fitted on a
-bounded sample of them by follow-the-regularised-leader with an elastic-net penalty, and a
+bounded sample of them, as many of each language, by follow-the-regularised-leader with an elastic-net penalty, and a
 temperature fitted on a part of the sample kept aside calibrates the scores.
 """
 
@@ -12,12 +12,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ORDERS = (1, 2, 3)
 FEATURES = 1 << 14
-#: Documents the weights are fitted on, at most; of them one in CALIBRATE for the temperature.
+#: Documents the weights are fitted on, at most, in equal shares of all languages (one of each at least); of them one in CALIBRATE for the temperature.
 SAMPLE_DOCS = 4000
 CALIBRATE = 5
 EPOCHS = 6
@@ -26,6 +26,7 @@ ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.02, 0.02
 FOLDS = 5
 UNKNOWN = "und"
 _CHUNK = 1 << 20
+_HASHES = 1 << 30
 _MULTIPLIERS = np.array([0x9E3779B1, 0x85EBCA77, 0xC2B2AE3D], np.uint32)
 _letters: list[np.ndarray] = []
 
@@ -136,7 +137,11 @@ def learnable(id_col: str = "doc_id", lang_col: str = "lang") -> Column:
 
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", sample: int = SAMPLE_DOCS) -> Model:
-    """Learns from the rows of ``docs``, all of which have a language; null texts and texts without letters are left out."""
+    """Learns from the rows of ``docs``, all of which have a language; null texts and texts without letters are left out.
+
+    The weights are fitted on ``sample`` rows at most, in equal shares of all languages: those with the
+    smallest hashes of their ids, then of their texts, so they don't depend on how rows are dealt out.
+    """
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = np.zeros(FEATURES, np.int64), 0
@@ -165,9 +170,16 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
                     rows.append((b.column(1)[i].as_py(), b.column(2)[i].as_py(), at.astype("<i4").tobytes(), c[at].astype("<i4").tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.string(), pa.binary(), pa.binary()))], ["h", "lang", "at", "count"])
 
-    share = min(1.0, sample / max(1, n))
-    picked = docs.select(text_col, F.xxhash64(id_col).alias("h"), F.col(lang_col).alias("lang")).filter(F.pmod("h", F.lit(1 << 30)) < int(share * (1 << 30)) + (share == 1.0))
-    rows = picked.mapInArrow(vectors, "h long, lang string, at binary, count binary").limit(sample).collect()
+    sizes = docs.groupBy(F.col(lang_col).alias("lang")).agg(F.count("*").alias("n")).collect()  # a row for each language
+    share = max(1, sample // max(1, len(sizes)))
+    # So few hashes lie under a language's bound that a window over them is small, and hardly ever fewer than its share.
+    bounds = [(r["lang"], min(_HASHES, (2 * share + 64) * _HASHES // r["n"])) for r in sizes]
+    bounded = F.broadcast(docs.sparkSession.createDataFrame(bounds, "lang string, bound long"))
+    hashed = docs.select(F.col(text_col).alias("text"), F.xxhash64(id_col).alias("h"), F.xxhash64(text_col).alias("t"), F.col(lang_col).alias("lang"))
+    near = hashed.join(bounded, "lang").filter(F.pmod("h", F.lit(_HASHES)) < F.col("bound"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(_HASHES)), "h", "t"))
+    picked = near.withColumn("place", place).filter(F.col("place") <= share).select("text", "h", "lang")
+    rows = picked.mapInArrow(vectors, "h long, lang string, at binary, count binary").collect()  # at most `sample`, or one of each language
     rows.sort(key=lambda r: (r["h"], r["lang"], r["count"]))
     langs = sorted({r["lang"] for r in rows})
     if not langs:
@@ -187,7 +199,8 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
 def predict(docs: DataFrame, model: Model, text_col: str = "text", out: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """Adds the likeliest language and its calibrated probability, from the text alone.
 
-    A null text or one without a letter gets ``und`` and 0, as does every text if nothing was learned.
+    A null text or one without a letter gets ``und`` and 0, as does every text if nothing was learned;
+    of equally likely languages the first by name is taken.
     Existing columns of these names are replaced; ``text_col`` is dropped.
     """
     keep = [c for c in docs.columns if c != text_col and c not in out]
