@@ -17,7 +17,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import minhash
@@ -27,8 +27,11 @@ from .shared import written
 SHINGLE_WORDS = 3
 SEED = 42
 RADIUS = 2
-#: Distinct fingerprints that a leaf is meant to hold.
+#: Distinct fingerprints that a leaf is meant to hold, and rows beyond which it is split again.
 LEAF = 16_384
+FULL = 1 << 20
+#: How often, at most, and from how many fingerprints of a leaf; leaves that stay larger are searched all the same.
+SPLITS, SPLIT_SAMPLE = 6, 1 << 13
 #: Fingerprints from which the driver grows the tree; bounds its vantage points, not what is indexed.
 SAMPLE = 1 << 17
 SMALL = 768
@@ -94,9 +97,9 @@ def split(own: np.ndarray, rng: np.random.Generator) -> tuple[np.uint64, np.ndar
     return best[1:]
 
 
-def deal(tree: list, fps: np.ndarray, radius: int) -> Iterator[tuple[int, np.ndarray, bool]]:
-    """(leaf, fingerprints, whether they are queries only): every fingerprint is a member of one leaf."""
-    waiting = [(0, fps, fps[:0])]
+def deal(tree: list, fps: np.ndarray, radius: int, asked: np.ndarray | None = None) -> Iterator[tuple[int, np.ndarray, bool]]:
+    """(leaf, fingerprints, whether they are queries only): every one of ``fps`` is a member of one leaf, ``asked`` are queries from the start."""
+    waiting = [(0, fps, fps[:0] if asked is None else asked)]
     while waiting:
         at, own, asked = waiting.pop()
         if not len(own) and not len(asked):
@@ -154,29 +157,70 @@ def edges(distinct: DataFrame, radius: int = RADIUS) -> DataFrame:
     def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for leaf, fps, only in deal(tree, b.column(0).to_numpy(zero_copy_only=False).view(np.uint64), radius):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(fps), leaf, np.int32)), pa.array(fps.view(np.int64)), pa.array(np.full(len(fps), only))], ["leaf", "fp", "asked"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(fps), leaf, np.int64)), pa.array(fps.view(np.int64)), pa.array(np.full(len(fps), only))], ["leaf", "fp", "asked"])
 
     def found(group: pd.DataFrame) -> pd.DataFrame:
         fps, only = group["fp"].to_numpy(np.int64).view(np.uint64), group["asked"].to_numpy(bool)
         a, b = links(np.unique(fps[~only]), np.unique(fps[only]), radius)
         return pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
 
-    sent = distinct.select("fp").mapInArrow(dealt, "leaf int, fp long, asked boolean")
-    return sent.groupBy("leaf").applyInPandas(found, "a long, b long")
+    sent = distinct.select("fp").mapInArrow(dealt, "leaf long, fp long, asked boolean")
+    return _split_again(written(sent, "leaves"), radius).groupBy("leaf").applyInPandas(found, "a long, b long")
+
+
+def _split_again(sent: DataFrame, radius: int) -> DataFrame:
+    """``sent`` (leaf, fp, asked) with no leaf much over FULL: a large one is dealt by a tree of its own, in tasks of its own.
+
+    Like the first tree, the others only decide where shards are cut. Leaves get new numbers by a hash;
+    should two meet, they are searched as one.
+    """
+
+    def grown(group: pd.DataFrame) -> pd.DataFrame:
+        depth = max(1, min(math.ceil(math.log2(group["n"].iloc[0] / LEAF)), int(math.log2(SPLIT_SAMPLE // 16))))
+        tree = grow(group["fp"].to_numpy(np.int64).view(np.uint64), depth)
+        points = [(np.array([t[0]], np.uint64).view(np.int64)[0], t[1]) if t else (0, -1) for t in tree]
+        return pd.DataFrame({"leaf": [group["leaf"].iloc[0]], "salts": [group["salts"].iloc[0]], "points": [[p[0] for p in points]], "splits": [[p[1] for p in points]]})
+
+    def parted(rows: pd.DataFrame, trees: pd.DataFrame) -> pd.DataFrame:
+        if not len(rows) or not len(trees):
+            return pd.DataFrame({"old": [], "sub": [], "fp": [], "asked": []}).astype({"old": "int64", "sub": "int64", "fp": "int64", "asked": "bool"})
+        tree = [(int(np.int64(p).view(np.uint64)), int(mu)) if mu >= 0 else None for p, mu in zip(trees["points"].iloc[0], trees["splits"].iloc[0])]
+        fps, only = rows["fp"].to_numpy(np.int64).view(np.uint64), rows["asked"].to_numpy(bool)
+        parts = [pd.DataFrame({"sub": leaf, "fp": own.view(np.int64), "asked": asked}) for leaf, own, asked in deal(tree, fps[~only], radius, fps[only])]
+        return pd.concat(parts, ignore_index=True).assign(old=rows["leaf"].iloc[0])[["old", "sub", "fp", "asked"]]
+
+    for _ in range(SPLITS):
+        large = sent.groupBy("leaf").agg(F.count("*").alias("n"), F.count_if(~F.col("asked")).alias("own")).filter(F.col("n") > FULL)
+        large = written(large.withColumn("salts", F.ceil(F.col("n") / FULL).cast("int")), "large-leaves")
+        if large.isEmpty():
+            break
+        whole = sent.join(large, "leaf")
+        sample = whole.filter(~F.col("asked") & (F.pmod(F.xxhash64("fp", F.lit("split")), F.lit(1 << 30)) < F.lit(float(SPLIT_SAMPLE << 30)) / F.col("own")))
+        trees = sample.select("leaf", "fp", "n", "salts").groupBy("leaf").applyInPandas(grown, "leaf long, salts int, points array<long>, splits array<int>")
+        trees = written(trees, "trees").withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+        salted = whole.withColumn("salt", F.pmod(F.xxhash64("fp"), F.col("salts")).cast("int")).select("leaf", "salt", "fp", "asked")
+        anew = salted.groupBy("leaf", "salt").cogroup(trees.groupBy("leaf", "salt")).applyInPandas(parted, "old long, sub long, fp long, asked boolean")
+        rest = sent.join(large.select("leaf"), "leaf", "left_anti")
+        sent = written(rest.unionByName(anew.select(F.xxhash64("old", "sub").alias("leaf"), "fp", "asked")), "leaves")
+    return sent
 
 
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS, radius: int = RADIUS) -> DataFrame:
     """(id, fp, component_id) of every row of ``docs``; component_id is the smallest id that links lead to.
 
+    If the id has one of the other two names, that one gets an underscore.
+
     Texts without words have fingerprint 0 and are linked like any other. Rows with equal ids keep a row
     each. A null id takes part in links but is never the smallest, unless a component has no other.
     """
-    known = written(fingerprints(docs, id_col, text_col, words), "fingerprints")
-    distinct = written(known.groupBy("fp").agg(F.min(id_col).alias("first")), "distinct-fingerprints")
+    rows = docs.select(F.col(f"`{id_col}`").alias("id"), F.col(f"`{text_col}`").alias("text"))
+    known = written(fingerprints(rows, "id", "text", words), "fingerprints")
+    distinct = written(known.groupBy("fp").agg(F.min("id").alias("first")), "distinct-fingerprints")
     roots = written(star_table(edges(distinct, radius)), "roots")
     linked = distinct.join(roots, distinct["fp"] == roots["node"], "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     least = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    return known.join(linked.join(least, "root").select("fp", "component_id"), "fp").select(id_col, "fp", "component_id")
+    out = known.join(linked.join(least, "root").select("fp", "component_id"), "fp")
+    return out.select(F.col("id").alias(id_col), *(F.col(c).alias(c + "_" if c == id_col.lower() else c) for c in ("fp", "component_id")))
 
 
 def query(docs: DataFrame) -> DataFrame:
@@ -184,12 +228,21 @@ def query(docs: DataFrame) -> DataFrame:
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` without near-duplicates: of each group the row with the smallest ``doc_id`` stays; rows without an id stay.
+    """``docs`` without near-duplicates: of each group the row with the smallest ``doc_id`` stays, of several the one whose
+    text has the smallest hash; rows without an id stay.
 
     Groups are linked by five-word shingles with a similarity of 0.8 or more, which fingerprints of 64
-    bits can't tell apart at a radius that a tree can search. Rows that share the smallest id are one
-    document: one of them stays.
+    bits can't tell apart at a radius that a tree can search. Of rows with equal ids and texts the one
+    with the smallest hash of all columns stays.
     """
-    first = minhash.groups(docs).filter(F.col("doc_id") == F.col("component_id")).select("doc_id").distinct()
-    kept = docs.join(first, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return kept.unionByName(docs.filter(F.col("doc_id").isNull())).select(docs.columns)
+    own = {c: f"c{i}" for i, c in enumerate(docs.columns)}  # own names, so that none clashes
+    rows = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in own.items()))
+    doc_id, text = own["doc_id"], own["text"]
+    grouped = minhash.groups(rows, doc_id, text, whole=True).filter(F.col("id").isNotNull())
+    first = grouped.groupBy("root").agg(F.min(F.struct("id", "h")).alias("first")).select("first.id", "first.h").distinct()
+    hashed = rows.withColumn("h", minhash.text_hash(text))
+    kept = hashed.join(first, (F.col(doc_id) == F.col("id")) & (hashed["h"] == first["h"]), "left_semi")
+    place = F.row_number().over(Window.partitionBy(doc_id, "h").orderBy(F.xxhash64(*own.values())))
+    kept = kept.withColumn("place", place).filter("place = 1").select(*own.values())
+    out = kept.unionByName(rows.filter(F.col(doc_id).isNull()))
+    return out.select(*(F.col(n).alias(c) for c, n in own.items()))
