@@ -21,14 +21,14 @@ from __future__ import annotations
 
 import itertools
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .rindex import RunIndex
+from .rindex import LIMIT, RunIndex
 from .shared import parts, text_bytes
 
 DEPTH = 50
@@ -36,8 +36,8 @@ GRAM = 25
 BLOCK_BYTES = 8 << 20
 #: Text bytes for each shard of minimizers.
 SHARD_BYTES = 16 << 20
-#: Segment bytes that one index holds; a shard's minimizers are dealt to as many indexes as it takes.
-INDEX_BYTES = 1_900_000
+#: Segment bytes that one index is filled with; a shard's minimizers are dealt to as many indexes as it takes.
+INDEX_BYTES = 1_000_000
 _CHUNK = 1 << 16
 #: Strings of a segment at most.
 LONGEST = 2 * (DEPTH - GRAM + 1)
@@ -183,24 +183,55 @@ def shared_minimizers(table: pa.Table) -> pa.Table:
 
 
 def _hot() -> int:
-    """Segments of a minimizer that fit an index whatever their length."""
-    return INDEX_BYTES // (LONGEST + DEPTH)
-
-
-def _hot_minimizers(shared: pa.Table) -> set[int]:
-    return set(itertools.chain.from_iterable(_unpack48(b).tolist() for b in shared.column("hot").to_pylist()))
-
-
-def _hot_strings(minimizer: dict[bytes, int], hot: set[int], shards: int) -> tuple[list[bytes], dict[int, list[bytes]]]:
-    """The segments of hot minimizers, and their different strings by shard (behind those of segments) in the order in which a block sends them."""
-    long = [s for s, m in minimizer.items() if m in hot] if hot else []
-    by: dict[int, list[bytes]] = {}
-    for string in sorted({s[i : i + DEPTH] for s in long for i in range(len(s) - DEPTH + 1)}):
-        by.setdefault(shards + zlib.crc32(string) % shards, []).append(string)
-    return long, by
-
-
-def _candidates(docs: list[tuple[int, bytes]], shared: pa.Table) -> Iterator[tuple[int, bytes, np.ndarray, np.ndarray, np.ndarray]]:
+    """Segments of a minimizer that fit an index whatever their length; one minimizer may fill twice what is else put together."""
+    return min(2 * INDEX_BYTES, LIMIT) // (LONGEST + DEPTH)
+
+
+class _Numbers(dict):
+    """Numbers of segments in the order in which they are first asked for."""
+
+    def __missing__(self, segment: bytes) -> int:
+        self[segment] = n = len(self)
+        return n
+
+
+class Segments:
+    """The different segments of a block's documents that hold shared minimizers, by number, and those of each document."""
+
+    def __init__(self, docs: Iterable[tuple[int, bytes]], shared: pa.Table):
+        numbers, self.places, minimizers = _Numbers(), [], []
+        for doc, data, h, first, behind in _candidates(docs, shared):
+            own = (data[a:b] for a, b in zip(first.tolist(), (behind + (DEPTH - 1)).tolist()))
+            codes = np.fromiter(map(numbers.__getitem__, own), np.int32, len(first))
+            self.places.append((doc, data, first, codes))
+            minimizers.append(h)
+        self.keys = list(numbers)
+        del numbers
+        self.codes = np.concatenate([np.zeros(0, np.int32), *(c for _, _, _, c in self.places)])
+        self.minimizer = np.zeros(len(self.keys), np.uint64)
+        self.minimizer[self.codes] = np.concatenate([np.zeros(0, np.uint64), *minimizers])
+        hot = np.unique(np.concatenate([np.zeros(0, np.uint64), *(_unpack48(b) for b in shared.column("hot").to_pylist())]))
+        self.hot = np.isin(self.minimizer, hot)
+
+    def by_shard(self, shards: int) -> Iterator[tuple[int, np.ndarray]]:
+        """Numbers of the segments that aren't hot, in the order in which a block sends them: by shard, then by their bytes."""
+        order = np.array(sorted(np.flatnonzero(~self.hot).tolist(), key=self.keys.__getitem__), np.int64)
+        to = _shards(self.minimizer[order], shards)
+        order = order[np.argsort(to, kind="stable")]
+        to = np.sort(to)
+        cuts = np.flatnonzero(np.diff(to, prepend=-1))
+        for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(order)]):
+            yield int(to[a]), order[a:b]
+
+    def hot_strings(self, shards: int) -> dict[int, list[bytes]]:
+        """The different strings of hot segments by shard (behind those of segments), in the order in which a block sends them."""
+        by: dict[int, list[bytes]] = {}
+        for string in sorted({s[i : i + DEPTH] for s in map(self.keys.__getitem__, np.flatnonzero(self.hot).tolist()) for i in range(len(s) - DEPTH + 1)}):
+            by.setdefault(shards + zlib.crc32(string) % shards, []).append(string)
+        return by
+
+
+def _candidates(docs: Iterable[tuple[int, bytes]], shared: pa.Table) -> Iterator[tuple[int, bytes, np.ndarray, np.ndarray, np.ndarray]]:
     """(id, data, minimizer, first, behind) of the segments with shared minimizers, document by document."""
     known = np.unique(np.concatenate([np.zeros(0, np.uint64), *(_unpack48(b) for b in shared.column("hashes").to_pylist())]))
     for doc, data in docs:
@@ -214,41 +245,26 @@ def _candidates(docs: list[tuple[int, bytes]], shared: pa.Table) -> Iterator[tup
         yield (doc, data, *(np.concatenate(c) for c in zip(*parts))) if parts else (doc, data, *(np.zeros(0, k) for k in (np.uint64, np.int64, np.int64)))
 
 
-def _by_shard(minimizer: dict[bytes, int], shards: int) -> dict[int, list[bytes]]:
-    """Different segments in the order in which a block sends them: by shard, then by their bytes."""
-    by: dict[int, list[bytes]] = {}
-    for segment in sorted(minimizer):
-        by.setdefault(minimizer[segment] % shards, []).append(segment)
-    return by
-
-
 def ask_segments(table: pa.Table, shared: pa.Table, shards: int) -> pa.Table:
     """Of a block, for each shard: its different segments, or strings if hot, and the smallest id of each."""
-    least: dict[bytes, int] = {}
-    minimizer: dict[bytes, int] = {}
-    apart: dict[bytes, int] = {}
-    docs = sorted(_documents(table), key=lambda x: x[0], reverse=True)  # the smallest id is written last
-    for doc, data, h, first, behind in _candidates(docs, shared):
-        own = [data[a:b] for a, b in zip(first.tolist(), (behind + (DEPTH - 1)).tolist())]
-        minimizer.update(zip(own, h.tolist()))
-        least.update(dict.fromkeys(own, doc))
+    found = Segments(_documents(table), shared)
+    least = np.full(len(found.keys), NOBODY)
+    np.minimum.at(least, found.codes, np.repeat(np.array([p[0] for p in found.places], np.int64), [len(p[3]) for p in found.places]))
     block = table.column("block")[0].as_py() if table.num_rows else -1
-    long, strings = _hot_strings(minimizer, _hot_minimizers(shared), shards)
-    for segment in long:
-        del minimizer[segment]
-        doc = least.pop(segment)
-        for i in range(len(segment) - DEPTH + 1):
-            string = segment[i : i + DEPTH]
+    apart: dict[bytes, int] = {}
+    for i in np.flatnonzero(found.hot).tolist():
+        segment, doc = found.keys[i], int(least[i])
+        for k in range(len(segment) - DEPTH + 1):
+            string = segment[k : k + DEPTH]
             apart[string] = min(apart.get(string, NOBODY), doc)
     rows = [
         (s, block, len(own), DEPTH * len(own), None, None, _pack(np.array([apart[k] for k in own], np.int64)), pa.compress(b"".join(own), codec="zstd", asbytes=True))
-        for s, own in strings.items()
-    ]
-    rows += [
-        (s, block, len(own), sum(map(len, own)), _pack(np.array([minimizer[k] for k in own], np.uint64)), _pack(np.array(list(map(len, own)), np.int32)),
-         _pack(np.array([least[k] for k in own], np.int64)), pa.compress(b"".join(own), codec="zstd", asbytes=True))
-        for s, own in _by_shard(minimizer, shards).items()
+        for s, own in found.hot_strings(shards).items()
     ]
+    for s, codes in found.by_shard(shards):
+        own = [found.keys[i] for i in codes.tolist()]
+        sizes = np.fromiter(map(len, own), np.int32, len(own))
+        rows.append((s, block, len(own), int(sizes.sum()), _pack(found.minimizer[codes]), _pack(sizes), _pack(least[codes]), pa.compress(b"".join(own), codec="zstd", asbytes=True)))
     return pa.table({f.name: pa.array([r[i] for r in rows], f.type) for i, f in enumerate(_SEGMENTS)})
 
 
@@ -259,48 +275,52 @@ def answer(table: pa.Table) -> pa.Table:
     """Of a shard, for each block and segment: the smallest id that holds each of its strings."""
     if table.column("sizes").null_count:
         return _answer_strings(table)
-    asked, least, groups = [], {}, {}
-    for r in table.to_pylist():
+    numbers, asked, minimizers, ids = _Numbers(), [], [], []
+    for i in range(table.num_rows):
+        r = table.slice(i, 1).to_pylist()[0]
         sizes, text = _unpack(r["sizes"], r["n"], np.int32), pa.decompress(r["bytes"], r["n_bytes"], codec="zstd", asbytes=True)
         ends = np.cumsum(sizes).tolist()
-        own = [text[e - s : e] for s, e in zip(sizes.tolist(), ends)]
-        for m, seg, doc in zip(_unpack(r["minimizers"], r["n"], np.uint64).tolist(), own, _unpack(r["ids"], r["n"], np.int64).tolist()):
-            before = least.get(seg)
-            if before is None:
-                groups.setdefault(m, []).append(seg)
-            if before is None or before > doc:
-                least[seg] = doc
-        asked.append((r["block"], own))
-    owners: dict[bytes, np.ndarray] = {}
-    pending: list[bytes] = []
+        asked.append((r["block"], np.fromiter(map(numbers.__getitem__, (text[e - s : e] for s, e in zip(sizes.tolist(), ends))), np.int32, len(ends))))
+        minimizers.append(_unpack(r["minimizers"], r["n"], np.uint64))
+        ids.append(_unpack(r["ids"], r["n"], np.int64))
+    keys, codes = list(numbers), np.concatenate([c for _, c in asked])
+    del numbers
+    minimizer, least = np.empty(len(keys), np.uint64), np.full(len(keys), NOBODY)
+    minimizer[codes] = np.concatenate(minimizers)
+    np.minimum.at(least, codes, np.concatenate(ids))
+    del minimizers, ids, codes
+    widths = np.fromiter(map(len, keys), np.int64, len(keys)) - (DEPTH - 1)
+    ends = np.cumsum(widths)
+    owners = np.repeat(least, widths)  # of each string of each segment
+    pending: list[int] = []
 
     def index() -> None:
         if pending:
-            found = RunIndex(pending, np.array([least[s] for s in pending], np.int64), DEPTH).least_owners(pending)
-            owners.update(zip(pending, found))
+            own = [keys[i] for i in pending]
+            for i, found in zip(pending, RunIndex(own, least[pending], DEPTH).least_owners(own)):
+                owners[ends[i] - len(found) : ends[i]] = found
             pending.clear()
 
     held = 0
-    for m in sorted(groups):
-        group = groups[m]
-        size = sum(map(len, group)) + len(group)
-        if len(group) == 1:  # a minimizer with one segment shares strings with no other
+    order = np.argsort(minimizer, kind="stable")
+    cuts = np.flatnonzero(np.concatenate([[True], minimizer[order][1:] != minimizer[order][:-1]])) if len(order) else order
+    for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(order)]):
+        if b - a == 1:  # a minimizer with one segment shares strings with no other
             continue
+        group = order[a:b]
+        size = int(widths[group].sum()) + DEPTH * len(group)
         if held + size > INDEX_BYTES:
             index()
             held = 0
-        pending += group
+        pending += group.tolist()
         held += size
     index()
-    rows = []
+    rows, shard = [], table.column("shard")[0].as_py()
     for block, own in asked:
-        widths = np.array(list(map(len, own)), np.int64) - (DEPTH - 1)
-        values = np.repeat(np.array([least[s] for s in own], np.int64), widths)
-        ends = np.cumsum(widths).tolist()
-        for s, end in zip(own, ends):
-            if (found := owners.get(s)) is not None:
-                values[end - len(found) : end] = found
-        rows.append((block, table.column("shard")[0].as_py(), len(values), _pack(values)))
+        n = widths[own]
+        total = np.cumsum(n) - n
+        values = owners[np.repeat(ends[own] - n - total, n) + np.arange(int(n.sum()))]
+        rows.append((block, shard, len(values), _pack(values)))
     return _answers(rows)
 
 
@@ -327,42 +347,30 @@ def _answer_strings(table: pa.Table) -> pa.Table:
 def cut_out(table: pa.Table, told: pa.Table, shards: int) -> pa.Table:
     """Of a block: each document's removed spans, remaining bytes and other columns. ``told`` has the shared minimizers and the answers."""
     shared = told.filter(pa.compute.is_valid(told.column("hashes")))
-    minimizer: dict[bytes, int] = {}
-    docs = []
-    for doc, data, h, first, behind in _candidates(list(_documents(table)), shared):
-        own = [data[a:b] for a, b in zip(first.tolist(), (behind + (DEPTH - 1)).tolist())]
-        minimizer.update(zip(own, h.tolist()))
-        docs.append((doc, data, first.tolist(), own))
+    found = Segments(_documents(table), shared)
     answers = {r["shard"]: _unpack(r["least"], r["n"], np.int64) for r in told.select(["shard", "n", "least"]).to_pylist() if r["least"] is not None}
     # Of each segment the answers for its strings, and the extremes of these.
-    known: dict[bytes, tuple[int, int, int, int, int]] = {}
-    long, strings = _hot_strings(minimizer, _hot_minimizers(shared), shards)
-    if long:
-        apart = dict(itertools.chain.from_iterable(zip(own, answers[s].tolist()) for s, own in strings.items()))
-        each = [np.array([apart[k[i : i + DEPTH]] for i in range(len(k) - DEPTH + 1)], np.int64) for k in long]
-        at = 0
-        for segment, values in zip(long, each):
-            del minimizer[segment]
-            known[segment] = (int(values.min()), int(values.max()), at, at + len(values), -1)
-            at += len(values)
-        answers[-1] = np.concatenate(each)
-    for s, own in _by_shard(minimizer, shards).items():
-        ends = np.cumsum(np.array(list(map(len, own)), np.int64) - (DEPTH - 1))
-        starts = np.concatenate([[0], ends[:-1]])
-        low, high = np.minimum.reduceat(answers[s], starts).tolist(), np.maximum.reduceat(answers[s], starts).tolist()
-        known.update(zip(own, zip(low, high, starts.tolist(), ends.tolist(), itertools.repeat(s))))
+    widths = np.fromiter(map(len, found.keys), np.int64, len(found.keys)) - (DEPTH - 1)
+    begins = np.cumsum(widths) - widths
+    owners = np.empty(int(widths.sum()), np.int64)
+    for s, codes in found.by_shard(shards):
+        n = widths[codes]
+        owners[np.repeat(begins[codes] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))] = answers.pop(s)
+    if found.hot.any():
+        apart = dict(itertools.chain.from_iterable(zip(own, answers[s].tolist()) for s, own in found.hot_strings(shards).items()))
+        for i in np.flatnonzero(found.hot).tolist():
+            k = found.keys[i]
+            owners[begins[i] : begins[i] + widths[i]] = [apart[k[j : j + DEPTH]] for j in range(int(widths[i]))]
+    low, high = (np.minimum.reduceat(owners, begins), np.maximum.reduceat(owners, begins)) if len(begins) else (begins, begins)
     rows = []
-    for doc, data, first, own in docs:
-        begin, stop = [], []
-        for a, segment in zip(first, own):
-            low, high, at, end, s = known[segment]
-            if high < doc:
-                begin.append(a)
-                stop.append(a + len(segment))
-            elif low < doc:
-                hit = (np.flatnonzero(answers[s][at:end] < doc) + a).tolist()
-                begin += hit
-                stop += [x + DEPTH for x in hit]
+    for doc, data, first, codes in found.places:
+        whole = high[codes] < doc
+        begin, stop = first[whole].tolist(), (first[whole] + widths[codes[whole]] + (DEPTH - 1)).tolist()
+        for i in np.flatnonzero((low[codes] < doc) & ~whole).tolist():
+            at, a = begins[codes[i]], first[i]
+            hit = (np.flatnonzero(owners[at : at + widths[codes[i]]] < doc) + a).tolist()
+            begin += hit
+            stop += [x + DEPTH for x in hit]
         if not begin:
             rows.append((doc, [], data))
             continue
