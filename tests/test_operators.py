@@ -1,3 +1,5 @@
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,3 +108,44 @@ def test_files(spark, tmp_path):
     files.write_batches(spark.range(5).select(F.col("id").alias("n"), F.col("id").cast("string").alias("line")), str(tmp_path / "batches"), 2)
     assert len(list((tmp_path / "batches").glob("batch=*"))) == 3
     assert [r["id"] for r in files.not_done(df, df.filter("id = 1"), "id").collect()] == [2]
+
+
+def test_similar_ports_and_commodities_get_their_name(spark):
+    from difflib import SequenceMatcher
+
+    listed = ["Fredrikstad", "Sundsvall", "Riga", "Memel", "Quebec"]
+    raw = ["riga", "Sundswall", "Sundsvalll", "Memell", "Quebeck", "Xyz", " ", "Mem"]
+    rows = spark.createDataFrame([(r,) for r in raw + [None]], "raw string")
+    got = {r["raw"]: r["port"] for r in L.normalize_ports(rows, "raw", spark.createDataFrame([(x,) for x in listed], "name string"), "name").collect()}
+    assert got["riga"] == "Riga" and got[" "] == "" and got[None] == ""
+    for r in raw[1:-2]:
+        score, best = max((SequenceMatcher(None, r.lower(), x.lower()).ratio(), x) for x in listed)
+        assert got[r] == (best if score > 0.85 else r)
+    assert got["Mem"] == "Mem"
+    goods = spark.createDataFrame([("sleepers",)] * 25 + [("sleeperss",), ("gum",), (None,)], "raw string")
+    named = {r["raw"]: r["commodity_name"] for r in L.normalize_commodities(goods, "raw").collect()}
+    assert named == {"sleepers": "sleepers", "sleeperss": "sleepers", "gum": "gum", None: ""}
+
+
+def test_word_errors(spark):
+    def plain(a, b):
+        row = list(range(len(b) + 1))
+        for x in a:
+            row, last = [row[0] + 1], row
+            for i, y in enumerate(b):
+                row.append(min(last[i] + (x != y), last[i + 1] + 1, row[-1] + 1))
+        return row[-1] / len(b) if b else None
+
+    rng = random.Random(5)
+    pairs = [(" ".join(rng.choices("abc", k=rng.randrange(7))), " ".join(rng.choices("abc", k=rng.randrange(7)))) for _ in range(80)]
+    out = spark.createDataFrame(pairs, "a string, b string").withColumn("wer", N.word_error_rate(F.col("a"), F.col("b"))).collect()
+    assert all(r["wer"] == plain(r["a"].split(), r["b"].split()) for r in out)
+
+
+def test_review_files_are_read_in_their_encoding(spark, tmp_path):
+    head = "port_type,original_port,ship_count,best_match_canonical,similarity_score,normalization_tier,year_range,action,map_to_port,notes,web_search_query\n"
+    for name, code in (("a", "utf-8"), ("b", "latin-1")):
+        (tmp_path / f"{name}.csv").write_bytes((head + "=== INSTRUCTIONS ===,,,,,,,,,x,\norigin,Gävle,3,,,,,,,,\norigin,Åbo,4,,,,,MAP,Abo,,\n").encode(code))
+        rows = files.read_review(spark, str(tmp_path / f"{name}.csv"))
+        assert [r["original_port"] for r in rows.orderBy("ship_count").collect()] == ["Gävle", "Åbo"]
+        assert [r["original_port"] for r in files.undecided(rows).collect()] == ["Gävle"]

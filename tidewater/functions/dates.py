@@ -89,5 +89,24 @@ def grade(exact_percent: Column) -> Column:
     return first_case([(exact_percent >= 35, "GOOD"), (exact_percent >= 25, "MODERATE")], "POOR")
 
 
+def word_error_rate(read: Column, truth: Column) -> Column:
+    """Edits of whole words over the words of ``truth``; null without any."""
+    words = lambda c: F.filter(F.split(c, r"\s+"), lambda w: w != "")
+    # Row by row of the table of edits: after a word of ``read``, the edits to each beginning of ``truth``.
+    a, b = words(read), words(truth)
+
+    def row(before: Column, word: Column) -> Column:
+        start = F.array(F.get(before, 0) + 1)
+
+        def step(done: Column, i: Column) -> Column:
+            change = F.get(before, i) + F.when(F.get(b, i) == word, 0).otherwise(1)
+            return F.concat(done, F.array(F.least(change, F.get(before, i + 1) + 1, F.element_at(done, -1) + 1)))
+
+        return F.when(F.size(b) == 0, start).otherwise(F.aggregate(F.sequence(F.lit(0), F.greatest(F.size(b) - 1, F.lit(0))), start, step))
+
+    edits = F.aggregate(a, F.sequence(F.lit(0), F.size(b)), row)
+    return F.try_divide(F.element_at(edits, -1), F.size(b))
+
+
 def character_error_rate(read: Column, truth: Column) -> Column:
     return F.try_divide(F.levenshtein(read, truth), F.length(truth))

@@ -81,6 +81,10 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
 
+def low(c: Column) -> Column:
+    return F.lower(strip(c))
+
+
 def squeeze(c: Column) -> Column:
     """White space runs, no-break spaces included, as one space; none at the ends."""
     return F.trim(F.regexp_replace(c, r"(?U)[\s\x{a0}]+", " "))
@@ -96,6 +100,7 @@ def is_port_header(line: Column) -> Column:
     return line.rlike(r"^[A-Z\s&.'()]+\.\s*$")
 
 
+# The forms of date headers and record lines.
 DATE_HEADER = r"^(\w{3,9})\.?\s+(\d{1,2})\.?\s*$"
 EARLY = r"(?i)^(?:(\w{3,9})\.?\s+(\d{1,2})\.?\s+)?([A-Za-z\s.&'-]+?)\s*(?:\(s\))?\s*@\s*([A-Za-z\s.,&-]+?),?\s*(?=[—\d])(.*?)$"
 STANDARD = r"(?i)^(?:(\w{3,9})\.\s+)?(\d{1,2})\s+([A-Za-z\s.&'-]+?)\s*(?:\(s\))?\s*-\s*([A-Za-z\s.,'-]+?)\s*-\s*([^-]+?)\s*-\s*(.+?)$"

@@ -12,11 +12,28 @@ from tidewater.functions import text as T
 
 # Headings that stand where a port's would, tested by equality if they are short, else as parts.
 SKIP_HEADERS = [
-    "TIMBER TRADES JOURNAL", "ENGLAND AND WALES", "SCOTLAND", "IRELAND", "IMPORTS", "REVIEWS", "FREIGHTS", "FAILURES AND ARRANGEMENTS",
-    "LIQUIDATIONS", "ERRATUM", "TRADE ITEMS", "ACCEPTED TENDERS", "LONDON DOCK DELIVERIES", "ARRIVALS", "PINE", "SPRUCE", "PITCH PINE",
-    "MAHOGANY", "LATHWOOD", "CONTRACTS OPEN", "TRADE MARK", "H", "A", "ONE", "EST",
+    "TIMBER TRADES JOURNAL", "TIMBER TRADES' JOURNAL", "ADES JOURNAL", "ENGLAND AND WALES", "SCOTLAND", "IRELAND", "SCOTCH SUPPLEMENT",
+    "IMPORTS", "REVIEWS", "FREIGHTS", "FAILURES AND ARRANGEMENTS", "LIQUIDATIONS", "ERRATUM", "TRADE ITEMS", "CREDITOR PARTLY SECURED",
+    "ACCEPTED TENDERS", "LONDON DOCK DELIVERIES", "ARRIVALS",
+    "PINE", "SPRUCE", "PITCH PINE", "OAK", "OAK TIMBER", "MAHOGANY", "ASH", "LATHWOOD", "WEATHERBOARDS", "SLATING BATTENS", "MOULDING",
+    "MOULDINGS", "VENEERS", "SLAB BOARDS", "POLES", "SPARS", "DECK DEALS", "LATHS", "PLASTERERS' LATHS", "BEAD", "TORUS SKIRTING", "DEAL",
+    "ERABLE", "HEWN BALK", "AHOGANY",
+    "CONTRACTS OPEN", "TRADE MARK", "ILLUSTRATED CATALOGUES FREE ON APPLICATION", "POST FREE ON APPLICATION",
+    "EXPORT ORDERS PROMPTLY EXECUTED", "WRITE FOR CATALOGUE", "DETAILED SPECIFICATION ON APPLICATION",
+    "COUNTRY ORDERS RECEIVE PROMPT ATTENTION", "SEND FOR REFERENCES TO USERS", "REGISTERED BRAND", "SILVER MEDAL", "CIRCULAR SAWS",
+    "IN THE WORLD", "SPECIFICATIONS OF THE FOLLOWING HAVE BEEN PUBLISHED", "EVERY DESCRIPTION OF BALTIC AND AMERICAN TIMBER",
+    "VENEERS OF ALL KINDS", "AND ALL VARIETIES OF FANCY WOODS", "EVERY DESCRIPTION OF WOOD ALWAYS IN STOCK",
+    "PREPARED FROM THE DIMENSIONS STATED", "EXPORTERS AMERICAN HARDWOOD LUMBER", "AUSTRALIAN TIMBER TRADE", "TIMBER FROM CORSICA",
+    "SEEDLING AND TRANSPLANTED FOREST TREES", "HORTICULTURAL TIMBER MERCHANT", "THE STANDARD TIMBER MEASURER",
+    "GANDY'S PATENT COTTON BELTING", "THE GANDY BELT",
+    "MAURICE GANDY", "THOMAS ROEBUCK & COMPANY (LIMITED)", "JOSEPH GARDNER & SONS", "ROBERT PARKER & CO", "LAVY BROS",
+    "AT NEW ORLEANS", "THE MISSISSIPPI VALLEY", "THE HAWAIIAN ISLANDS", "BRANCH YARD AT NEWBURGH", "AT THE MILLWALL DOCKS", "AT AVONMOUTH",
+    "BY SURREY COMMERCIAL DOCKS",
+    "R. M", "R & CO", "H", "A", "ONE", "EST", "TONE", "BURGH", "J. H. ROW... AU", "B. & F. S. WHARF", "B. & F. WHARF", "Y COMMERCIAL DOCKS",
+    "COLUMBIA", "MILWALL",
 ]
 HEADER_STARTS = ["imports of timber", "london.", *(f"{m.lower()} " for m in T.MONTHS.values())]
+# Patterns of record lines and of what ends a block.
 _RECORD = [r"^(?:\w+\.\s+)?\d{1,2}\s+\w+.*-.*-", r"^\w+[\s(].*-.*-.*-", r"^\d{1,5}\s+(?:pcs\.|lds\.|deals|timber|boards)"]
 _ENDS = r"(?i)^THE\s+\w+\s+TRADE|^\(From\s+our\s+own\s+Correspondent|^MARKET\s+REPORTS|^PRICES\s+CURRENT"
 
@@ -84,3 +101,33 @@ def entries(texts: DataFrame, key: str, text: str) -> DataFrame:
             yield pd.DataFrame(rows, columns=[key, "place", "ship_name", "is_steamship", "origin_port", "body"])
 
     return texts.select(key, text).mapInPandas(find, f"{key} {texts.schema[key].dataType.simpleString()}, place int, ship_name string, is_steamship boolean, origin_port string, body string")
+
+
+def parse_lines(lines: DataFrame, line: str, ports: list[str], vocabulary: list[str]) -> DataFrame:
+    """``lines`` with a struct ``parsed`` of each line of the form place - port - products; other lines and headings are left out.
+
+    Fields: date_iso, arrival_place_raw, departure_port_raw, departure_port_std (the listed port, without case, else null),
+    product_type_list, product_list_raw, merchants_raw, notes, and warnings: unknown_port, ambiguous_products.
+    """
+    raw = T.squeeze(F.col(line))
+    body = T.squeeze(T.without_notes(raw))
+    dated = r"^(\d{4})-(\d{2})-(\d{2})"
+    parts = T.dash_parts(F.regexp_replace(F.regexp_replace(body, dated, ""), r"^[ \-—:]+", ""))
+    known = F.create_map(*(F.lit(v) for p in ports for v in (p.lower(), p))) if ports else None
+    port, tail = F.get(parts, 1), F.coalesce(F.get(parts, 2), F.lit(""))
+    split = T.split_for(tail)
+    products = T.strip_quantities(split["products"])
+    standard = F.try_element_at(known, F.lower(port)) if ports else F.lit(None).cast("string")
+    kinds = T.product_types(products, vocabulary)
+    warnings = F.array_compact(F.array(F.when(standard.isNull(), "unknown_port"), F.when(F.size(kinds) == 0, "ambiguous_products")))
+    fields = {
+        "date_iso": F.nullif(F.regexp_extract(body, dated, 0), F.lit("")), "arrival_place_raw": F.get(parts, 0), "departure_port_raw": port, "departure_port_std": standard,
+        "product_type_list": kinds, "product_list_raw": products, "merchants_raw": split["merchant"], "notes": F.nullif(T.notes(raw), F.lit("")), "warnings": warnings,
+    }
+    parsed = F.struct(*(c.alias(n) for n, c in fields.items()))
+    return lines.filter((raw != "") & ~heads_lines(raw) & (F.size(parts) >= 2)).withColumn("parsed", parsed)
+
+
+def triage(parsed: DataFrame) -> DataFrame:
+    """Parsed lines with warnings."""
+    return parsed.filter(F.size("parsed.warnings") > 0)

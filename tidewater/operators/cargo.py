@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidewater.functions import text as T
 
 ITEM = "array<struct<quantity:string,unit:string,commodity:string,merchant:string,raw:string>>"
+# Quantities with and without a unit; the second ends at punctuation, a digit or the end.
 _WITH_UNIT = r"(?i)(\d+[,\d]*)\s+([a-z]{1,6}\.)\s+([a-z\s\-&]+)"
 _BARE = r"(?i)(\d+[,\d]*)\s+([a-z][a-z\s\-&]{2,25}?)(?=,|;|\.|\d|$)"
 

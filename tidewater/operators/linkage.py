@@ -7,7 +7,9 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import types as K
+
+from tidewater.functions import text as T
 
 
 def similarity(a: Column, b: Column) -> Column:
@@ -17,7 +19,7 @@ def similarity(a: Column, b: Column) -> Column:
     return F.when(a.isNull() | b.isNull() | (a == "") | (b == ""), F.lit(0.0)).when(x == y, F.lit(1.0)).otherwise(1 - F.levenshtein(x, y) / longer)
 
 
-@F.pandas_udf(T.DoubleType())
+@F.pandas_udf(K.DoubleType())
 def matching_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     """Ratcliff-Obershelp ratio without case, 0 with a null side; not symmetric. Call it on distinct pairs."""
     return pd.Series([SequenceMatcher(None, x.lower(), y.lower()).ratio() if x is not None and y is not None else 0.0 for x, y in zip(a, b)], dtype="float64")
@@ -43,19 +45,44 @@ def _bigrams(c: Column) -> Column:
     return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(padded) - 1), lambda i: F.substring(padded, i, F.lit(2))))
 
 
-def best_match(values: DataFrame, canonical: DataFrame, value: str, name: str, least: float = 0.70) -> DataFrame:
+def best_match(values: DataFrame, canonical: DataFrame, value: str, name: str, least: float = 0.70, ratio: bool = False) -> DataFrame:
     """(value, name, score): for each distinct value the most similar name above ``least``, the first in order of equals.
 
     Strings so similar share a pair of neighbouring letters for ``least`` of 0.5 and more, so candidates come
-    from an equi-join on those pairs.
+    from an equi-join on those pairs. With ``ratio`` the score is ``matching_ratio`` instead of the edit distance's;
+    then that holds for ``least`` of 0.85 and more. Lengths bound either score before it is worked out.
     """
     a = values.select(value).distinct().withColumn("_g", F.explode(_bigrams(F.col(value))))
     b = canonical.select(name).distinct().withColumn("_g", F.explode(_bigrams(F.col(name))))
-    pairs = a.join(b, "_g").select(value, name).distinct().withColumn("score", similarity(F.col(value), F.col(name))).filter(F.col("score") > least)
+    x, y = F.length(value), F.length(name)
+    bound = 2 * F.least(x, y) / (x + y) if ratio else F.least(x, y) / F.greatest(x, y)
+    pairs = a.join(b, "_g").select(value, name).distinct().filter(bound > least)
+    pairs = pairs.withColumn("score", matching_ratio(F.col(value), F.col(name)) if ratio else similarity(F.col(value), F.col(name))).filter(F.col("score") > least)
     first = F.row_number().over(Window.partitionBy(value).orderBy(F.desc("score"), name))
     return pairs.withColumn("_r", first).filter("_r = 1").drop("_r")
 
 
+def normalize_ports(rows: DataFrame, value: str, canonical: DataFrame, name: str) -> DataFrame:
+    """Adds ``port``: the listed name without case, else the abbreviation's or family's, else the most similar above 0.85, else the value; '' for blank."""
+    listed = canonical.groupBy(F.lower(name).alias("_low")).agg(F.min(name).alias("_listed"))
+    distinct = rows.select(value).distinct().join(listed, T.low(F.col(value)) == F.col("_low"), "left").drop("_low")
+    ruled = distinct.withColumn("_ruled", T.normalize_port(F.col(value), F.col("_listed")))
+    left = ruled.filter(F.col("_ruled") == T.strip(F.col(value))).filter(F.col("_listed").isNull())
+    near = best_match(left, canonical, value, name, 0.85, ratio=True).select(value, F.col(name).alias("_near"))
+    found = ruled.join(near, value, "left").select(F.col(value).alias("_key"), F.coalesce("_near", "_ruled").alias("port"))
+    return rows.join(found, F.col(value).eqNullSafe(F.col("_key")), "left").drop("_key")
+
+
+def normalize_commodities(rows: DataFrame, value: str, frequent: int = 20) -> DataFrame:
+    """Adds ``commodity_name``: the rules' name, else the most similar one (ratio above 0.90) of those that more than ``frequent`` rows have."""
+    ruled = rows.groupBy(value).agg(F.count("*").alias("_n")).withColumn("_ruled", T.normalize_commodity(F.col(value)))
+    names = ruled.groupBy(F.col("_ruled").alias("_name")).agg(F.sum("_n").alias("_n")).filter((F.col("_n") > frequent) & (F.col("_name") != "")).select("_name")
+    rare = ruled.filter(F.col("_ruled") != "").join(names, F.col("_ruled") == F.col("_name"), "left_anti")
+    near = best_match(rare, names, "_ruled", "_name", 0.90, ratio=True).select(F.col("_ruled").alias("_from"), F.col("_name").alias("_near"))
+    found = ruled.join(near, F.col("_ruled") == F.col("_from"), "left").select(F.col(value).alias("_key"), F.coalesce("_near", "_ruled").alias("commodity_name"))
+    return rows.join(found, F.col(value).eqNullSafe(F.col("_key")), "left").drop("_key")
+
+
 def tier(error: Column, exact: Column, variant: Column, score: Column) -> Column:
     """How a name was found: error, exact, variant, fuzzy_high, fuzzy_medium, fuzzy_low or unmapped."""
     return (

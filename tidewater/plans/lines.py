@@ -6,11 +6,13 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidewater.functions import text as T
+from tidewater.operators import blocks as B
 from tidewater.operators import cargo as G
 from tidewater.operators import context as C
 from tidewater.operators import datasets as D
 from tidewater.operators import linkage as L
 from tidewater.sources.files import lines
+from tidewater.streaming import events
 from tidewater.sources.tables import table
 
 from .texts import quoted
@@ -93,8 +95,8 @@ def a21_stratified(spark, d):
 
 
 def a27_block_confidence(spark, d):
-    x = doc_lines(spark, d).filter(F.trim("line") != "")
-    return x.groupBy("doc_id").agg(F.round(F.avg(F.contains("line", F.lit("|")).cast("double")), 6).alias("confidence"))
+    x = journal(spark, d).filter(F.trim("line") != "")
+    return x.groupBy("doc_key").agg(F.round(F.avg(B.is_import_record(F.col("line")).cast("double")), 6).alias("confidence"))
 
 
 def p37_format_signals(spark, d):
@@ -117,14 +119,11 @@ def t2_cargo_items(spark, d):
 
 def m6_event_windows(spark, d):
     e = table(spark, d, "events")
-    w = e.groupBy(F.window(F.col("ts").cast("timestamp"), "6 hours"), "event_type").agg(F.count("*").alias("n"), F.round(F.sum("value"), 4).alias("v"))
-    return w.select(F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("start"), "event_type", "n", "v")
+    return events.windowed(e).select(F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("start"), "event_type", "n", F.round("v", 4).alias("v"))
 
 
 def m6_sessions(spark, d):
-    e = table(spark, d, "events").withColumn("t", F.col("ts").cast("timestamp"))
-    w = e.groupBy(F.session_window("t", "2 hours"), "user_id").agg(F.count("*").alias("n"))
-    return w.groupBy("n").agg(F.count("*").alias("sessions"))
+    return events.sessions(table(spark, d, "events")).groupBy("n").agg(F.count("*").alias("sessions"))
 
 
 def a23_vocabulary(spark, d):
@@ -171,7 +170,7 @@ select doc_key, cast(sec as bigint) section, count(*) n_lines, string_agg(line,
 from context where line like '%@%' or regexp_matches(line, '-.*-.*-')""",
     "a21_stratified": """with n as (select doc_id, lang, row_number() over (partition by lang order by doc_id) - 1 i, count(*) over (partition by lang) n from documents)
 select doc_id, lang from n where i % greatest(1, n // 5) = 0 and i // greatest(1, n // 5) < 5""",
-    "a27_block_confidence": f"""with {LINE_SQL} select doc_id, round(avg(case when contains(line, '|') then 1.0 else 0.0 end), 6) confidence from lines where trim(line) <> '' group by 1""",
+    "a27_block_confidence": rf"""with {JOURNAL_SQL} select doc_key, round(avg(case when length(trim(line)) >= 10 and (contains(line, '@') or regexp_matches(trim(line), '^(\w+\.\s+)?\d{{1,2}}\s+\w+.*-.*-|^\w+[\s(].*-.*-.*-|^\d{{1,5}}\s+(pcs\.|lds\.|deals|timber|boards)')) then 1.0 else 0.0 end), 6) confidence from journal where trim(line) <> '' group by 1""",
     "p37_format_signals": rf"""with {JOURNAL_SQL}, c as (select doc_key, count(*) filter ({HEADER}) headers, count(*) filter (line like '%@%') at_lines, count(*) filter (regexp_matches(line, '-.*-.*-')) dash_lines from journal group by 1)
 select *, case when at_lines > dash_lines then 'early_at' when dash_lines > 0 then 'dash' when headers > 0 then 'headers' else 'unknown' end format from c""",
     "t2_cargo_items": """with x(k, pos, quantity, unit, commodity, merchant) as (values (0, 0, '102', 'bgs', 'wood pulp', ''), (1, 0, '1300', '', 'staves', 'Nickols & Co'), (2, 0, '115', 'pcs', 'timber', ''),

@@ -7,19 +7,58 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import dates as N
 from tidewater.operators import blocks as B
+from tidewater.operators import linkage as L
 from tidewater.sources.tables import cargo, ships, table
 
 from .lines import journal
+from .links import MISSPELLED_SQL, misspelled
 from .star import SHIPS, STAR
 from .texts import LINES, quoted, sample, sample_sql
 
-HEADINGS = ["LONDON.", "H.", "A.", "HULL.", "TIMBER TRADES JOURNAL.", "PITCH PINE.", "FREIGHTS.", "ALLOA.", "imports of timber into", "In all 12", "May 3 lines", ""]
+HEADINGS = ["LONDON.", "H.", "A.", "HULL.", "TIMBER TRADES JOURNAL.", "PITCH PINE.", "FREIGHTS.", "ALLOA.", "imports of timber into", "In all 12", "May 3 lines", "",
+            "The Gandy Belt.", "OAK.", "OAKHAM.", "R & CO.", "BRANCH YARD AT NEWBURGH.", "MILWALL.", "B. & F. WHARF.", "SILVER MEDAL.", "LEITH."]
+#: Which of them are skipped, and which head a list.
+SKIPPED = [False, True, True, False, True, True, True, False, True, False, False, False, True, True, False, True, True, True, True, True, False]
+HEADS = [False, False, False, False, False, False, False, False, True, True, True, True] + [False] * 9
 
 
 def f5_skip_headers(spark, d):
     return sample(spark, d, HEADINGS).select("id", B.skipped(F.col("s")).alias("skipped"), B.heads_lines(F.col("s")).alias("heads"))
 
 
+PLACES, GOODS = ["Riga", "Memel"], ["deals", "timber", "oak"]
+DASHED = ["1889-03-27 — Surrey Commercial Docks — Riga — 14,559 n.s. deals; for Smith & Co.", "Hull — Danzig — 30 loads oak", "Hull (late) — memel — staves", "LONDON.", "no dashes here", ""]
+
+
+def t5_parsed_lines(spark, d):
+    x = B.parse_lines(sample(spark, d, DASHED), "s", PLACES, GOODS)
+    arrays = {"goods": "product_type_list", "warned": "warnings"}
+    texts = ("date_iso", "arrival_place_raw", "departure_port_raw", "departure_port_std", "product_list_raw", "merchants_raw", "notes")
+    return x.select("id", *(F.coalesce(f"parsed.{c}", F.lit("")).alias(c) for c in texts), *(F.array_join(f"parsed.{c}", ",").alias(n) for n, c in arrays.items()))
+
+
+def f4_triage(spark, d):
+    x = B.triage(B.parse_lines(sample(spark, d, DASHED), "s", PLACES, GOODS))
+    return x.groupBy(F.array_join("parsed.warnings", ",").alias("warned")).agg(F.count("*").alias("lines"))
+
+
+def p14_fuzzy_commodities(spark, d):
+    """Names of which some are misspelled, by the frequent ones."""
+    x = cargo(spark, d).select(F.when(F.col("record_id") % 5000 == 7, F.concat("commodity", F.lit("X"))).otherwise(F.col("commodity")).alias("raw"))
+    return L.normalize_commodities(x, "raw").groupBy("commodity_name").agg(F.count("*").alias("n"))
+
+
+def p15_fuzzy_ports(spark, d):
+    x = ships(spark, d).select(misspelled().alias("raw"))
+    return L.normalize_ports(x, "raw", table(spark, d, "nation"), "n_name").groupBy("raw", "port").agg(F.count("*").alias("n"))
+
+
+def n14_word_errors(spark, d):
+    x = table(spark, d, "part").select("p_partkey", F.concat_ws(" ", "p_type", "p_brand").alias("truth"))
+    read = F.regexp_replace(F.regexp_replace("truth", "E", "F"), "STANDARD ", "")
+    return x.select("p_partkey", F.round(N.word_error_rate(read, F.col("truth")), 6).alias("wer"))
+
+
 def f9_import_records(spark, d):
     return sample(spark, d, [x for x in LINES if x is not None]).select("id", B.is_import_record(F.col("s")).alias("is_record"))
 
@@ -66,7 +105,7 @@ def w7_running_ids(spark, d):
 
 
 def w9_import_blocks(spark, d):
-    return B.import_blocks(journal(spark, d), "doc_key", "n", least=3).groupBy("n").agg(F.count("*").alias("blocks"))
+    return B.import_blocks(journal(spark, d), "doc_key", "n").groupBy("n").agg(F.count("*").alias("blocks"))
 
 
 def w11_ranks(spark, d):
@@ -114,12 +153,16 @@ def n13_grades(spark, d):
     return e.groupBy(N.grade(F.col("p")).alias("grade")).agg(F.count("*").alias("users"))
 
 
-QUERIES = {f.__name__: f for f in (f5_skip_headers, f9_import_records, p21_fix_table, p29_aliases, p35_recompose, t4_entries, t8_blocks, w7_running_ids, w9_import_blocks, w11_ranks, o2_text_order, o2_text_order_all, o5_natural_order, k9_batches, n5_arrival_dates, n13_grades)}
-LONG = "|".join(s for s in B.SKIP_HEADERS if len(s) > 4)
-SHORT = ", ".join(quoted(s) for s in B.SKIP_HEADERS if len(s) <= 4)
+QUERIES = {f.__name__: f for f in (f4_triage, n14_word_errors, p14_fuzzy_commodities, p15_fuzzy_ports, t5_parsed_lines, f5_skip_headers, f9_import_records, p21_fix_table, p29_aliases, p35_recompose, t4_entries, t8_blocks, w7_running_ids, w9_import_blocks, w11_ranks, o2_text_order, o2_text_order_all, o5_natural_order, k9_batches, n5_arrival_dates, n13_grades)}
 SQL = {
-    "f5_skip_headers": f"""with {sample_sql(HEADINGS)} select id, regexp_matches(upper(s), '{LONG}') or upper(rtrim(s, '.')) in ({SHORT}) skipped,
-  s = '' or regexp_matches(lower(s), '^(in all|sundry imports)\\b|^imports of timber|^(january|february|march|april|may|june|july|august|september|october|november|december) ') heads from sample""",
+    "f5_skip_headers": f"""with x(k, skipped, heads) as (values {", ".join(f"({i}, {a}, {b})" for i, (a, b) in enumerate(zip(SKIPPED, HEADS)))})
+select o_orderkey id, skipped, heads from orders join x on o_orderkey % {len(HEADINGS)} = k""",
+    "t5_parsed_lines": f"""with x(k, date_iso, arrival_place_raw, departure_port_raw, departure_port_std, product_list_raw, merchants_raw, notes, goods, warned) as (values
+  (0, '1889-03-27', 'Surrey Commercial Docks', 'Riga', 'Riga', '. deals', 'for Smith & Co.', '', 'deals', ''), (1, '', 'Hull', 'Danzig', '', 'oak', '', '', 'oak', 'unknown_port'),
+  (2, '', 'Hull', 'memel', 'Memel', 'staves', '', 'late', '', 'ambiguous_products')) select o_orderkey id, x.* exclude (k) from orders join x on o_orderkey % 6 = k""",
+    "f4_triage": "select case o_orderkey % 6 when 1 then 'unknown_port' else 'ambiguous_products' end warned, count(*) lines from orders where o_orderkey % 6 in (1, 2) group by 1",
+    "p14_fuzzy_commodities": f"{STAR} select lower(commodity) commodity_name, count(*) n from cargo group by 1",
+    "p15_fuzzy_ports": f"with {SHIPS} select {MISSPELLED_SQL} raw, case record_id % 4 when 1 then translate(origin_port, 'AI', 'EY') else origin_port end port, count(*) n from ships group by 1, 2",
     "f9_import_records": f"""with {sample_sql([x for x in LINES if x is not None])} select id, length(s) >= 10 and (s like '%@%' or regexp_matches(s, '^(\\w+\\.\\s+)?\\d{{1,2}}\\s+\\w+.*-.*-|^\\w+[\\s(].*-.*-.*-')) is_record from sample""",
     "p21_fix_table": f"""{STAR} select case when commodity < 'F' then '' when commodity < 'P' then lower(commodity) else commodity end fixed, count(*) n from cargo group by 1""",
     "p29_aliases": r"""select doc_id, md5(regexp_replace(regexp_replace(lower(text), '\bthe\b', 'le', 'g'), '\band\b', 'et', 'g')) aliased_md5 from documents""",

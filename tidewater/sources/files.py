@@ -46,9 +46,15 @@ def read_csv(spark: SparkSession, path: str, schema: str, encoding: str = "UTF-8
     return spark.read.schema(schema).option("header", True).option("multiLine", True).option("escape", '"').option("encoding", encoding).csv(path)
 
 
-def read_review(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
-    """Review decisions without the instruction row; ``encoding`` is ISO-8859-1 for files that aren't UTF-8."""
-    return read_csv(spark, path, REVIEW, encoding).filter(F.col("port_type") != INSTRUCTIONS)
+def encoding_of(spark: SparkSession, path: str) -> str:
+    """UTF-8 if all files of ``path`` are valid, else ISO-8859-1."""
+    whole = spark.read.format("binaryFile").load(path)
+    return "UTF-8" if whole.filter(~F.is_valid_utf8(F.col("content").cast("string"))).isEmpty() else "ISO-8859-1"
+
+
+def read_review(spark: SparkSession, path: str, encoding: str | None = None) -> DataFrame:
+    """Review decisions without the instruction row; without a given ``encoding`` the files decide (see ``encoding_of``)."""
+    return read_csv(spark, path, REVIEW, encoding or encoding_of(spark, path)).filter(F.col("port_type") != INSTRUCTIONS)
 
 
 def read_ocr(spark: SparkSession, path: str) -> DataFrame:
@@ -67,10 +73,15 @@ def read_json_counts(spark: SparkSession, path: str) -> DataFrame:
     return whole.select(F.explode(F.from_json("value", "map<string,bigint>")).alias("name", "count"))
 
 
+def undecided(review: DataFrame) -> DataFrame:
+    """Review rows without an action so far."""
+    return review.filter(F.col("action").isNull() | (F.trim("action") == ""))
+
+
 def images(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
-    """Image files by name order: path, length, content."""
+    """Image files: path, length, content; nothing sorts rows that carry images, so order by path what is taken from them."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).option("pathGlobFilter", "*.{png,PNG,jpg,JPG,jpeg,JPEG}").load(path)
-    return found.select("path", "length", "content").orderBy("path")
+    return found.select("path", "length", "content")
 
 
 def write_csv(df: DataFrame, path: str, columns: list[str]) -> None:
