@@ -38,8 +38,10 @@ def parse_cargo(cargo: Column) -> Column:
             return F.struct(F.replace(quantity, F.lit(","), F.lit("")).alias("quantity"), unit.alias("unit"), F.lower(F.trim(commodity)).alias("commodity"), merchant.alias("merchant"), raw.alias("raw"))
 
         quantities = group(_WITH_UNIT, 1)
-        units = F.transform(quantities, lambda q, i: item(q, F.regexp_replace(F.lower(F.get(group(_WITH_UNIT, 2), i)), r"\.+$", ""), F.get(group(_WITH_UNIT, 3), i)))
-        bare = F.transform(group(_BARE, 1), lambda q, i: item(q, F.lit(None).cast("string"), F.get(group(_BARE, 2), i)))
+        with_unit = F.arrays_zip(quantities, group(_WITH_UNIT, 2), group(_WITH_UNIT, 3))
+        units = F.transform(with_unit, lambda m: item(m["0"], F.regexp_replace(F.lower(m["1"]), r"\.+$", ""), m["2"]))
+        without = F.arrays_zip(group(_BARE, 1), group(_BARE, 2))
+        bare = F.transform(without, lambda m: item(m["0"], F.lit(None).cast("string"), m["1"]))
         bare = F.filter(bare, lambda b: ~F.exists(quantities, lambda q: F.replace(q, F.lit(","), F.lit("")) == b["quantity"]))
         keyword = T.first_case([(F.contains(F.lower(segment), F.lit(k)), k) for k in T.COMMODITY_KEYWORDS], F.lit(None).cast("string"))
         none = F.lit(None).cast("string")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -75,14 +77,38 @@ def first_of_signature(rows: DataFrame, signature: list[str], order: str) -> Dat
 
 
 def duplicate_report(rows: DataFrame, signature: list[str], member: str, major: int = 50, shown: int = 10) -> DataFrame:
-    """Signatures of several rows: how many, whether many, and the first members."""
-    grouped = rows.groupBy(*signature).agg(F.count("*").alias("n"), F.array_sort(F.collect_list(member)).alias("members")).filter("n > 1")
-    return grouped.select(*signature, "n", (F.col("n") >= major).alias("is_major"), F.array_join(F.slice("members", 1, shown), ",").alias("members"))
+    """Signatures of several rows: how many, whether many, and the first members; null signatures are equal, null members don't show.
+
+    Only the first members of a signature are ever together.
+    """
+    counts = rows.groupBy(*signature).agg(F.count("*").alias("n")).filter("n > 1")
+    place = F.row_number().over(Window.partitionBy(*signature).orderBy(F.col(member).asc_nulls_last()))
+    firsts = rows.select(*signature, member).withColumn("_r", place).filter(F.col("_r") <= shown)
+    own = [f"_s{i}" for i in range(len(signature))]
+    firsts = firsts.groupBy(*(F.col(c).alias(k) for c, k in zip(signature, own))).agg(F.array_sort(F.collect_list(member)).alias("members"))
+    same = reduce(lambda x, y: x & y, (F.col(c).eqNullSafe(F.col(k)) for c, k in zip(signature, own)))
+    return counts.join(firsts, same).select(*signature, "n", (F.col("n") >= major).alias("is_major"), F.array_join("members", ",").alias("members"))
+
+
+def place_within(rows: DataFrame, keys: list[str], order: str, name: str, each: int = 1 << 16) -> DataFrame:
+    """Adds ``name``: the place from 0 of each row within ``keys`` in order of ``order``, an integer without ties or nulls.
+
+    Rows are numbered in ranges of ``each`` values, and a row for each range carries what lies before it,
+    so a few large keys keep all tasks busy.
+    """
+    ranged = rows.withColumn("_range", F.floor(F.col(order) / each))
+    sizes = ranged.groupBy(*keys, "_range").agg(F.count("*").alias("_size"))
+    before = F.sum("_size").over(Window.partitionBy(*keys).orderBy("_range")) - F.col("_size")
+    own = {k: f"_k{i}" for i, k in enumerate([*keys, "_range"])}
+    starts = sizes.withColumn("_before", before).select(*(F.col(k).alias(v) for k, v in own.items()), "_before")
+    same = reduce(lambda x, y: x & y, (F.col(k).eqNullSafe(F.col(v)) for k, v in own.items()))
+    local = F.row_number().over(Window.partitionBy(*keys, "_range").orderBy(order)) - 1
+    return ranged.withColumn("_local", local).join(starts, same).withColumn(name, F.col("_before") + F.col("_local")).drop("_range", "_local", "_before", *own.values())
 
 
 def stratified(rows: DataFrame, stratum: str, order: str, most: int = 5) -> DataFrame:
-    """Every step-th row of each stratum, ``most`` of them: step is the stratum's size by ``most``, rounded down."""
-    w = Window.partitionBy(stratum)
+    """Every step-th row of each stratum, ``most`` of them: step is the stratum's size by ``most``, rounded down; ``order`` is an integer without ties."""
+    sizes = rows.groupBy(F.col(stratum).alias("_stratum")).agg(F.count("*").alias("_n"))
+    placed = place_within(rows, [stratum], order, "_i").join(sizes, F.col(stratum).eqNullSafe(F.col("_stratum")))
     step = F.greatest(F.lit(1), F.floor(F.col("_n") / most))
-    numbered = rows.withColumns({"_n": F.count("*").over(w), "_i": F.row_number().over(w.orderBy(order)) - 1})
-    return numbered.filter((F.col("_i") % step == 0) & (F.floor(F.col("_i") / step) < most)).drop("_n", "_i")
+    return placed.filter((F.col("_i") % step == 0) & (F.floor(F.col("_i") / step) < most)).drop("_n", "_i", "_stratum")

@@ -108,8 +108,10 @@ def decide(rows: DataFrame, decisions: DataFrame, value: str, automatic: Column)
 
 def label_matches(candidates: DataFrame, autos: DataFrame, humans: DataFrame) -> DataFrame:
     """The best candidate of each auto_id with its match_type, and the rows of both sides without any."""
-    w = Window.partitionBy("auto_id")
-    ranked = candidates.withColumns({"n": F.count("*").over(w), "r": F.row_number().over(w.orderBy(F.desc("total_score"), "human_id"))}).filter("r = 1")
+    # Counted by score first, so that pairs are combined before anything moves.
+    by_score = candidates.groupBy("auto_id", "total_score").agg(F.count("*").alias("n"), F.min("human_id").alias("human_id"))
+    best = F.max_by(F.struct("human_id", "total_score"), "total_score")
+    ranked = by_score.groupBy("auto_id").agg(F.sum("n").alias("n"), best.alias("best")).select("auto_id", "n", "best.*")
     kind = F.when(F.col("n") == 1, "1:1").otherwise(F.format_string("1:many (best of %d)", "n"))
     matched = ranked.select(kind.alias("match_type"), "auto_id", "human_id", "total_score")
     zero = F.lit(0.0).alias("total_score")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidewater.functions import text as T
@@ -77,8 +76,8 @@ def a10_duplicates(spark, d):
 
 def a11_frequent_share(spark, d):
     per = table(spark, d, "events").groupBy("event_type", "user_id").agg(F.count("*").alias("n"))
-    share = F.round(100 * F.col("n") / F.sum("n").over(Window.partitionBy("event_type")), 4)
-    return per.withColumn("percent", share).filter("n >= 10")
+    totals = per.groupBy(F.col("event_type").alias("kind")).agg(F.sum("n").alias("total"))
+    return per.filter("n >= 10").join(totals, F.col("event_type").eqNullSafe(F.col("kind"))).select("event_type", "user_id", "n", F.round(100 * F.col("n") / F.col("total"), 4).alias("percent"))
 
 
 def a12_coverage(spark, d):

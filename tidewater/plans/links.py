@@ -13,46 +13,48 @@ from tidewater.sources.tables import ships, table
 
 from .star import STAR
 
-AUTO_SQL = """autos as (select event_id auto_id, cast(ts as date) auto_date, event_type auto_name, "value" auto_quantity, user_id % 10 block from events where event_id % 20 = 0),
-humans as (select event_id human_id, cast(ts as date) human_date, case when event_id % 3 = 0 then event_type || 's' else event_type end human_name, "value" human_quantity, user_id % 10 block from events where event_id % 20 = 1)"""
+AUTO_SQL = """autos as (select event_id auto_id, cast(ts as date) auto_date, event_type auto_name, "value" auto_quantity, user_id from events where event_id % 2 = 0),
+humans as (select event_id human_id, cast(ts as date) human_date, case when event_id % 3 = 0 then event_type || 's' else event_type end human_name, "value" human_quantity, user_id human_user from events where event_id % 2 = 1)"""
+SAME_USER_SQL = "a.user_id = b.human_user and "
 LIKE = """case when a.auto_name = b.human_name then 1.0 else 1 - levenshtein(lower(a.auto_name), lower(b.human_name)) / greatest(length(a.auto_name), length(b.human_name)) end"""
-PAIRS_SQL = f"""{AUTO_SQL}, pairs as (select *, {LIKE} total_score from autos a join humans b on abs(date_diff('day', auto_date, human_date)) <= 14), good as (select * from pairs where total_score >= 0.8)"""
+PAIRS_SQL = f"""{AUTO_SQL}, pairs as (select *, {LIKE} total_score from autos a join humans b on {SAME_USER_SQL}abs(date_diff('day', auto_date, human_date)) <= 14), good as (select * from pairs where total_score >= 0.8)"""
 
 
-#: Events are dealt to 20 parts, of which the queries link two, as their SQL does; the queries named ``_all`` deal to 2 and link all.
-PARTS, WHOLE = 20, 2
+#: The queries link events of one user; those named ``_all`` link events of all users, so their pairs grow with the square.
+USER = ("user_id",)
 
 
-def sides(spark, d, dealt=PARTS):
+def sides(spark, d):
+    """All events as two sources: those with even ids, and those with odd ids, a third of whose names differ."""
     e = table(spark, d, "events").withColumn("date", F.to_date("ts"))
-    autos = e.filter(F.col("event_id") % dealt == 0).select(F.col("event_id").alias("auto_id"), F.col("date").alias("auto_date"), F.col("event_type").alias("auto_name"), F.col("value").alias("auto_quantity"), (F.col("user_id") % 10).alias("block"))
+    autos = e.filter("event_id % 2 = 0").select("user_id", F.col("event_id").alias("auto_id"), F.col("date").alias("auto_date"), F.col("event_type").alias("auto_name"), F.col("value").alias("auto_quantity"))
     name = F.when(F.col("event_id") % 3 == 0, F.concat("event_type", F.lit("s"))).otherwise(F.col("event_type"))
-    humans = e.filter(F.col("event_id") % dealt == 1).select(F.col("event_id").alias("human_id"), F.col("date").alias("human_date"), name.alias("human_name"), F.col("value").alias("human_quantity"), (F.col("user_id") % 10).alias("block"))
+    humans = e.filter("event_id % 2 = 1").select("user_id", F.col("event_id").alias("human_id"), F.col("date").alias("human_date"), name.alias("human_name"), F.col("value").alias("human_quantity"))
     return autos, humans
 
 
-def candidates(spark, d, dealt=PARTS):
-    autos, humans = sides(spark, d, dealt)
-    pairs = L.band_join(autos.drop("block"), humans.drop("block"), "auto_date", "human_date", 14)
+def candidates(spark, d, on=USER):
+    autos, humans = sides(spark, d)
+    pairs = L.band_join(autos, humans if on else humans.drop("user_id"), "auto_date", "human_date", 14, on)
     return pairs.withColumn("total_score", L.similarity(F.col("auto_name"), F.col("human_name"))).filter("total_score >= 0.8")
 
 
-def j7_band_join(spark, d, dealt=PARTS):
-    return candidates(spark, d, dealt).select("auto_id", "human_id", F.round("total_score", 6).alias("total_score"))
+def j7_band_join(spark, d, on=USER):
+    return candidates(spark, d, on).select("auto_id", "human_id", F.round("total_score", 6).alias("total_score"))
 
 
-def labels(spark, d, dealt=PARTS):
-    autos, humans = sides(spark, d, dealt)
-    return L.label_matches(candidates(spark, d, dealt), autos.select("auto_id"), humans.select("human_id"))
+def labels(spark, d, on=USER):
+    autos, humans = sides(spark, d)
+    return L.label_matches(candidates(spark, d, on), autos.select("auto_id"), humans.select("human_id"))
 
 
-def j12_labels(spark, d, dealt=PARTS):
-    x = labels(spark, d, dealt)
+def j12_labels(spark, d, on=USER):
+    x = labels(spark, d, on)
     return x.select("match_type", F.coalesce("auto_id", F.lit(-1)).alias("auto_id"), F.coalesce("human_id", F.lit(-1)).alias("human_id"), F.round("total_score", 6).alias("total_score"))
 
 
-def a15_scores(spark, d, dealt=PARTS):
-    x = labels(spark, d, dealt).agg(F.count_if(F.col("match_type").startswith("1:")).alias("tp"), F.count_if(F.col("auto_id").isNotNull()).alias("found"), (F.count_if(F.col("match_type") == "unmatched_human") + F.countDistinct("human_id") - F.count_if(F.col("match_type") == "unmatched_human")).alias("wanted"))
+def a15_scores(spark, d, on=USER):
+    x = labels(spark, d, on).agg(F.count_if(F.col("match_type").startswith("1:")).alias("tp"), F.count("auto_id").alias("found"), F.countDistinct("human_id").alias("wanted"))
     return x.select("tp", "found", "wanted", *L.scores(F.col("tp"), F.col("found"), F.col("wanted")))
 
 
@@ -64,29 +66,30 @@ def a15_label_scores(spark, d):
     return x.select("tp", "found", "wanted", *L.scores(F.col("tp"), F.col("found"), F.col("wanted")))
 
 
-def a16_distribution(spark, d, dealt=PARTS):
+def a16_distribution(spark, d, on=USER):
     kind = F.regexp_replace("match_type", r" \(best of \d+\)", "")
-    x = labels(spark, d, dealt).groupBy(kind.alias("match_type")).agg(F.count("*").alias("n"))
+    x = labels(spark, d, on).groupBy(kind.alias("match_type")).agg(F.count("*").alias("n"))
     total = F.sum("n").over(Window.partitionBy())  # four rows
     return x.withColumn("percent", F.round(100 * F.col("n") / total, 4))
 
 
-def a17_accuracy(spark, d, dealt=PARTS):
-    c = candidates(spark, d, dealt).withColumn("apart", F.abs(F.col("auto_quantity") - F.col("human_quantity")) / F.greatest("auto_quantity", "human_quantity"))
+def a17_accuracy(spark, d, on=USER):
+    c = candidates(spark, d, on).withColumn("apart", F.abs(F.col("auto_quantity") - F.col("human_quantity")) / F.greatest("auto_quantity", "human_quantity"))
     return c.groupBy("auto_name").agg(F.count("*").alias("n"), F.count_if(F.col("apart") <= 0.05).alias("within_5"), F.count_if(F.col("apart") <= 0.10).alias("within_10"))
 
 
-def a18_examples(spark, d, dealt=PARTS):
-    c = candidates(spark, d, dealt).withColumn("k", F.when(F.col("total_score") == 1, "same").otherwise("near"))
+def a18_examples(spark, d, on=USER):
+    c = candidates(spark, d, on).withColumn("k", F.when(F.col("total_score") == 1, "same").otherwise("near"))
     r = F.row_number().over(Window.partitionBy("k").orderBy("auto_id", "human_id"))
     return c.withColumn("r", r).filter("r <= 3").select("k", "r", "auto_id", "human_id")
 
 
-def j8_nearest(spark, d, dealt=PARTS):
-    autos, _ = sides(spark, d, dealt)
+def j8_nearest(spark, d):
+    """Each event with the week of events or orders that begins nearest to it."""
+    own = table(spark, d, "events").select(F.col("event_id").alias("auto_id"), F.to_date("ts").alias("auto_date"))
     issues = table(spark, d, "orders").select(F.date_trunc("week", "o_orderdate").cast("date").alias("w")).distinct()
     issues = table(spark, d, "events").select(F.date_trunc("week", "ts").cast("date").alias("issue")).distinct().unionByName(issues.withColumnRenamed("w", "issue")).distinct()
-    return L.nearest(autos, issues, "auto_id", "auto_date", "issue", 14).select("auto_id", "issue", "days_apart")
+    return L.nearest(own, issues, "auto_id", "auto_date", "issue", 14).select("auto_id", "issue", "days_apart")
 
 
 def misspelled():
@@ -127,15 +130,18 @@ def j13_decisions(spark, d):
     return x.groupBy("raw", "decided").agg(F.count("*").alias("n"))
 
 
-def j11_greedy(spark, d, dealt=PARTS):
-    autos, humans = sides(spark, d, dealt)
-    pairs = autos.join(humans, "block").withColumn("total_score", L.similarity(F.col("auto_name"), F.col("human_name"))).filter("total_score >= 0.8")
+def j11_greedy(spark, d):
+    """One-to-one among the events of a user in a week, which are an issue's records."""
+    autos, humans = sides(spark, d)
+    week = lambda c: F.date_trunc("week", c).cast("date")
+    pairs = autos.withColumn("week", week("auto_date")).join(humans.withColumn("week", week("human_date")), ["user_id", "week"])
+    pairs = pairs.withColumn("block", F.concat_ws("/", "user_id", "week")).withColumn("total_score", L.similarity(F.col("auto_name"), F.col("human_name"))).filter("total_score >= 0.8")
     return L.greedy(pairs).select("block", "auto_id", "human_id", F.round("total_score", 6).alias("total_score"))
 
 
 QUERIES = {f.__name__: f for f in (j7_band_join, j8_nearest, j9_best_match, j11_greedy, j12_labels, j13_decisions, p16_a14_triage, a15_scores, a15_label_scores, a16_distribution, a17_accuracy, a18_examples)}
-LINKED = (j7_band_join, j8_nearest, j11_greedy, j12_labels, a15_scores, a16_distribution, a17_accuracy, a18_examples)
-QUERIES |= {f"{f.__name__}_all": partial(f, dealt=WHOLE) for f in LINKED}
+LINKED = (j7_band_join, j12_labels, a15_scores, a16_distribution, a17_accuracy, a18_examples)
+QUERIES |= {f"{f.__name__}_all": partial(f, on=()) for f in LINKED}
 LABELS_SQL = f"""{PAIRS_SQL}, ranked as (select *, count(*) over (partition by auto_id) n, row_number() over (partition by auto_id order by total_score desc, human_id) r from good),
 matched as (select case when n = 1 then '1:1' else '1:many (best of ' || n || ')' end match_type, auto_id, human_id, total_score from ranked where r = 1),
 labels_ as (select * from matched union all select 'unmatched_auto', auto_id, null, 0.0 from autos where auto_id not in (select auto_id from matched)
@@ -145,7 +151,7 @@ BEST_SQL = f"""raws as (select record_id, {MISSPELLED_SQL} raw from ships), best
   row_number() over (partition by raw order by levenshtein(lower(raw), lower(n_name)) / greatest(length(raw), length(n_name)), n_name) r from (select distinct raw from raws), nation) where r = 1 and score > 0.70)"""
 SQL = {
     "j7_band_join": f"with {PAIRS_SQL} select auto_id, human_id, round(total_score, 6) total_score from good",
-    "j8_nearest": f"""with {AUTO_SQL}, issues as (select distinct cast(date_trunc('week', ts) as date) issue from events union select distinct cast(date_trunc('week', o_orderdate) as date) from orders)
+    "j8_nearest": """with autos as (select event_id auto_id, cast(ts as date) auto_date from events), issues as (select distinct cast(date_trunc('week', ts) as date) issue from events union select distinct cast(date_trunc('week', o_orderdate) as date) from orders)
 select auto_id, issue, days_apart from (select auto_id, issue, cast(abs(date_diff('day', auto_date, issue)) as int) days_apart, row_number() over (partition by auto_id order by abs(date_diff('day', auto_date, issue)), issue) r
   from autos, issues) where r = 1 and days_apart <= 14""",
     "j9_best_match": f"{STAR}, {BEST_SQL} select raw, n_name, round(score, 6) score from best",
@@ -165,4 +171,4 @@ c as (select count(*) filter (f and w) tp, count(*) filter (f) found, count(*) f
     "a18_examples": f"""with {PAIRS_SQL}, k as (select case when total_score = 1 then 'same' else 'near' end k, auto_id, human_id from good)
 select k, r, auto_id, human_id from (select *, cast(row_number() over (partition by k order by auto_id, human_id) as int) r from k) where r <= 3""",
 }
-SQL |= {f"{f.__name__}_all": SQL[f.__name__].replace(f"event_id % {PARTS}", f"event_id % {WHOLE}") for f in LINKED if f.__name__ in SQL}
+SQL |= {f"{f.__name__}_all": SQL[f.__name__].replace(SAME_USER_SQL, "") for f in LINKED}

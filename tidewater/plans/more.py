@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import dates as N
 from tidewater.operators import blocks as B
+from tidewater.operators import context as C
 from tidewater.operators import linkage as L
 from tidewater.sources.tables import cargo, ships, table
 
@@ -121,12 +122,7 @@ def text_order(s):
 
 
 def o2_text_order(spark, d):
-    """Places among a tenth of the shipments, as its SQL has them."""
-    return text_order(ships(spark, d).filter("record_id % 10 = 0"))
-
-
-def o2_text_order_all(spark, d):
-    """Places among all shipments."""
+    """Places among all shipments of a year."""
     return text_order(ships(spark, d))
 
 
@@ -138,7 +134,7 @@ def o5_natural_order(spark, d):
 
 
 def k9_batches(spark, d):
-    numbered = table(spark, d, "documents").select((F.row_number().over(Window.partitionBy("lang").orderBy("doc_id")) - 1).alias("n"), "lang")
+    numbered = C.place_within(table(spark, d, "documents").select("lang", "doc_id"), ["lang"], "doc_id", "n")
     return numbered.groupBy("lang", F.floor(F.col("n") / 50).alias("batch")).agg(F.count("*").alias("lines"))
 
 
@@ -153,7 +149,7 @@ def n13_grades(spark, d):
     return e.groupBy(N.grade(F.col("p")).alias("grade")).agg(F.count("*").alias("users"))
 
 
-QUERIES = {f.__name__: f for f in (f4_triage, n14_word_errors, p14_fuzzy_commodities, p15_fuzzy_ports, t5_parsed_lines, f5_skip_headers, f9_import_records, p21_fix_table, p29_aliases, p35_recompose, t4_entries, t8_blocks, w7_running_ids, w9_import_blocks, w11_ranks, o2_text_order, o2_text_order_all, o5_natural_order, k9_batches, n5_arrival_dates, n13_grades)}
+QUERIES = {f.__name__: f for f in (f4_triage, n14_word_errors, p14_fuzzy_commodities, p15_fuzzy_ports, t5_parsed_lines, f5_skip_headers, f9_import_records, p21_fix_table, p29_aliases, p35_recompose, t4_entries, t8_blocks, w7_running_ids, w9_import_blocks, w11_ranks, o2_text_order, o5_natural_order, k9_batches, n5_arrival_dates, n13_grades)}
 SQL = {
     "f5_skip_headers": f"""with x(k, skipped, heads) as (values {", ".join(f"({i}, {a}, {b})" for i, (a, b) in enumerate(zip(SKIPPED, HEADS)))})
 select o_orderkey id, skipped, heads from orders join x on o_orderkey % {len(HEADINGS)} = k""",
@@ -171,11 +167,10 @@ select o_orderkey id, skipped, heads from orders join x on o_orderkey % {len(HEA
     "t8_blocks": """select conv_id, turn, cast(generate_subscripts(a, 1) - 1 as int) pos, cast(length(unnest(a)) as int) n_chars from (select conv_id, turn, string_split(text, chr(10) || chr(10)) a from conversations)""",
     "w7_running_ids": f"with {SHIPS} select record_id, row_number() over (order by ship_date, record_id) running_id from ships",
     "w11_ranks": f"""with {SHIPS} select destination_port, origin_port, count(*) ship_count, cast(rank() over (partition by destination_port order by count(*) desc) as int) place from ships group by 1, 2""",
-    "o2_text_order": f"""with {SHIPS}, t as (select record_id, cast("year" as varchar) y, strftime(ship_date, '%B') m, case when record_id % 3 <> 0 then cast(day(ship_date) as varchar) end dd from ships where record_id % 10 = 0)
+    "o2_text_order": f"""with {SHIPS}, t as (select record_id, cast("year" as varchar) y, strftime(ship_date, '%B') m, case when record_id % 3 <> 0 then cast(day(ship_date) as varchar) end dd from ships)
 select record_id, cast(row_number() over (partition by y order by y, m, coalesce(dd, '99'), record_id) as int) place from t""",
     "o5_natural_order": r"""select p_brand, cast(row_number() over (order by regexp_extract(p_brand, '^(\D*)', 1), cast(regexp_extract(p_brand, '(\d+)$', 1) as int)) as int) place from (select distinct p_brand from part)""",
     "k9_batches": """select lang, n // 50 batch, count(*) lines from (select lang, row_number() over (partition by lang order by doc_id) - 1 n from documents) group by 1, 2""",
     "n5_arrival_dates": f"with {SHIPS} select record_id, strftime(ship_date, '%Y-%m-%d') arrival from ships",
     "n13_grades": """select case when p >= 35 then 'GOOD' when p >= 25 then 'MODERATE' else 'POOR' end grade, count(*) users from (select user_id, 100 * count(*) filter ("value" > 50) / count(*) p from events group by 1) group by 1""",
 }
-SQL["o2_text_order_all"] = SQL["o2_text_order"].replace(" where record_id % 10 = 0", "")
