@@ -55,6 +55,13 @@ def test_greedy_takes_the_best_free_human_of_all_events(spark):
     assert len(got) == len(want) > 100 and {(r["block"], r["auto_id"], r["human_id"], r["total_score"]) for r in got} == want
 
 
+def test_greedy_ties_null_blocks_and_empty(spark):
+    rows = [("x", 1, 8, 0.9), ("x", 1, 7, 0.9), ("x", 2, 7, 1.0), ("x", 2, 8, 0.8), (None, 1, 7, 0.8), (None, 3, 7, 0.9), ("y", 1, 7, 0.8)]
+    pairs = spark.createDataFrame(rows, "block string, auto_id bigint, human_id bigint, total_score double").repartition(4)
+    assert {tuple(r) for r in L.greedy(pairs).collect()} == {("x", 1, 7, 0.9), ("x", 2, 8, 0.8), (None, 1, 7, 0.8), ("y", 1, 7, 0.8)}
+    assert L.greedy(pairs.limit(0)).count() == 0
+
+
 def test_band_join_within_equal_keys(spark):
     dates = "k string, i int, d date"
     day = lambda n: __import__("datetime").date(2024, 1, 1) + timedelta(days=n)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from difflib import SequenceMatcher
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as K
@@ -121,21 +123,29 @@ def label_matches(candidates: DataFrame, autos: DataFrame, humans: DataFrame) ->
 
 
 def greedy(candidates: DataFrame, block: str = "block") -> DataFrame:
-    """(block, auto_id, human_id, total_score): in order of auto_id each takes its best human still free, within a block."""
-
-    def assign(rows: pd.DataFrame) -> pd.DataFrame:
-        taken, out = set(), []
-        ordered = rows.sort_values(["auto_id", "total_score", "human_id"], ascending=[True, False, True])
-        done = set()
-        for r in ordered.itertuples(index=False):
-            if r.auto_id not in done and r.human_id not in taken:
-                done.add(r.auto_id)
-                taken.add(r.human_id)
-                out.append((getattr(r, block), r.auto_id, r.human_id, r.total_score))
-        return pd.DataFrame(out, columns=[block, "auto_id", "human_id", "total_score"])
-
-    kind = candidates.schema[block].dataType.simpleString()
-    return candidates.select(block, "auto_id", "human_id", "total_score").groupBy(block).applyInPandas(assign, f"{block} {kind}, auto_id bigint, human_id bigint, total_score double")
+    """(block, auto_id, human_id, total_score): in order of auto_id each takes its best human still free, within a block.
+
+    Of equals the smallest human_id is taken; null blocks are one. A block's rows pass in order, so that of a block only
+    the ids of taken humans are held.
+    """
+    columns = [block, "auto_id", "human_id", "total_score"]
+    kinds = ", ".join(f"`{c}` {candidates.schema[c].dataType.simpleString()}" for c in columns)
+
+    def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, taken, done = object(), set(), None
+        for rows in batches:
+            kept = []
+            for i, (own, auto, human) in enumerate(zip(*(rows.column(k).to_pylist() for k in range(3)))):
+                if own != now:
+                    now, taken, done = own, set(), object()
+                if auto != done and human not in taken:
+                    done = auto
+                    taken.add(human)
+                    kept.append(i)
+            yield rows.take(pa.array(kept, pa.int64()))
+
+    ordered = candidates.select(*columns).repartition(block).sortWithinPartitions(block, "auto_id", F.desc("total_score"), "human_id")
+    return ordered.mapInArrow(assign, kinds)
 
 
 def scores(true_positive: Column, found: Column, wanted: Column) -> list[Column]:
