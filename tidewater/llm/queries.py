@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, digest, html, langid, lm, packing, pii, rules, simhash, suffix
+from . import bpe, digest, html, interactions, langid, lm, packing, pii, rules, simhash, suffix
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -61,8 +61,12 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.query(table(spark, sf_dir, "documents"))
 
 
+def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interactions.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_lm_scores": op1_lm_scores, "op2_packing": op2_packing, "op3_repeats": op3_repeats, "op4_quality_rules": op4_quality_rules, "op5_fingerprints": op5_fingerprints, "op6_pii": op6_pii, "op7_bpe": op7_bpe, "op8_html": op8_html, "op9_language": op9_language, "op10_simhash": op10_simhash}
+    return {"op1_lm_scores": op1_lm_scores, "op2_packing": op2_packing, "op3_repeats": op3_repeats, "op4_quality_rules": op4_quality_rules, "op5_fingerprints": op5_fingerprints, "op6_pii": op6_pii, "op7_bpe": op7_bpe, "op8_html": op8_html, "op9_language": op9_language, "op10_simhash": op10_simhash, "op13_filter_audit": op13_filter_audit}
 
 
 OP1_SQL = r"""
@@ -100,7 +104,33 @@ from size s left join scored z on z.doc_id = s.doc_id
 group by s.doc_id, s.n_words
 """
 
+OP13_SQL = r"""
+with recursive words as (
+  select doc_id, coalesce(source, '') part, coalesce(text, '') t, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') ws from documents),
+smallest as (select t, min(doc_id) first_id from words group by t),
+good_ids as (select distinct doc_id from labels where quality = 1),
+toxic_ids as (select distinct doc_id from labels where toxic = 1),
+failed as (
+  select doc_id, part, len(ws) < 50 a, 100 * len(list_distinct(ws)) < 65 * len(ws) b, 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) c,
+    regexp_matches(t, '[#$%&*|]') d, coalesce(doc_id > first_id, false) e, doc_id in (select doc_id from good_ids) good, doc_id in (select doc_id from toxic_ids) toxic
+  from words join smallest using (t)),
+flags as (select part, [a, b, c, d, e] f, count(*) n, count(*) filter (good) n_good, count(*) filter (toxic) n_toxic from failed group by 1, 2),
+orders(o, used) as (select '', 0 union all select o || l, used + 1 from orders, unnest(string_split('ABCDE', '')) x(l) where not contains(o, l) and used < 5),
+steps as (select o filter_order, cast(s as int) step, [ord(x) - 64 for x in string_split(o[1:s - 1], '') if x <> ''] earlier, ord(o[s]) - 64 now from orders, range(1, 6) r(s) where used = 5),
+hits as (
+  select part, filter_order, step, now, n, n_good, n_toxic, f[now] fails, len([i for i in earlier if f[i]]) > 0 gone, len([x for x in f if x]) failures
+  from flags, steps),
+counted as (
+  select part, filter_order, step, now, coalesce(sum(n) filter (not gone and not fails), 0) kept, coalesce(sum(n) filter (not gone and fails), 0) removed,
+    coalesce(sum(n) filter (gone and fails), 0) redundant, coalesce(sum(n) filter (fails and failures = 1), 0) unique_fails,
+    coalesce(sum(n_good) filter (not gone and fails), 0) good_lost, coalesce(sum(n_toxic) filter (not gone and fails), 0) toxic_lost
+  from hits group by 1, 2, 3, 4)
+select part, filter_order, step, cast(kept as bigint) kept, cast(removed as bigint) removed, cast(redundant as bigint) redundant, cast(unique_fails as bigint) unique_fails,
+  cast(good_lost as bigint) good_lost, cast(toxic_lost as bigint) toxic_lost, cast(sum(removed) over (partition by part, now) as bigint) shapley
+from counted
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     """The others learn, hash with XXH64, tokenize or index, which DuckDB's SQL can't express: tests have plain versions."""
-    return {"op1_lm_scores": OP1_SQL}
+    return {"op1_lm_scores": OP1_SQL, "op13_filter_audit": OP13_SQL}
