@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, digest, html, interactions, langid, lm, packing, pii, rules, simhash, suffix
+from . import bpe, digest, html, interactions, langid, lm, packing, pii, rules, search, simhash, suffix
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -61,12 +61,16 @@ def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.query(table(spark, sf_dir, "documents"))
 
 
+def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interactions.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_lm_scores": op1_lm_scores, "op2_packing": op2_packing, "op3_repeats": op3_repeats, "op4_quality_rules": op4_quality_rules, "op5_fingerprints": op5_fingerprints, "op6_pii": op6_pii, "op7_bpe": op7_bpe, "op8_html": op8_html, "op9_language": op9_language, "op10_simhash": op10_simhash, "op13_filter_audit": op13_filter_audit}
+    return {"op1_lm_scores": op1_lm_scores, "op2_packing": op2_packing, "op3_repeats": op3_repeats, "op4_quality_rules": op4_quality_rules, "op5_fingerprints": op5_fingerprints, "op6_pii": op6_pii, "op7_bpe": op7_bpe, "op8_html": op8_html, "op9_language": op9_language, "op10_simhash": op10_simhash, "op11_search": op11_search, "op13_filter_audit": op13_filter_audit}
 
 
 OP1_SQL = r"""
@@ -104,6 +108,21 @@ from size s left join scored z on z.doc_id = s.doc_id
 group by s.doc_id, s.n_words
 """
 
+OP11_SQL = r"""
+with terms_of as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') ts from documents),
+asked as (
+  select distinct item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) term from benchmark),
+totals as (select count(*) filter (len(ts) > 0) n_docs, sum(len(ts)) n_terms from terms_of),
+lengths as (select doc_id, 100 - 50 + ((50 * len(ts) * n_docs) // n_terms) m from terms_of, totals where len(ts) > 0),
+occurs as (select doc_id, term, count(*) tf from (select doc_id, unnest(ts) term from terms_of) where term in (select term from asked) group by all),
+weights as (select term, cast(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) as bigint) w from occurs, totals group by term, n_docs),
+scores as (
+  select item_id, doc_id, cast(sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m))) as bigint) score
+  from asked join occurs using (term) join weights using (term) join lengths using (doc_id) group by all),
+ranked as (select item_id, cast(row_number() over (partition by item_id order by score desc, doc_id) as int) as rank, doc_id, score from scores where score > 0)
+select * from ranked where rank <= 50
+"""
 OP13_SQL = r"""
 with recursive words as (
   select doc_id, coalesce(source, '') part, coalesce(text, '') t, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') ws from documents),
@@ -133,4 +152,4 @@ from counted
 
 def oracle_sql() -> dict[str, str]:
     """The others learn, hash with XXH64, tokenize or index, which DuckDB's SQL can't express: tests have plain versions."""
-    return {"op1_lm_scores": OP1_SQL, "op13_filter_audit": OP13_SQL}
+    return {"op1_lm_scores": OP1_SQL, "op11_search": OP11_SQL, "op13_filter_audit": OP13_SQL}
