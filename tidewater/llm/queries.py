@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, digest, html, interactions, langid, lm, packing, pii, rules, search, simhash, suffix
+from . import bpe, digest, html, interactions, langid, lm, packing, pii, rules, search, secretscan, simhash, suffix
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -65,12 +65,16 @@ def op11_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op12_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secretscan.query(table(spark, sf_dir, "documents"))
+
+
 def op13_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return interactions.query(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_lm_scores": op1_lm_scores, "op2_packing": op2_packing, "op3_repeats": op3_repeats, "op4_quality_rules": op4_quality_rules, "op5_fingerprints": op5_fingerprints, "op6_pii": op6_pii, "op7_bpe": op7_bpe, "op8_html": op8_html, "op9_language": op9_language, "op10_simhash": op10_simhash, "op11_search": op11_search, "op13_filter_audit": op13_filter_audit}
+    return {"op1_lm_scores": op1_lm_scores, "op2_packing": op2_packing, "op3_repeats": op3_repeats, "op4_quality_rules": op4_quality_rules, "op5_fingerprints": op5_fingerprints, "op6_pii": op6_pii, "op7_bpe": op7_bpe, "op8_html": op8_html, "op9_language": op9_language, "op10_simhash": op10_simhash, "op11_search": op11_search, "op12_secrets": op12_secrets, "op13_filter_audit": op13_filter_audit}
 
 
 OP1_SQL = r"""
