@@ -47,6 +47,14 @@ def _bigrams(c: Column) -> Column:
     return F.array_distinct(F.transform(F.sequence(F.lit(1), F.length(padded) - 1), lambda i: F.substring(padded, i, F.lit(2))))
 
 
+def close_pairs(values: DataFrame, names: DataFrame, value: str, name: str, least: float = 0.80) -> DataFrame:
+    """(value, name, score): all pairs of different values whose edit distance's ``similarity`` is at least ``least``, of 0.5 and more; they share a pair of letters."""
+    a = values.select(value).distinct().withColumn("_g", F.explode(_bigrams(F.col(value))))
+    b = names.select(name).distinct().withColumn("_g", F.explode(_bigrams(F.col(name))))
+    pairs = a.join(b, "_g").select(value, name).distinct()
+    return pairs.withColumn("score", similarity(F.col(value), F.col(name))).filter(F.col("score") >= least)
+
+
 def best_match(values: DataFrame, canonical: DataFrame, value: str, name: str, least: float = 0.70, ratio: bool = False) -> DataFrame:
     """(value, name, score): for each distinct value the most similar name above ``least``, the first in order of equals.
 

@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import lines, links, more, named, star, texts
+from . import lines, links, more, named, records, star, texts
 
-MODULES = (star, texts, lines, links, more, named)
+MODULES = (star, texts, lines, links, more, named, records)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

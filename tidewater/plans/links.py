@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tidewater.functions import text as T
 from tidewater.operators import linkage as L
+from tidewater.operators import records as R
 from tidewater.sources.tables import ships, table
 
 from .star import STAR
@@ -43,7 +44,18 @@ def j7_band_join(spark, d, on=USER):
     return candidates(spark, d, on).select("auto_id", "human_id", F.round("total_score", 6).alias("total_score"))
 
 
+def keyed(spark, d):
+    """The two sides with their names as keys, and which keys are similar enough."""
+    autos, humans = (x.withColumnsRenamed({f"{s}_date": "date", f"{s}_name": "key"}) for s, x in zip(("auto", "human"), sides(spark, d)))
+    keys = L.close_pairs(autos.select(F.col("key").alias("a_key")), humans.select(F.col("key").alias("b_key")), "a_key", "b_key")
+    return autos, humans, keys.withColumnRenamed("score", "total_score")
+
+
 def labels(spark, d, on=USER):
+    """Labels of one user's events from their pairs, of all users' events from counted cells."""
+    if not on:
+        autos, humans, keys = keyed(spark, d)
+        return R.labels_by_cells(autos.select("auto_id", "date", "key"), humans.select("human_id", "date", "key"), keys)
     autos, humans = sides(spark, d)
     return L.label_matches(candidates(spark, d, on), autos.select("auto_id"), humans.select("human_id"))
 
@@ -79,6 +91,9 @@ def a17_accuracy(spark, d, on=USER):
 
 
 def a18_examples(spark, d, on=USER):
+    if not on:
+        autos, humans, keys = keyed(spark, d)
+        return R.examples_by_cells(autos.select("auto_id", "date", "key"), humans.select("human_id", "date", "key"), keys)
     c = candidates(spark, d, on).withColumn("k", F.when(F.col("total_score") == 1, "same").otherwise("near"))
     r = F.row_number().over(Window.partitionBy("k").orderBy("auto_id", "human_id"))
     return c.withColumn("r", r).filter("r <= 3").select("k", "r", "auto_id", "human_id")
