@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewater.functions import text as T
+from tidewater.operators import context as C
 
 # Headings that stand where a port's would, tested by equality if they are short, else as parts.
 SKIP_HEADERS = [
@@ -35,7 +36,10 @@ SKIP_HEADERS = [
 HEADER_STARTS = ["imports of timber", "london.", *(f"{m.lower()} " for m in T.MONTHS.values())]
 # Patterns of record lines and of what ends a block.
 _RECORD = [r"^(?:\w+\.\s+)?\d{1,2}\s+\w+.*-.*-", r"^\w+[\s(].*-.*-.*-", r"^\d{1,5}\s+(?:pcs\.|lds\.|deals|timber|boards)"]
-_ENDS = r"(?i)^THE\s+\w+\s+TRADE|^\(From\s+our\s+own\s+Correspondent|^MARKET\s+REPORTS|^PRICES\s+CURRENT"
+_OPENS = r"(?i)^Imports? of Timber|^IMPORTS\.?$|^Timber Imports"
+# Any ten letters and spaces with a period end a list, whatever their case.
+_ENDS = r"(?i)^THE\s+\w+\s+TRADE|^\(From\s+our\s+own\s+Correspondent|^[A-Z\s]{10,}\.$|^MARKET\s+REPORTS|^PRICES\s+CURRENT"
+_PORT = r"^[A-Z\s&.'()]+\.$"
 
 
 def skipped(header: Column, skip: list[str] = SKIP_HEADERS) -> Column:
@@ -61,46 +65,76 @@ def is_import_record(line: Column) -> Column:
     return (F.length(s) >= 10) & found
 
 
-def import_blocks(lines: DataFrame, doc: str, order: str, line: str = "line", tolerated: int = 3, least: int = 6) -> DataFrame:
-    """(doc, first, last, n): blocks that begin with a port's header and end at a heading or after too many other lines.
-
-    ``tolerated`` other lines in a row may stand in a block; blocks of fewer than ``least`` lines are left out. What a line is is
-    decided by column functions; only the counting runs in Python, document by document.
-    """
-    c = F.col(line)
-    kinds = F.when(T.is_port_header(c), "header").when(c.rlike(_ENDS), "end").when(is_import_record(c), "record").when(T.strip(c) == "", "blank").otherwise("other")
+def line_kinds(line: Column) -> Column:
+    """What a line is to a list of imports: header (opens one), end, record (port headings too), blank or other."""
+    s = T.strip(line)
+    port = s.rlike(_PORT) & (F.length(F.regexp_replace(s, r"[.\s]+$", "")) > 3)
+    return F.when(s.rlike(_OPENS), "header").when(s.rlike(_ENDS), "end").when(is_import_record(s) | port, "record").when(s == "", "blank").otherwise("other")
 
-    def walk(rows: pd.DataFrame) -> pd.DataFrame:
-        out, block, others = [], [], 0
-        for n, kind in zip(*(rows.sort_values("n")[x] for x in ("n", "kind"))):
-            ended = kind == "header" or kind == "end" or (kind == "other" and others == tolerated)
-            if block and ended:
-                if len(block) >= least:
-                    out.append((rows["doc"].iloc[0], block[0], block[-1], len(block)))
-                block, others = [], 0
-            if kind == "header" or (block and not ended):
-                block.append(n)
-                others = others + 1 if kind == "other" else 0
-        if len(block) >= least:
-            out.append((rows["doc"].iloc[0], block[0], block[-1], len(block)))
-        return pd.DataFrame(out, columns=["doc", "first", "last", "n"])
 
-    flat = lines.select(F.col(doc).cast("long").alias("doc"), F.col(order).cast("long").alias("n"), kinds.alias("kind"))
-    return flat.groupBy("doc").applyInPandas(walk, "doc long, first long, last long, n long")
+def import_blocks(lines: DataFrame, doc: str, order: str, line: str = "line", tolerated: int = 3, least: int = 6) -> DataFrame:
+    """(doc, first, last, n): lists of imports; ``order`` is an integer without ties within a document, null lines are blank.
 
+    A list begins with its heading and ends before the next one, at a line that ends it, with the ``tolerated`` + 1st other line in a row, or with the
+    document. ``n`` lines are in it, ``tolerated`` other ones at its end included; there ``last`` is that many lines before the
+    one that ended it. Lists of fewer than ``least`` lines are left out, but for those that the next heading ends.
 
-_ENTRY = re.compile(r"(?:^|[.]\s+)([A-Z][^@.\n—]{0,80}?)\s*(\(s\))?\s*@\s*([^.\n—]+)\.\s*—\s*([^@]*?)(?=[.]\s+[A-Z][^@.\n—]{0,80}@|$)", re.S)
+    From one heading to the next, a list ends at the first line that can end it, so that lists are minima over sections; lines in a row are told by
+    the last line that isn't an other one. Both are carried over ranges of lines: a document may have any number of them.
+    """
+    flat = lines.select(F.col(doc).cast("long").alias("doc"), F.col(order).cast("long").alias("n"), line_kinds(F.coalesce(F.col(line), F.lit(""))).alias("kind"))
+    placed = C.place_within(flat, ["doc"], "n", "i")
+    i, kind = F.col("i"), F.col("kind")
+    filled = C.fill_by_ranges(placed, ["doc"], "i", {"begin": F.when(kind == "header", i), "solid": F.when(kind != "other", i)}).filter("begin is not null")
+    sections = filled.groupBy("doc", "begin").agg(
+        F.min("n").alias("first"), F.max("i").alias("end"), F.min(F.when(kind == "end", i)).alias("closed"), F.min(F.when((kind == "other") & (i - F.col("solid") > tolerated), i)).alias("drowned")
+    )
+    ends = placed.groupBy(F.col("doc").alias("own")).agg(F.max("i").alias("last_i"))
+    at = F.least("closed", "drowned")  # the other one if one is null
+    sections = sections.join(ends, F.col("doc").eqNullSafe(F.col("own"))).withColumn("at", at).withColumn("n", F.coalesce("at", F.col("end") + 1) - F.col("begin"))
+    kept = sections.filter((F.col("at").isNull() & (F.col("end") < F.col("last_i"))) | (F.col("n") >= least))
+    drowned = F.col("at").eqNullSafe(F.col("drowned")) & F.col("at").isNotNull()
+    last_i = F.when(drowned, F.col("at") - tolerated).otherwise(F.col("begin") + F.col("n") - 1)
+    kept = kept.select("own", "first", last_i.alias("last_place"), F.col("n").alias("size"))
+    found = kept.join(placed.select("doc", "i", F.col("n").alias("last")), F.col("own").eqNullSafe(F.col("doc")) & (F.col("i") == F.col("last_place")))
+    return found.select("doc", "first", "last", F.col("size").alias("n"))
+
+
+# A date that heads entries, and an entry: after a period or at the start, up to the next entry or date.
+_DATE = "(?:" + "|".join(T.MONTHS.values()) + r")\s+\d{1,2}(?:st|nd|rd|th)\."
+_SHIP = r"[A-Z][^@.\n—]{0,80}?\s*(?:\(s\))?\s*@"
+_LABEL = re.compile(rf"\b{_DATE}")
+_ENTRY = re.compile(rf"(?:^|[.]\s+)([A-Z][^@.\n—]{{0,80}}?)\s*(\(s\))?\s*@\s*([^.\n—]+)\.\s*—\s*(.*?)(?=[.]\s+(?:{_SHIP}|{_DATE})|$)", re.S)
+
+
+def nearest_before(places: list[int], labelled: list[int]) -> list[int | None]:
+    """For each of the sorted ``places`` the index of the last of the sorted ``labelled`` places that isn't behind it; one pass over both."""
+    out, k = [], -1
+    for p in places:
+        while k + 1 < len(labelled) and labelled[k + 1] <= p:
+            k += 1
+        out.append(k if k >= 0 else None)
+    return out
 
 
 def entries(texts: DataFrame, key: str, text: str) -> DataFrame:
-    """(key, place, ship_name, is_steamship, origin_port, body) of ``Ship (s) @ Port. — body`` entries in running text."""
+    """(key, place, date_label, ship_name, is_steamship, origin_port, body) of ``Ship (s) @ Port. — body`` entries in running text.
+
+    ``date_label`` is the nearest ``Month 3rd`` at or before an entry's beginning, without its period; null if there is none. Null texts have no entries.
+    """
 
     def find(batches):
         for b in batches:
-            rows = [(k, m.start(1), m.group(1).strip(), bool(m.group(2)), m.group(3).strip(), m.group(4).strip()) for k, t in zip(b[key], b[text]) for m in _ENTRY.finditer(t or "")]
-            yield pd.DataFrame(rows, columns=[key, "place", "ship_name", "is_steamship", "origin_port", "body"])
-
-    return texts.select(key, text).mapInPandas(find, f"{key} {texts.schema[key].dataType.simpleString()}, place int, ship_name string, is_steamship boolean, origin_port string, body string")
+            rows = []
+            for k, t in zip(b[key], b[text]):
+                found, dates = list(_ENTRY.finditer(t or "")), list(_LABEL.finditer(t or ""))
+                labels = [" ".join(m.group().rstrip(".").split()) for m in dates]
+                for m, at in zip(found, nearest_before([m.start() for m in found], [m.start() for m in dates])):
+                    rows.append((k, m.start(1), None if at is None else labels[at], m.group(1).strip(), bool(m.group(2)), m.group(3).strip(), m.group(4).strip()))
+            yield pd.DataFrame(rows, columns=[key, "place", "date_label", "ship_name", "is_steamship", "origin_port", "body"])
+
+    kind = texts.schema[key].dataType.simpleString()
+    return texts.select(key, text).mapInPandas(find, f"{key} {kind}, place int, date_label string, ship_name string, is_steamship boolean, origin_port string, body string")
 
 
 def parse_lines(lines: DataFrame, line: str, ports: list[str], vocabulary: list[str]) -> DataFrame:

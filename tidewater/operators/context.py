@@ -23,22 +23,26 @@ def look_back(value: Column, keys: list[str], order: list[str], rows: int = 4) -
     return F.last(value, ignorenulls=True).over(Window.partitionBy(*keys).orderBy(*order).rowsBetween(-rows, -1))
 
 
+def context_updates(c: Column) -> dict[str, Column]:
+    """What a line changes of the context: a header's name and whether it names a city or a dock, and the month and day of a date header or record."""
+    name = F.when(T.is_port_header(c), F.initcap(F.regexp_replace(c, r"\.\s*$", "")))
+    upper = F.upper(name)
+    record = T.parse_record(c)
+    month = F.coalesce(T.part(c, T.DATE_HEADER, 1), record["month"])
+    day = F.coalesce(T.part(c, T.DATE_HEADER, 2).cast("int"), record["day"])
+    return {"_name": name, "_is_city": F.coalesce(upper.isin(CITIES), F.lit(False)), "_dock": F.coalesce(T.has_any(upper, ["DOCK", "WHARF"]), F.lit(False)), "month": month, "day": day}
+
+
 def carry_context(lines: DataFrame, keys: list[str], order: list[str], line: str = "line") -> DataFrame:
     """Adds to each line the place and date it stands under: port, month, day; they last until the next header, within ``keys``.
 
     A city's header is the port until a dock follows, which is then ``City (Dock)``; any other header is a port of
     its own and ends the city. A record's own date holds for the records after it as a date header's does.
     """
-    c = F.col(line)
-    name = F.when(T.is_port_header(c), F.initcap(F.regexp_replace(c, r"\.\s*$", "")))
-    upper = F.upper(name)
-    is_city, is_dock = upper.isin(CITIES), T.has_any(upper, ["DOCK", "WHARF"])
+    out = lines.withColumns(context_updates(F.col(line)))
     # A struct isn't null even if its field is: it resets the city.
-    city_update = F.when(is_city, F.struct(name.alias("name"))).when(name.isNotNull() & ~is_dock, F.struct(F.lit(None).cast("string").alias("name")))
-    record = T.parse_record(c)
-    month = F.coalesce(T.part(c, T.DATE_HEADER, 1), record["month"])
-    day = F.coalesce(T.part(c, T.DATE_HEADER, 2).cast("int"), record["day"])
-    out = lines.withColumns({"_city": city_update, "_name": name, "_dock": is_dock, "month": month, "day": day})
+    city = F.when(F.col("_is_city"), F.struct(F.col("_name").alias("name"))).when(F.col("_name").isNotNull() & ~F.col("_dock"), F.struct(F.lit(None).cast("string").alias("name")))
+    out = out.withColumn("_city", city).drop("_is_city")
     out = out.withColumn("_city", forward_fill(F.col("_city"), keys, order)["name"])
     port = F.when(F.col("_dock") & F.col("_city").isNotNull(), F.format_string("%s (%s)", "_city", "_name")).otherwise(F.col("_name"))
     out = out.withColumn("port", port)
@@ -106,6 +110,25 @@ def place_within(rows: DataFrame, keys: list[str], order: str, name: str, each:
     return ranged.withColumn("_local", local).join(starts, same).withColumn(name, F.col("_before") + F.col("_local")).drop("_range", "_local", "_before", *own.values())
 
 
+def fill_by_ranges(rows: DataFrame, keys: list[str], order: str, values: dict[str, Column], each: int = 1 << 16) -> DataFrame:
+    """Adds for each name the last of its values so far that isn't null, within ``keys``; ``order`` is an integer without ties or nulls.
+
+    Like ``forward_fill``, but ranges of ``each`` values of the order are filled apart, and a row for each range carries what the ranges
+    before it end with: no task sorts all rows of a large key. ``rows`` is read twice.
+    """
+    at, own = "_fill_range", {n: f"_fill_{n}" for n in values}
+    ranged = rows.withColumns({own[n]: v for n, v in values.items()}).withColumn(at, F.floor(F.col(order) / each))
+    ends = ranged.groupBy(*keys, at).agg(*(F.max_by(c, F.when(F.col(c).isNotNull(), F.col(order))).alias(c) for c in own.values()))
+    before = Window.partitionBy(*keys).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+    names = {k: f"_fill_key{i}" for i, k in enumerate([*keys, at])}
+    carried = ends.select(*(F.col(k).alias(v) for k, v in names.items()), *(F.last(c, ignorenulls=True).over(before).alias(f"{c}_before") for c in own.values()))
+    same = reduce(lambda x, y: x & y, (F.col(k).eqNullSafe(F.col(v)) for k, v in names.items()))
+    here = Window.partitionBy(*keys, at).orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
+    local = ranged.withColumns({c: F.last(c, ignorenulls=True).over(here) for c in own.values()})
+    out = local.join(carried, same).withColumns({n: F.coalesce(c, f"{c}_before") for n, c in own.items()})
+    return out.drop(at, *own.values(), *(f"{c}_before" for c in own.values()), *names.values())
+
+
 def stratified(rows: DataFrame, stratum: str, order: str, most: int = 5) -> DataFrame:
     """Every step-th row of each stratum, ``most`` of them: step is the stratum's size by ``most``, rounded down; ``order`` is an integer without ties."""
     sizes = rows.groupBy(F.col(stratum).alias("_stratum")).agg(F.count("*").alias("_n"))

@@ -105,8 +105,25 @@ def w7_running_ids(spark, d):
     return s.withColumn("r", within).join(before, "ship_date").select("record_id", (F.col("before") + F.col("r")).alias("running_id"))
 
 
+IMPORT_LINES = ["Imports of Timber", "LONDON.", "Fatfield (s)-Memel-deals-Order", "April 27. Andreas @ Fredrikstad,—54,266 boards", "some prose", "more prose, and so on", "", "HULL.", "the ship of last week", "115 pcs. timber, Order",
+                "IMPORTS.", "THE WOOD TRADE in spring", "SURREY COMMERCIAL DOCKS.", "11 Essex (s)-Konigsberg-sleepers-Order", "ALL.", "Essex (s)-Riga-deals-Smith", "3 lds. oak", "12 Sophie-Danzig-oak-Order"]
+#: What each of them is to a list of imports.
+IMPORT_KINDS = ["header", "record", "record", "record", "other", "other", "blank", "record", "other", "record", "header", "end", "end", "record", "other", "record", "other", "record"]
+
+
 def w9_import_blocks(spark, d):
-    return B.import_blocks(journal(spark, d), "doc_key", "n").groupBy("n").agg(F.count("*").alias("blocks"))
+    k = (F.col("o_orderkey") * 13 + F.floor(F.col("o_orderkey") / 7) * 5) % len(IMPORT_LINES)
+    x = table(spark, d, "orders").select((F.col("o_orderkey") % 97).alias("doc_key"), F.col("o_orderkey").alias("n"), F.get(F.array(*map(F.lit, IMPORT_LINES)), k.cast("int")).alias("line"))
+    return B.import_blocks(x, "doc_key", "n")
+
+
+def w3_date_labels(spark, d):
+    """Customers' orders as running text, every third with a date; each entry with the date it stands under."""
+    o = table(spark, d, "orders").join(table(spark, d, "customer"), F.col("o_custkey") == F.col("c_custkey")).join(table(spark, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    dated = F.when(F.col("o_orderkey") % 3 == 0, F.concat(F.date_format("o_orderdate", "MMMM"), F.lit(" 3rd. "))).otherwise(F.lit(""))
+    piece = F.concat(dated, F.lit("Ship"), F.col("o_orderkey").cast("string"), F.when(F.col("o_orderkey") % 2 == 0, " (s)").otherwise(""), F.lit(" @ "), F.col("n_name"), F.lit(". — 12 "), F.lower("o_orderpriority"))
+    texts = o.groupBy("o_custkey").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("o_orderkey", piece.alias("piece")))), lambda x: x["piece"]), ". ").alias("text"))
+    return B.entries(texts, "o_custkey", "text").select("o_custkey", "ship_name", "is_steamship", "origin_port", "body", F.coalesce("date_label", F.lit("")).alias("date_label"))
 
 
 def w11_ranks(spark, d):
@@ -149,7 +166,7 @@ def n13_grades(spark, d):
     return e.groupBy(N.grade(F.col("p")).alias("grade")).agg(F.count("*").alias("users"))
 
 
-QUERIES = {f.__name__: f for f in (f4_triage, n14_word_errors, p14_fuzzy_commodities, p15_fuzzy_ports, t5_parsed_lines, f5_skip_headers, f9_import_records, p21_fix_table, p29_aliases, p35_recompose, t4_entries, t8_blocks, w7_running_ids, w9_import_blocks, w11_ranks, o2_text_order, o5_natural_order, k9_batches, n5_arrival_dates, n13_grades)}
+QUERIES = {f.__name__: f for f in (f4_triage, n14_word_errors, p14_fuzzy_commodities, p15_fuzzy_ports, t5_parsed_lines, f5_skip_headers, f9_import_records, p21_fix_table, p29_aliases, p35_recompose, t4_entries, t8_blocks, w3_date_labels, w7_running_ids, w9_import_blocks, w11_ranks, o2_text_order, o5_natural_order, k9_batches, n5_arrival_dates, n13_grades)}
 SQL = {
     "f5_skip_headers": f"""with x(k, skipped, heads) as (values {", ".join(f"({i}, {a}, {b})" for i, (a, b) in enumerate(zip(SKIPPED, HEADS)))})
 select o_orderkey id, skipped, heads from orders join x on o_orderkey % {len(HEADINGS)} = k""",
@@ -166,6 +183,22 @@ select o_orderkey id, skipped, heads from orders join x on o_orderkey % {len(HEA
     "t4_entries": """select 'Ann' ship_name, true is_steamship, 'Riga' origin_port, count(*) n from orders union all select 'Sophie', false, 'Hull', count(*) from orders""",
     "t8_blocks": """select conv_id, turn, cast(generate_subscripts(a, 1) - 1 as int) pos, cast(length(unnest(a)) as int) n_chars from (select conv_id, turn, string_split(text, chr(10) || chr(10)) a from conversations)""",
     "w7_running_ids": f"with {SHIPS} select record_id, row_number() over (order by ship_date, record_id) running_id from ships",
+    "w3_date_labels": """with x as (select *, 'Ship' || o_orderkey ship, case when o_orderkey % 3 = 0 then strftime(o_orderdate, '%B') || ' 3rd' end d from orders join customer on o_custkey = c_custkey join nation on c_nationkey = n_nationkey)
+select o_custkey, ship ship_name, o_orderkey % 2 = 0 is_steamship, n_name origin_port, '12 ' || lower(o_orderpriority) body, coalesce(last_value(d ignore nulls) over (partition by o_custkey order by o_orderkey), '') date_label from x""",
+    "w9_import_blocks": f"""with recursive kinds(k, kind) as (values {", ".join(f"({i}, '{k}')" for i, k in enumerate(IMPORT_KINDS))}),
+l as (select o_orderkey % 97 doc, o_orderkey n, kind, row_number() over (partition by o_orderkey % 97 order by o_orderkey) i from orders join kinds on k = (o_orderkey * 13 + (o_orderkey // 7) * 5) % {len(IMPORT_LINES)}),
+walk as (
+  select distinct doc, cast(0 as bigint) i, false inside, 0 others, cast(0 as bigint) begun, false closed, cast(0 as bigint) c_begun, cast(0 as bigint) c_last, cast(0 as bigint) c_n from l
+  union all
+  select l.doc, l.i, x.inside, x.others, case when kind = 'header' then l.i else begun end, w.inside and (kind = 'header' or (not x.inside and l.i - begun >= 6)),
+    begun, case when kind = 'other' then l.i - 3 else l.i - 1 end, l.i - begun
+  from walk w join l on l.doc = w.doc and l.i = w.i + 1,
+    lateral (select kind = 'header' or (w.inside and kind <> 'end' and not (kind = 'other' and w.others = 3)) inside, case when kind = 'other' then w.others + 1 else 0 end others) x),
+ends as (select doc, max(i) m from l group by 1),
+blocks as (
+  select doc, c_begun a, c_last b, c_n n from walk where closed
+  union all select doc, begun, m, m - begun + 1 from walk join ends using (doc) where i = m and inside and m - begun >= 5)
+select blocks.doc, f.n as "first", t.n as "last", blocks.n from blocks join l f on f.doc = blocks.doc and f.i = a join l t on t.doc = blocks.doc and t.i = b""",
     "w11_ranks": f"""with {SHIPS} select destination_port, origin_port, count(*) ship_count, cast(rank() over (partition by destination_port order by count(*) desc) as int) place from ships group by 1, 2""",
     "o2_text_order": f"""with {SHIPS}, t as (select record_id, cast("year" as varchar) y, strftime(ship_date, '%B') m, case when record_id % 3 <> 0 then cast(day(ship_date) as varchar) end dd from ships)
 select record_id, cast(row_number() over (partition by y order by y, m, coalesce(dd, '99'), record_id) as int) place from t""",
