@@ -217,6 +217,7 @@ def dash_parts(c: Column) -> Column:
     return F.filter(F.transform(F.split(c, r"\s*(?:—|–|\s-\s|-{2,})\s*"), squeeze), lambda x: x != "")
 
 
+# The words of quantities.
 QUANTITY = r"(?i)\b(?:\d+[\d,.]*|n\.?s\.?|pcs?\.?|loads?\.?|bdft|ft\.?|in\.?|cwt\.?|tons?\.?|bales?\.?|pkgs?\.?|cases?\.?|boxes?\.?)\b"
 
 
@@ -233,6 +234,16 @@ def product_types(c: Column, vocabulary: list[str]) -> Column:
     return F.array_compact(F.array(*(F.when(s.rlike(rf"(?<![a-z])\Q{v}\E(?![a-z])"), F.lit(v)) for v in ordered)))
 
 
+def tagged_products(c: Column, vocabulary: list[str]) -> Column:
+    """``product_types`` with what lists of deals and ends mean: such redwood is deals, deal ends and redwood, and ends of deals are deal ends."""
+    s = F.replace(F.lower(c), F.lit("deaks"), F.lit("deals"))
+    ends = s.rlike(r"\bends\b")
+    redwood = F.contains(s, F.lit("redwood")) & ends & F.contains(s, F.lit("deal"))
+    first = F.when(redwood, F.array(F.lit("deals"), F.lit("deal ends"), F.lit("redwood"))).otherwise(F.array().cast("array<string>"))
+    last = F.when(ends & s.rlike(r"\bdeals?\b"), F.array(F.lit("deal ends"))).otherwise(F.array().cast("array<string>"))
+    return F.array_distinct(F.concat(first, product_types(s, vocabulary), last))
+
+
 def product_tokens(c: Column) -> Column:
     """Products between commas, semicolons, slashes, ampersands and the words and / et."""
     t = F.regexp_replace(F.regexp_replace(c, "[/;]", ","), "&", " and ")

@@ -152,7 +152,7 @@ def parse_lines(lines: DataFrame, line: str, ports: list[str], vocabulary: list[
     split = T.split_for(tail)
     products = T.strip_quantities(split["products"])
     standard = F.try_element_at(known, F.lower(port)) if ports else F.lit(None).cast("string")
-    kinds = T.product_types(products, vocabulary)
+    kinds = T.tagged_products(products, vocabulary)
     warnings = F.array_compact(F.array(F.when(standard.isNull(), "unknown_port"), F.when(F.size(kinds) == 0, "ambiguous_products")))
     fields = {
         "date_iso": F.nullif(F.regexp_extract(body, dated, 0), F.lit("")), "arrival_place_raw": F.get(parts, 0), "departure_port_raw": port, "departure_port_std": standard,

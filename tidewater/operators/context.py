@@ -80,18 +80,37 @@ def first_of_signature(rows: DataFrame, signature: list[str], order: str) -> Dat
     return rows.join(firsts.select(order), order, "left_semi")
 
 
-def duplicate_report(rows: DataFrame, signature: list[str], member: str, major: int = 50, shown: int = 10) -> DataFrame:
+def first_members(rows: DataFrame, group: list[str], member: str, most: int, name: str, salts: int = 16) -> DataFrame:
+    """(_s0, _s1, ..., name): for each ``group`` an array of its first ``most`` members in order, missing ones left out; nulls of the group are equal.
+
+    Groups are cut twice: tasks and then parts of a group keep ``most`` members, so that no task sees more of a group than parts times ``most``.
+    """
+    own = [f"_s{i}" for i in range(len(group))]
+    kept = rows.select(*(F.col(c).alias(k) for c, k in zip(group, own)), F.col(member).alias("_member")).filter("_member is not null")
+    kept = kept.withColumn("_salt", F.pmod(F.xxhash64("_member"), F.lit(salts)))
+    for keys in ([*own, "_salt"], own):
+        place = F.row_number().over(Window.partitionBy(*keys).orderBy("_member"))
+        kept = kept.withColumn("_place", place).filter(F.col("_place") <= most)
+    return kept.groupBy(*own).agg(F.array_sort(F.collect_list("_member")).alias(name))
+
+
+def duplicate_report(rows: DataFrame, signature: list[str], member: str, major: int = 50, shown: int = 10, source: str | None = None) -> DataFrame:
     """Signatures of several rows: how many, whether many, and the first members; null signatures are equal, null members don't show.
 
-    Only the first members of a signature are ever together.
+    With ``source`` also ``n_sources``, how many different sources they have, and ``sources``, the first of these. Only the first
+    members of a signature are ever together.
     """
     counts = rows.groupBy(*signature).agg(F.count("*").alias("n")).filter("n > 1")
-    place = F.row_number().over(Window.partitionBy(*signature).orderBy(F.col(member).asc_nulls_last()))
-    firsts = rows.select(*signature, member).withColumn("_r", place).filter(F.col("_r") <= shown)
     own = [f"_s{i}" for i in range(len(signature))]
-    firsts = firsts.groupBy(*(F.col(c).alias(k) for c, k in zip(signature, own))).agg(F.array_sort(F.collect_list(member)).alias("members"))
     same = reduce(lambda x, y: x & y, (F.col(c).eqNullSafe(F.col(k)) for c, k in zip(signature, own)))
-    return counts.join(firsts, same).select(*signature, "n", (F.col("n") >= major).alias("is_major"), F.array_join("members", ",").alias("members"))
+    out = counts.join(first_members(rows, signature, member, shown, "members"), same, "left").drop(*own)
+    columns = [*signature, "n", (F.col("n") >= major).alias("is_major"), F.array_join(F.coalesce("members", F.array()), ",").alias("members")]
+    if source is not None:
+        each = rows.select(*signature, source).distinct()
+        kinds = each.groupBy(*(F.col(c).alias(k) for c, k in zip(signature, own))).agg(F.count(source).alias("n_sources"))
+        out = out.join(kinds, same).drop(*own).join(first_members(each, signature, source, shown, "sources"), same, "left").drop(*own)
+        columns += ["n_sources", F.array_join(F.coalesce("sources", F.array()), ",").alias("sources")]
+    return out.select(*columns)
 
 
 def place_within(rows: DataFrame, keys: list[str], order: str, name: str, each: int = 1 << 16) -> DataFrame:

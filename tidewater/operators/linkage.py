@@ -27,12 +27,24 @@ def matching_ratio(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([SequenceMatcher(None, x.lower(), y.lower()).ratio() if x is not None and y is not None else 0.0 for x, y in zip(a, b)], dtype="float64")
 
 
-def band_join(left: DataFrame, right: DataFrame, left_date: str, right_date: str, days: int, on: tuple[str, ...] = ()) -> DataFrame:
-    """Pairs whose dates are at most ``days`` apart: an equi-join on buckets of dates, each row of the left in three."""
+def band_join(left: DataFrame, right: DataFrame, left_date: str, right_date: str, days: int, on: tuple[str, ...] = (), missing: bool = False) -> DataFrame:
+    """Pairs whose dates are at most ``days`` apart: an equi-join on buckets of dates, each row of the left in three.
+
+    With ``missing`` two rows without a date are a pair, too.
+    """
     number = lambda c: F.floor(F.datediff(F.col(c), F.lit("1970-01-01").cast("date")) / (days + 1))
-    a = left.withColumn("_bucket", F.explode(F.array(*(number(left_date) + k for k in (-1, 0, 1)))))
-    b = right.withColumn("_bucket", number(right_date))
-    return a.join(b, ["_bucket", *on]).filter(F.abs(F.datediff(left_date, right_date)) <= days).drop("_bucket")
+    bucket, taken = "_bucket", {c.lower() for c in left.columns + right.columns}
+    while bucket in taken:
+        bucket += "_"
+    near = F.array(*(number(left_date) + k for k in (-1, 0, 1)))
+    fits = F.abs(F.datediff(left_date, right_date)) <= days
+    if missing:
+        none = F.lit(-(1 << 40))
+        near = F.when(F.col(left_date).isNull(), F.array(none)).otherwise(near)
+        fits = fits | (F.col(left_date).isNull() & F.col(right_date).isNull())
+    a = left.withColumn(bucket, F.explode(near))
+    b = right.withColumn(bucket, F.coalesce(number(right_date), none) if missing else number(right_date))
+    return a.join(b, [bucket, *on]).filter(fits).drop(bucket)
 
 
 def nearest(left: DataFrame, right: DataFrame, left_id: str, left_date: str, right_date: str, days: int) -> DataFrame:
@@ -83,13 +95,21 @@ def normalize_ports(rows: DataFrame, value: str, canonical: DataFrame, name: str
     return rows.join(found, F.col(value).eqNullSafe(F.col("_key")), "left").drop("_key")
 
 
-def normalize_commodities(rows: DataFrame, value: str, frequent: int = 20) -> DataFrame:
-    """Adds ``commodity_name``: the rules' name, else the most similar one (ratio above 0.90) of those that more than ``frequent`` rows have."""
+def normalize_commodities(rows: DataFrame, value: str, frequent: int = 20, canonical: DataFrame | None = None, name: str = "commodity") -> DataFrame:
+    """Adds ``commodity_name``: the value itself if ``canonical`` lists it, else the rules' name, else the most similar frequent one.
+
+    All in lower case; '' for blank. Similar names are those of a ratio above 0.90 that more than ``frequent`` rows have.
+    """
     ruled = rows.groupBy(value).agg(F.count("*").alias("_n")).withColumn("_ruled", T.normalize_commodity(F.col(value)))
+    if canonical is not None:
+        listed = canonical.select(T.low(F.col(name)).alias("_listed")).filter("_listed != ''").distinct()
+        ruled = ruled.join(listed, T.low(F.col(value)) == F.col("_listed"), "left").withColumn("_ruled", F.coalesce("_listed", "_ruled"))
+    else:
+        ruled = ruled.withColumn("_listed", F.lit(None).cast("string"))
     names = ruled.groupBy(F.col("_ruled").alias("_name")).agg(F.sum("_n").alias("_n")).filter((F.col("_n") > frequent) & (F.col("_name") != "")).select("_name")
-    rare = ruled.filter(F.col("_ruled") != "").join(names, F.col("_ruled") == F.col("_name"), "left_anti")
+    rare = ruled.filter((F.col("_ruled") != "") & F.col("_listed").isNull()).join(names, F.col("_ruled") == F.col("_name"), "left_anti")
     near = best_match(rare, names, "_ruled", "_name", 0.90, ratio=True).select(F.col("_ruled").alias("_from"), F.col("_name").alias("_near"))
-    found = ruled.join(near, F.col("_ruled") == F.col("_from"), "left").select(F.col(value).alias("_key"), F.coalesce("_near", "_ruled").alias("commodity_name"))
+    found = ruled.join(near, (F.col("_ruled") == F.col("_from")) & F.col("_listed").isNull(), "left").select(F.col(value).alias("_key"), F.coalesce("_near", "_ruled").alias("commodity_name"))
     return rows.join(found, F.col(value).eqNullSafe(F.col("_key")), "left").drop("_key")
 
 
