@@ -8,7 +8,9 @@ marks, preformatted text as it is, the cells of a table in aligned columns.
 from __future__ import annotations
 
 import re
+from bisect import bisect_right
 from collections.abc import Generator, Iterator
+from html import unescape
 from html.parser import HTMLParser
 
 import pyarrow as pa
@@ -18,7 +20,9 @@ from pyspark.sql import types as T
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Elements that show no text of their own.
-UNSEEN = frozenset("head title script style template noscript iframe object svg canvas audio video datalist annotation annotation-xml".split())
+UNSEEN = frozenset("head title script style template noscript iframe object canvas audio video datalist annotation annotation-xml desc metadata defs symbol".split())
+#: Elements whose contents are text, tags and all; of textarea character references are read.
+RAW = frozenset("textarea xmp plaintext".split())
 #: What can stand in a head; other start tags and text end it.
 IN_HEAD = frozenset("html head base basefont bgsound link meta noframes noscript script style template title".split())
 #: Parts of a table, each with the open elements that it can stand in.
@@ -27,7 +31,7 @@ TABLE_PARTS |= {t: ("table", "tbody", "thead", "tfoot", "tr") for t in ("td", "t
 _FOSTERING = frozenset("table tbody thead tfoot tr".split())
 #: Blocks with a blank line around them, and blocks that only begin a line.
 SPACED = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre ul ol dl table figure form fieldset hr".split())
-BLOCK = SPACED | frozenset("html body div section article header footer nav aside main address li dt dd figcaption caption legend tr td th thead tbody tfoot details summary option".split())
+BLOCK = SPACED | frozenset("html body div section article header footer nav aside main address li dt dd figcaption caption legend tr td th thead tbody tfoot details summary option center dialog textarea xmp plaintext".split())
 #: A start tag ends these open elements, unless one of the barriers is open within.
 _CLOSES_P = SPACED | frozenset("div section article header footer nav aside main address li dt dd details fieldset figcaption".split())
 IMPLIED = {
@@ -44,11 +48,18 @@ IMPLIED = {
     "body": (("head",), ()),
 }
 _SCOPE = frozenset("table td th caption body html".split())
+_LEAVES_CELLS = frozenset("tr tbody thead tfoot table td th body html template".split())
 _GONE = re.compile(r"display\s*:\s*none", re.I)
 _VISIBILITY = re.compile(r"visibility\s*:\s*(visible|hidden|collapse)", re.I)
 _SPACE = re.compile(r"[ \t\n\r\f]+")
 COLUMN_GAP = "  "
 INDENT = "  "
+#: Deeper indents than this look alike.
+MOST_INDENT = 32
+#: Tables within so many others are rendered as blocks.
+MOST_NESTED = 32
+#: A table whose aligned columns would take more than so many times its visible characters, and 4 for each cell, has its cells one gap apart instead.
+MOST_PADDING = 3
 
 
 class Node:
@@ -60,7 +71,7 @@ class Node:
     def hidden(self) -> bool:
         """Whether neither it nor anything in it is shown."""
         a = self.attrs
-        return self.tag in UNSEEN or "hidden" in a or bool(_GONE.search(a.get("style") or "")) or (self.tag == "input" and a.get("type") == "hidden")
+        return self.tag in UNSEEN or "hidden" in a or (self.tag == "dialog" and "open" not in a) or bool(_GONE.search(a.get("style") or "")) or (self.tag == "input" and a.get("type") == "hidden")
 
     def seen(self, around: bool) -> bool:
         """Whether its own text is visible, given whether that around it is: what is invisible may hold visible elements."""
@@ -75,37 +86,27 @@ class Tree(HTMLParser):
         super().__init__(convert_charrefs=True)
         self.root = Node("#root", {})
         self.open = [self.root]
-        self.count: dict[str, int] = {}
+        self.at: dict[str, list[int]] = {}  # where the open elements of a tag are
 
     def _pop(self, to: int) -> None:
         for node in self.open[to:]:
-            self.count[node.tag] -= 1
+            self.at[node.tag].pop()
         del self.open[to:]
 
     def _end(self, tags: tuple[str, ...], barriers: frozenset[str] | tuple[str, ...]) -> None:
         """Ends the outermost open one of ``tags`` that no barrier shields."""
-        if not any(self.count.get(t) for t in tags):
-            return
-        at = None
-        for i in range(len(self.open) - 1, 0, -1):
-            if self.open[i].tag in tags:
-                at = i
-            elif self.open[i].tag in barriers:
-                break
-        if at is not None:
-            self._pop(at)
+        shield = self._last(tuple(b for b in barriers if b not in tags))
+        found = [places[k] for places in map(self.at.get, tags) if places and (k := bisect_right(places, shield)) < len(places)]
+        if found:
+            self._pop(min(found))
 
     def _last(self, tags: tuple[str, ...]) -> int:
         """Where the innermost open one of ``tags`` is; 0 if none is."""
-        if any(self.count.get(t) for t in tags):
-            for i in range(len(self.open) - 1, 0, -1):
-                if self.open[i].tag in tags:
-                    return i
-        return 0
+        return max((places[-1] for places in map(self.at.get, tags) if places), default=0)
 
     def _push(self, node: Node) -> None:
+        self.at.setdefault(node.tag, []).append(len(self.open))
         self.open.append(node)
-        self.count[node.tag] = self.count.get(node.tag, 0) + 1
 
     def _add(self, child: Node | str) -> None:
         """Puts ``child`` into the innermost open element."""
@@ -160,6 +161,10 @@ class Tree(HTMLParser):
             self._add(node)
         if tag not in VOID:
             self._push(node)
+        if tag in RAW:
+            self.set_cdata_mode(tag)
+            if tag == "plaintext":
+                self.interesting = re.compile("(?!)")  # nothing ends it
 
     def handle_startendtag(self, tag: str, attrs: list) -> None:
         self.handle_starttag(tag, attrs)  # HTML ignores the slash
@@ -167,15 +172,14 @@ class Tree(HTMLParser):
     def handle_endtag(self, tag: str) -> None:
         if tag == "br":
             self.handle_starttag(tag, [])
-        elif self.count.get(tag):
-            for i in range(len(self.open) - 1, 0, -1):
-                if self.open[i].tag == tag:
-                    self._pop(i)
-                    break
-                if self.open[i].tag in ("td", "th", "table") and tag not in ("tr", "tbody", "thead", "tfoot", "table", "td", "th", "body", "html", "template"):
-                    break  # a stray end tag doesn't reach out of its cell
+        elif at := self._last((tag,)):
+            # A stray end tag doesn't reach out of its cell.
+            if tag in _LEAVES_CELLS or self._last(("td", "th", "table")) <= at:
+                self._pop(at)
 
     def handle_data(self, data: str) -> None:
+        if self.open[-1].tag == "textarea" and self.cdata_elem:
+            data = unescape(data)
         if data.strip(" \t\n\r\f"):
             if self.open[-1].tag == "head":
                 self._end(("head",), ())
@@ -211,7 +215,7 @@ class Page:
         self.gap = False
         self.lines.append((self.indent + self.mark + line).rstrip(" "))
         if self.mark:
-            self.indent, self.mark = self.indent + " " * len(self.mark), ""
+            self.indent, self.mark = (self.indent + " " * len(self.mark))[:MOST_INDENT], ""
 
     def block(self, spaced: bool) -> None:
         self.flush()
@@ -245,6 +249,11 @@ def _rows(table: Node, seen: bool) -> tuple[list[Cell], list[list[list[Cell]]]]:
     return captions, parts
 
 
+def _integer(value: str) -> int | None:
+    digits = value.removeprefix("-")
+    return int(value) if digits.isascii() and digits.isdigit() and len(digits) < 10 else None
+
+
 def _number(cell: Node, name: str, most: int) -> int:
     value = cell.attrs.get(name, "")
     return min(most, int(value)) if value.isascii() and value.isdigit() and len(value) < 9 else 1
@@ -289,12 +298,16 @@ def _table(page: Page, table: Node, seen: bool) -> Generator[Cell, list[str], No
     starts = [0]
     for width in widths:
         starts.append(starts[-1] + width + len(COLUMN_GAP))
+    visible = sum(4 + sum(len(line) - line.count(" ") for line in lines) for row in rows for _, _, lines in row)
+    # What the lines of all rows would take: each its last cell, and as far as that begins.
+    padded = sum(max(starts[edges[begin]] + len(lines[k]) for begin, _, lines in row if k < len(lines)) for row in rows for k in range(max((len(lines) for _, _, lines in row), default=0)))
+    aligned = padded <= MOST_PADDING * visible
     for row in rows:
         for k in range(max((len(lines) for _, _, lines in row), default=0)):
             line = ""
             for begin, _, lines in row:
                 if k < len(lines) and lines[k]:
-                    line = line.ljust(starts[edges[begin]]) + lines[k]
+                    line = line.ljust(starts[edges[begin]]) + lines[k] if aligned else f"{line}{COLUMN_GAP if line else ''}{lines[k].strip(' ')}"
             if line.rstrip(" "):
                 page.put(line.rstrip(" "))
 
@@ -305,7 +318,7 @@ def render_node(root: Node, seen: bool = True) -> list[str]:
     while True:
         try:
             cell = walks[-1].send(lines)
-            walks.append(_walk(*cell))
+            walks.append(_walk(*cell, len(walks)))
             lines = None
         except StopIteration as done:
             walks.pop()
@@ -314,8 +327,8 @@ def render_node(root: Node, seen: bool = True) -> list[str]:
                 return lines
 
 
-def _walk(root: Node, seen: bool) -> Walk:
-    """Asks for the lines of each cell of the tables below ``root``, and ends with the lines of ``root``."""
+def _walk(root: Node, seen: bool, depth: int = 0) -> Walk:
+    """Asks for the lines of each cell of the tables below ``root``, and ends with the lines of ``root``; ``depth`` is in how many tables it lies."""
     page = Page()
     lists: list[list] = []  # kind and number of the open lists
     stack: list[tuple[Node | str, bool]] = [(c, True) for c in reversed(root.children)]
@@ -354,28 +367,33 @@ def _walk(root: Node, seen: bool) -> Walk:
                     page.put("---")
                 page.block(True)
                 continue
-            if tag == "table":
+            if tag == "table" and depth < MOST_NESTED:
                 yield from _table(page, node, visible)
                 page.block(True)
                 continue
             kept.append((page.indent, page.mark, seen))
             seen = visible
             if tag in ("ul", "ol"):
-                start = node.attrs.get("start", "")
-                lists.append([tag, int(start) if start.isascii() and start.isdigit() and len(start) < 10 else 1])
-                page.indent += INDENT if len(lists) > 1 else ""
+                down = "reversed" in node.attrs
+                start = _integer(node.attrs.get("start", ""))
+                if start is None:
+                    start = sum(isinstance(c, Node) and c.tag == "li" for c in node.children) if down else 1
+                lists.append([tag, start, -1 if down else 1])
+                page.indent = (page.indent + (INDENT if len(lists) > 1 else ""))[:MOST_INDENT]
             elif tag == "li":
-                kind = lists[-1] if lists else ["ul", 1]
+                kind = lists[-1] if lists else ["ul", 1, 1]
+                value = _integer(node.attrs.get("value", ""))
+                kind[1] = kind[1] if value is None else value
                 page.mark = ("- " if kind[0] == "ul" else f"{kind[1]}. ") if seen else ""
-                kind[1] += 1
+                kind[1] += kind[2]
             elif tag in ("blockquote", "dd"):
-                page.indent += INDENT
-            elif tag == "pre":
+                page.indent = (page.indent + INDENT)[:MOST_INDENT]
+            elif tag == "pre" or tag in RAW:
                 preformatted += 1
             stack.append((node, False))
             stack += [(c, True) for c in reversed(node.children)]
             continue
-        if tag == "pre":
+        if tag == "pre" or tag in RAW:
             preformatted -= 1
             if page.words:
                 page.put("".join(page.words))
@@ -388,15 +406,36 @@ def _walk(root: Node, seen: bool) -> Walk:
         if tag == "li" or page.mark == mark:
             page.indent, page.mark = indent, mark
         else:  # the mark stands before a line of this block: later ones are indented as far
-            page.indent = indent + " " * len(mark)
+            page.indent = (indent + " " * len(mark))[:MOST_INDENT]
     page.flush()
     return page.lines
 
 
+def _comments(html: str) -> str:
+    """The page with comments that ``--!>`` closes closed as usual."""
+    at, out, done = html.find("<!--") if "--!>" in html else -1, [], 0
+    while at >= 0:
+        odd, end = html.find("--!>", at + 4), html.find("-->", at + 2)
+        if odd < 0:
+            break
+        if end < 0 or odd < end:
+            out += [html[done:odd], "-->"]
+            done = odd + 4
+        at = html.find("<!--", max(done, end if 0 <= end < odd else done))
+    return "".join([*out, html[done:]])
+
+
 def render(html: str | None) -> str:
-    """The visible text of a page; null and empty pages give the empty text."""
+    """The visible text of a page; null and empty pages give the empty text.
+
+    It takes time in proportion to the page, and is a small multiple of it: indents end at MOST_INDENT and tables that would be mostly
+    padding aren't aligned.
+    """
     tree = Tree()
-    tree.feed(html or "")
+    tree.feed(_comments(html or ""))
+    if tree.cdata_elem in RAW:  # never closed: the rest is its text
+        rest, tree.rawdata = tree.rawdata, ""
+        tree.handle_data(rest)
     tree.close()
     return "\n".join(render_node(tree.root)).strip("\n")
 
@@ -404,9 +443,9 @@ def render(html: str | None) -> str:
 def extract(pages: DataFrame, html_col: str = "html", out: str = "text") -> DataFrame:
     """``pages`` with the visible text of ``html_col`` in its place; each row by itself, null pages give the empty text.
 
-    An existing column ``out`` is replaced.
+    An existing column ``out`` is replaced (names are compared without case).
     """
-    keep = [c for c in pages.columns if c not in (html_col, out)]
+    keep = [c for c in pages.columns if c.lower() not in (html_col.lower(), out.lower())]
     schema = T.StructType([*(pages.schema[c] for c in keep), T.StructField(out, T.StringType(), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
