@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_right
-from collections.abc import Generator, Iterator
+from collections.abc import Generator, Iterable, Iterator
 from html import unescape
 from html.parser import HTMLParser
 
@@ -95,14 +95,21 @@ class Tree(HTMLParser):
 
     def _end(self, tags: tuple[str, ...], barriers: frozenset[str] | tuple[str, ...]) -> None:
         """Ends the outermost open one of ``tags`` that no barrier shields."""
-        shield = self._last(tuple(b for b in barriers if b not in tags))
-        found = [places[k] for places in map(self.at.get, tags) if places and (k := bisect_right(places, shield)) < len(places)]
+        at = self.at
+        if not any(map(at.get, tags)):
+            return
+        shield = self._last([b for b in barriers if b not in tags])
+        found = [places[k] for t in tags if (places := at.get(t)) and (k := bisect_right(places, shield)) < len(places)]
         if found:
             self._pop(min(found))
 
-    def _last(self, tags: tuple[str, ...]) -> int:
+    def _last(self, tags: Iterable[str]) -> int:
         """Where the innermost open one of ``tags`` is; 0 if none is."""
-        return max((places[-1] for places in map(self.at.get, tags) if places), default=0)
+        last, at = 0, self.at
+        for t in tags:
+            if (places := at.get(t)) and places[-1] > last:
+                last = places[-1]
+        return last
 
     def _push(self, node: Node) -> None:
         self.at.setdefault(node.tag, []).append(len(self.open))
