@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tidewater.functions import text as T
+from tidewater.operators import cargo_grammar as G
 from tidewater.operators import context as C
 from tidewater.operators import formats as P
 from tidewater.operators import linkage as L
@@ -62,9 +63,29 @@ def p14_listed_commodities(spark, d):
     return L.normalize_commodities(x, "raw", canonical=listed).groupBy("commodity_name").agg(F.count("*").alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (p37_signals, p38_formats, a22_formats_by_year, p28_tagged, a10_sources, p14_listed_commodities)}
+UNITS = [("pcs. ", "pieces"), ("loads ", "loads"), ("", ""), ("Bdls ", "bundles"), ("ton ", "tons"), ("doz. ", "dozens"), ("cords ", "cords")]
+ITEMS = [("deals", "deals"), ("Oak", "oak"), ("pitch pine timber", "pitch pine timber"), ("split-staves", "split-staves"), ("loads", "")]
+MERCHANTS = [("", ""), (", SMITH & CO.", "Smith"), (", Order", ""), (", H. & R. Fowler", "H. and R. Fowler"), (", Messrs. J. BROWN & Sons", "J. Brown"), (", Bank Of The North Ltd", "Bank of the North"), (", nil", "")]
+
+
+def t2_cargo_grammar(spark, d):
+    """One to three items an order, of every quantity, unit, commodity and merchant; a unit in a commodity's place is none."""
+    k = F.col("o_orderkey")
+    of = lambda pairs, at: F.get(F.array(*(F.lit(a) for a, _ in pairs)), (at % len(pairs)).cast("int"))
+    item = lambda i: F.concat(F.format_number((k * 37 + i * 11) % 99991 + 1, 0), F.lit(" "), of(UNITS, k + i), of(ITEMS, F.floor(k / 3) + i * 2), of(MERCHANTS, F.floor(k / 5) + i * 3))
+    items = F.transform(F.sequence(F.lit(0), (k % 3).cast("int")), item)
+    cargo_ = F.concat(F.when(k % 2 == 0, "—").otherwise(""), F.when(k % 4 == 0, F.array_join(items, " — ")).otherwise(F.array_join(items, "; ")))
+    x = table(spark, d, "orders").select("o_orderkey", F.posexplode(G.parse_items(cargo_)).alias("pos", "item"))
+    return x.select("o_orderkey", "pos", *(F.coalesce(f"item.{c}", F.lit("")).alias(c) for c in ("quantity", "unit", "commodity", "merchant")))
+
+
+QUERIES = {f.__name__: f for f in (p37_signals, p38_formats, a22_formats_by_year, p28_tagged, a10_sources, p14_listed_commodities, t2_cargo_grammar)}
 PAGES_SQL = f"""{JOURNAL_SQL}, pages as (select doc_key, string_agg(line, chr(10) order by n) "text", case when doc_key % 5 <> 0 then cast(1870 + doc_key % 25 as int) end "year" from journal group by 1)"""
+_sql_list = lambda pairs: "[" + ", ".join("'" + b + "'" for _, b in pairs) + "]"
 SQL = {
+    "t2_cargo_grammar": f"""with x as (select o_orderkey, o_orderkey k, unnest(range(0, o_orderkey % 3 + 1)) i from orders),
+y as (select o_orderkey, i, cast((k * 37 + i * 11) % 99991 + 1 as varchar) quantity, ({_sql_list(UNITS)})[(k + i) % {len(UNITS)} + 1] unit, ({_sql_list(ITEMS)})[(k // 3 + i * 2) % {len(ITEMS)} + 1] commodity, ({_sql_list(MERCHANTS)})[(k // 5 + i * 3) % {len(MERCHANTS)} + 1] merchant from x)
+select o_orderkey, cast(row_number() over (partition by o_orderkey order by i) - 1 as int) pos, quantity, unit, commodity, merchant from y where commodity <> ''""",
     "p37_signals": rf"""with {PAGES_SQL}, l as (select doc_key, n, line, row_number() over (partition by doc_key order by n) r from journal),
 samples as (select doc_key, string_agg(line, '|' order by n) s from (select *, row_number() over (partition by doc_key order by n) k from l where r <= 200 and regexp_matches(line, '^(\w+\.\s+)?\d{{1,2}}\s+\w+.*[@—]')) where k <= 5 group by 1),
 h as (select *, regexp_extract_all("text", '(?m)^([A-Z\s&.''()]+)\.\s*$', 1) hs from pages)
