@@ -3,7 +3,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from tidewater.operators import datasets as A
+from tidewater.sources import files
 from tidewater.sources import tables_on_disk as D
 
 
@@ -51,3 +51,38 @@ def test_files_by_name_give_the_order(spark, tmp_path, files):
     assert files == 1 or "rangepartitioning" in plan
     with pytest.raises(Exception):
         D.write_ordered(df, path, ["i"], files)
+
+
+def test_review_files_in_any_encoding_and_their_actions(spark, tmp_path):
+    head = "port_type,original_port,ship_count,best_match_canonical,similarity_score,normalization_tier,year_range,action,map_to_port,notes,web_search_query"
+    body = [f"{files.INSTRUCTIONS},,,,,,,,,read me,", "origin,Gävle,3,Gavle,0.9,fuzzy,1883,MAP,Gävle,,", "origin,Riga,1,,,,,,,,", "origin,X,1,,,,, skip ,,,", "origin,Y,1,,,,,error,,,"]
+    for name in ("utf-8", "iso-8859-1"):
+        path = tmp_path / name
+        path.write_bytes("\n".join([head, *body]).encode(name))
+        rows = files.read_review(spark, str(path))
+        assert [r["original_port"] for r in rows.collect()] == ["Gävle", "Riga", "X", "Y"]
+        assert [r["original_port"] for r in files.undecided(rows).collect()] == ["Riga"]
+        assert [tuple(r) for r in files.unknown_actions(rows).collect()] == [("SKIP", 1)]
+    # K7: what is written with the instruction row first is read without it.
+    out = files.with_instructions(rows, "how to").orderBy("position").drop("position")
+    files.write_csv(out.coalesce(1), str(tmp_path / "out"), rows.columns)
+    assert sorted(r["original_port"] for r in files.read_review(spark, str(tmp_path / "out")).collect()) == ["Gävle", "Riga", "X", "Y"]
+
+
+def test_json_lines_and_text_go_both_ways(spark, tmp_path):
+    rows = [(1, "a \"b\"\n", None), (2, "é", 3.5), (3, None, None)]
+    schema = "id long, s string, x double"
+    files.write_json(spark.createDataFrame(rows, schema), str(tmp_path / "json"))
+    assert sorted(map(tuple, spark.read.schema(schema).json(str(tmp_path / "json")).collect())) == rows
+    # K10: plain text, a line each.
+    spark.createDataFrame([("one",), ("",), ("zwei ü",)], "value string").coalesce(1).write.text(str(tmp_path / "text"))
+    assert sorted(r["value"] for r in spark.read.text(str(tmp_path / "text")).collect()) == ["", "one", "zwei ü"]
+
+
+def test_images_are_listed_by_their_names(spark, tmp_path):
+    (tmp_path / "below").mkdir()
+    for name in ("b.png", "a.JPG", "c.jpeg", "d.txt", "below/e.png"):
+        (tmp_path / name).write_bytes(b"\x89" * 3)
+    names = lambda **k: sorted(r["path"].rsplit("/", 1)[1] for r in files.images(spark, str(tmp_path), **k).collect())
+    assert names() == ["a.JPG", "b.png", "c.jpeg"] and names(recursive=True) == ["a.JPG", "b.png", "c.jpeg", "e.png"]
+    assert {r["length"] for r in files.images(spark, str(tmp_path)).collect()} == {3}

@@ -59,6 +59,15 @@ MERCHANT_PLACEHOLDERS = ["order", "nil", "ditto", "---"]
 MERCHANT_ENDS = ["& co", "& son", "& sons", "& atkinson", "& sim", "& wood"]
 COMMODITY_KEYWORDS = ["deals", "timber", "boards", "battens", "staves", "mahogany", "cedar", "oak", "pine", "firewood", "laths", "planks"]
 COMMODITY_WORDS = ["deals", "timber", "boards", "staves", "battens", "planks", "logs"]
+# Commodities that are none (fragments, units), and single forms with what they are merged into.
+NO_COMMODITIES = [
+    "w", "sq", "p", "i", "pp", "ft", "o", "s", "r", "&c", "a", "m", "b", "wo", "ww", "d", "f",
+    "lds", "pcs", "tons", "loads", "bdls", "square", "pieces", "cords", "fathoms", "bundles", "cubic", "ft", "standards",
+]
+MERGED_COMMODITIES = {
+    "deal": "deals", "stave": "staves", "prop": "props", "batten": "battens", "board": "boards", "sleeper": "sleepers", "log": "logs", "hoop": "hoops",
+    "end": "ends", "lath": "laths", "scantling": "scantlings", "spar": "spars", "plank": "planks", "flooring": "floorings", "square": "squares",
+}
 PROVINCES = r", (?:N[.]\s?B|N[.]\s?S|P[.]\s?E[.]\s?I|P[.]\s?Q)[.]$"
 
 
@@ -159,6 +168,13 @@ def normalize_commodity(c: Column) -> Column:
     return F.coalesce(first_case([(s.rlike(p), v) for p, v in COMMODITY_RULES], s), F.lit(""))
 
 
+def recommended_commodity(c: Column) -> Column:
+    """The recommended form of a commodity: '' for fragments and units, the merged form of single ones (which goes first), else the value itself."""
+    s = low(c)
+    merged = F.create_map(*(F.lit(x) for pair in MERGED_COMMODITIES.items() for x in pair))
+    return F.coalesce(F.try_element_at(merged, s), F.when(s.isin(NO_COMMODITIES), F.lit("")), c)
+
+
 def normalize_port(c: Column, canonical: Column) -> Column:
     """``canonical`` (the exact hit, null if none), else the abbreviation's or family's port, else the value itself; '' for blank."""
     s = strip(c)

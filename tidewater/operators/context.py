@@ -72,11 +72,12 @@ def neighbour_mode(rows: DataFrame, keys: list[str], order: list[str], value: st
 
 
 def first_of_signature(rows: DataFrame, signature: list[str], order: str) -> DataFrame:
-    """One row of each signature, that with the smallest ``order``; nulls are equal.
+    """One row of each signature, that with the smallest ``order``, which has no repeats; nulls are equal.
 
-    Only the smallest ``order`` is shuffled by signature, after partial minima.
+    What is shuffled is a SHA-256 of the signature and the smallest ``order`` of each task, never the signature itself.
     """
-    firsts = rows.groupBy(*signature).agg(F.min(order).alias(order))
+    key = F.unhex(F.sha2(F.to_json(F.struct(*(F.col(c).alias(f"c{i}") for i, c in enumerate(signature)))), 256))
+    firsts = rows.groupBy(key.alias("_signature")).agg(F.min(order).alias(order))
     return rows.join(firsts.select(order), order, "left_semi")
 
 

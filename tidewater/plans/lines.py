@@ -106,6 +106,12 @@ def p37_format_signals(spark, d):
     return j.select("doc_key", "headers", "at_lines", "dash_lines", kind.alias("format"))
 
 
+def a25_steam_and_sail(spark, d):
+    """Records of steamships and of others by the month they stand under."""
+    x = C.carry_context(journal(spark, d), ["doc_key"], ["n"]).select(T.parse_record(F.col("line")).alias("p"), "month").filter("p.format_type is not null")
+    return x.groupBy(F.coalesce("month", F.lit("")).alias("month")).agg(F.count_if("p.is_steamship").alias("steam"), F.count_if(~F.col("p.is_steamship")).alias("sail"))
+
+
 CARGO = ["102 bgs. wood pulp", "1,300 staves, Nickols & Co.", "115 pcs. timber, Order.", "deals and battens", "46,012 boards; 570 logs; 3 lds. oak, J. Smith", "570 logs mahogany and cedar", "ab", "—2,000 sleepers, Nil", None]
 
 
@@ -137,7 +143,7 @@ def u1_ratio(spark, d):
     return pairs.select("a", "b", F.round(L.matching_ratio("a", "b"), 6).alias("ratio"))
 
 
-QUERIES = {f.__name__: f for f in (t1_lines, w1_look_back, w2_forward_fill, m1_carried_context, w4_neighbour_mode, w5_runs, w6_first_of_signature, w8_sections, a10_duplicates, a11_frequent_share, a12_coverage, a21_stratified, a27_block_confidence, p37_format_signals, t2_cargo_items, m6_event_windows, m6_sessions, a23_vocabulary, u1_ratio)}
+QUERIES = {f.__name__: f for f in (t1_lines, w1_look_back, w2_forward_fill, m1_carried_context, w4_neighbour_mode, w5_runs, w6_first_of_signature, w8_sections, a10_duplicates, a11_frequent_share, a12_coverage, a25_steam_and_sail, a21_stratified, a27_block_confidence, p37_format_signals, t2_cargo_items, m6_event_windows, m6_sessions, a23_vocabulary, u1_ratio)}
 HEADER = r"regexp_matches(line, '^[A-Z\s&.''()]+\.\s*$')"
 CONTEXT_SQL = rf"""{JOURNAL_SQL},
 named as (select *, case when {HEADER} then array_to_string(list_transform(string_split(regexp_replace(line, '\.\s*$', ''), ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') end name from journal),
@@ -167,6 +173,8 @@ select doc_key, cast(sec as bigint) section, count(*) n_lines, string_agg(line,
     "a11_frequent_share": """select * from (select event_type, user_id, count(*) n, round(100 * count(*) / sum(count(*)) over (partition by event_type), 4) percent from events group by 1, 2) where n >= 10""",
     "a12_coverage": rf"""with {CONTEXT_SQL} select count(*) records, count(port) with_port, round(100 * count("month") / greatest(count(*), 1), 2) date_percent, count(*) filter (contains(line, '(s)')) steamships
 from context where line like '%@%' or regexp_matches(line, '-.*-.*-')""",
+    "a25_steam_and_sail": rf"""with {CONTEXT_SQL} select coalesce("month", '') "month", count(*) filter (contains(line, '(s)')) steam, count(*) filter (not contains(line, '(s)')) sail
+from context where line like '%@%' or regexp_matches(line, '-.*-.*-') group by 1""",
     "a21_stratified": """with n as (select doc_id, lang, row_number() over (partition by lang order by doc_id) - 1 i, count(*) over (partition by lang) n from documents)
 select doc_id, lang from n where i % greatest(1, n // 5) = 0 and i // greatest(1, n // 5) < 5""",
     "a27_block_confidence": rf"""with {JOURNAL_SQL} select doc_key, round(avg(case when length(trim(line)) >= 10 and (contains(line, '@') or regexp_matches(trim(line), '^(\w+\.\s+)?\d{{1,2}}\s+\w+.*-.*-|^\w+[\s(].*-.*-.*-|^\d{{1,5}}\s+(pcs\.|lds\.|deals|timber|boards)')) then 1.0 else 0.0 end), 6) confidence from journal where trim(line) <> '' group by 1""",

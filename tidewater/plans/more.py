@@ -6,6 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidewater.functions import dates as N
+from tidewater.functions import text as T
 from tidewater.operators import blocks as B
 from tidewater.operators import context as C
 from tidewater.operators import linkage as L
@@ -73,6 +74,13 @@ def p21_fix_table(spark, d):
     return x.groupBy(fixed.alias("fixed")).agg(F.count("*").alias("n"))
 
 
+def p21_recommended(spark, d):
+    """The last words of commodities as single forms, fragments and units."""
+    words = [*T.NO_COMMODITIES, *T.MERGED_COMMODITIES, "Deal ", "oak"]
+    pick = F.get(F.array(*map(F.lit, words)), (F.col("o_orderkey") % len(words)).cast("int"))
+    return table(spark, d, "orders").groupBy(T.recommended_commodity(pick).alias("fixed")).agg(F.count("*").alias("n"))
+
+
 def p29_aliases(spark, d):
     low = F.lower("text")
     for old, new in (("the", "le"), ("and", "et")):
@@ -132,10 +140,14 @@ def w11_ranks(spark, d):
 
 
 def text_order(s):
-    """Places in the order of year, month name and day as texts, missing ones last."""
+    """Places in the order of year, month name and day as texts, missing ones last: what stands in days before, and a number within the day."""
     s = s.select("record_id", F.year("ship_date").cast("string").alias("y"), N.month_name(F.month("ship_date")).alias("m"), F.when(F.col("record_id") % 3 != 0, F.day("ship_date").cast("string")).alias("dd"))
-    order = [F.coalesce("y", F.lit("9999")), F.coalesce("m", F.lit("ZZZ")), F.coalesce("dd", F.lit("99")), F.col("record_id")]
-    return s.withColumn("place", F.row_number().over(Window.partitionBy("y").orderBy(*order))).select("record_id", "place")
+    s = s.withColumns({"m": F.coalesce("m", F.lit("ZZZ")), "dd": F.coalesce("dd", F.lit("99"))})
+    days = s.groupBy("y", "m", "dd").agg(F.count("*").alias("size"))  # some 400 rows a year
+    before = days.select(F.col("y").alias("by"), F.col("m").alias("bm"), F.col("dd").alias("bd"), (F.sum("size").over(Window.partitionBy("y").orderBy("m", "dd")) - F.col("size")).alias("before"))
+    placed = C.place_within(s, ["y", "m", "dd"], "record_id", "within")
+    met = placed.join(before, F.col("y").eqNullSafe(F.col("by")) & (F.col("m") == F.col("bm")) & (F.col("dd") == F.col("bd")))
+    return met.select("record_id", (F.col("before") + F.col("within") + 1).cast("int").alias("place"))
 
 
 def o2_text_order(spark, d):
@@ -166,7 +178,7 @@ def n13_grades(spark, d):
     return e.groupBy(N.grade(F.col("p")).alias("grade")).agg(F.count("*").alias("users"))
 
 
-QUERIES = {f.__name__: f for f in (f4_triage, n14_word_errors, p14_fuzzy_commodities, p15_fuzzy_ports, t5_parsed_lines, f5_skip_headers, f9_import_records, p21_fix_table, p29_aliases, p35_recompose, t4_entries, t8_blocks, w3_date_labels, w7_running_ids, w9_import_blocks, w11_ranks, o2_text_order, o5_natural_order, k9_batches, n5_arrival_dates, n13_grades)}
+QUERIES = {f.__name__: f for f in (f4_triage, n14_word_errors, p14_fuzzy_commodities, p15_fuzzy_ports, t5_parsed_lines, f5_skip_headers, f9_import_records, p21_fix_table, p21_recommended, p29_aliases, p35_recompose, t4_entries, t8_blocks, w3_date_labels, w7_running_ids, w9_import_blocks, w11_ranks, o2_text_order, o5_natural_order, k9_batches, n5_arrival_dates, n13_grades)}
 SQL = {
     "f5_skip_headers": f"""with x(k, skipped, heads) as (values {", ".join(f"({i}, {a}, {b})" for i, (a, b) in enumerate(zip(SKIPPED, HEADS)))})
 select o_orderkey id, skipped, heads from orders join x on o_orderkey % {len(HEADINGS)} = k""",
@@ -178,6 +190,9 @@ select o_orderkey id, skipped, heads from orders join x on o_orderkey % {len(HEA
     "p15_fuzzy_ports": f"with {SHIPS} select {MISSPELLED_SQL} raw, case record_id % 4 when 1 then translate(origin_port, 'AI', 'EY') else origin_port end port, count(*) n from ships group by 1, 2",
     "f9_import_records": f"""with {sample_sql([x for x in LINES if x is not None])} select id, length(s) >= 10 and (s like '%@%' or regexp_matches(s, '^(\\w+\\.\\s+)?\\d{{1,2}}\\s+\\w+.*-.*-|^\\w+[\\s(].*-.*-.*-')) is_record from sample""",
     "p21_fix_table": f"""{STAR} select case when commodity < 'F' then '' when commodity < 'P' then lower(commodity) else commodity end fixed, count(*) n from cargo group by 1""",
+    "p21_recommended": """with fixes(k, fixed) as (values (22, 'squares'), (29, ''), (30, 'deals'), (31, 'staves'), (32, 'props'), (33, 'battens'), (34, 'boards'), (35, 'sleepers'), (36, 'logs'), (37, 'hoops'),
+  (38, 'ends'), (39, 'laths'), (40, 'scantlings'), (41, 'spars'), (42, 'planks'), (43, 'floorings'), (44, 'squares'), (45, 'deals'), (46, 'oak'))
+select coalesce(fixed, '') fixed, count(*) n from orders left join fixes on o_orderkey % 47 = k group by 1""",
     "p29_aliases": r"""select doc_id, md5(regexp_replace(regexp_replace(lower(text), '\bthe\b', 'le', 'g'), '\band\b', 'et', 'g')) aliased_md5 from documents""",
     "p35_recompose": """select conv_id, md5(string_agg(turn || ': ' || role || ': ' || text, chr(10) order by turn, role, text)) text_md5 from conversations group by 1""",
     "t4_entries": """select 'Ann' ship_name, true is_steamship, 'Riga' origin_port, count(*) n from orders union all select 'Sophie', false, 'Hull', count(*) from orders""",

@@ -52,6 +52,18 @@ def a25_monthly(spark, d):
     return ships(spark, d).groupBy(F.date_format("ship_date", "yyyy-MM").alias("month"), "destination_port").agg(F.count("*").alias("num_ships"), F.countDistinct("merchant").alias("merchants"))
 
 
+def a25_year_origin(spark, d):
+    return ships(spark, d).groupBy("year", "origin_port").agg(F.count("*").alias("num_ships"), F.countDistinct("destination_port").alias("destinations"))
+
+
+def a25_specialization(spark, d):
+    """Each merchant's commonest commodity, the first in order of equals, and its share of the merchant's items."""
+    per = cargo(spark, d).join(ships(spark, d).select("record_id", "merchant"), "record_id").groupBy("merchant", "commodity").agg(F.count("*").alias("n"))
+    best = F.min_by("commodity", F.struct(-F.col("n"), "commodity"))
+    out = per.groupBy("merchant").agg(F.sum("n").alias("items"), F.max("n").alias("most"), best.alias("commodity"))
+    return out.select("merchant", "items", "commodity", F.round(100 * F.col("most") / F.col("items"), 4).alias("percent"))
+
+
 def a26_quality(spark, d):
     s, c = ships(spark, d), cargo(spark, d)
     orphans = c.join(s, "record_id", "left_anti").agg(F.count("*").alias("orphan_items"))
@@ -136,6 +148,8 @@ QUERIES = {
     "a20_commonest_spelling": a20_commonest_spelling,
     "a24_ship_items": both(D.ship_items),
     "a25_monthly": a25_monthly,
+    "a25_year_origin": a25_year_origin,
+    "a25_specialization": a25_specialization,
     "a26_quality": a26_quality,
     "n7_decades": n7_decades,
     "ext_rollup": ext_rollup,
@@ -193,6 +207,9 @@ union all select distinct destination_port, 'destination' from ships where desti
 from (select word, count(*) n from (select unnest(string_split(text, ' ')) word from documents) where word <> '' group by 1)) where r = 1""",
     "a24_ship_items": f"""{STAR} select s.record_id, coalesce(string_agg(commodity, '; ' order by commodity), '') commodities, coalesce(sum(quantity), 0) total_quantity
 from ships s left join cargo c on c.record_id = s.record_id group by 1""",
+    "a25_year_origin": f"""{STAR} select "year", origin_port, count(*) num_ships, count(distinct destination_port) destinations from ships group by all""",
+    "a25_specialization": f"""{STAR}, per as (select merchant, commodity, count(*) n from cargo join ships using (record_id) group by all)
+select merchant, cast(sum(n) as bigint) items, first(commodity order by n desc, commodity) commodity, round(100 * max(n) / sum(n), 4) percent from per group by 1""",
     "a25_monthly": f"""{STAR} select strftime(ship_date, '%Y-%m') as "month", destination_port, count(*) num_ships, count(distinct merchant) merchants from ships group by all""",
     "a26_quality": f"""{STAR} select count(*) num_ships, count(*) filter (origin_port is null) null_origins, min("year") first_year, max("year") last_year,
   count(distinct origin_port) origins, (select count(*) from cargo where record_id not in (select record_id from ships)) orphan_items,

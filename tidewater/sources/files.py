@@ -11,6 +11,7 @@ REVIEW = (
     "normalization_tier string, year_range string, action string, map_to_port string, notes string, web_search_query string"
 )
 INSTRUCTIONS = "=== INSTRUCTIONS ==="
+ACTIONS = ["MAP", "ACCEPT", "ERROR"]
 
 
 def empty_to_null(c: Column) -> Column:
@@ -78,6 +79,13 @@ def undecided(review: DataFrame) -> DataFrame:
     return review.filter(F.col("action").isNull() | (F.trim("action") == ""))
 
 
+def unknown_actions(review: DataFrame) -> DataFrame:
+    """(action, rows): actions of a review that nobody knows, to be warned of; case and blanks around them don't matter."""
+    action = F.upper(F.trim("action"))
+    odd = review.filter(F.col("action").isNotNull() & (action != "") & ~action.isin(ACTIONS))
+    return odd.groupBy(action.alias("action")).agg(F.count("*").alias("rows"))
+
+
 def images(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
     """Image files: path, length, content; nothing sorts rows that carry images, so order by path what is taken from them."""
     found = spark.read.format("binaryFile").option("recursiveFileLookup", recursive).option("pathGlobFilter", "*.{png,PNG,jpg,JPG,jpeg,JPEG}").load(path)
