@@ -1,10 +1,10 @@
 """Personal data: fixed patterns, and bootstrapped contextual extraction beyond them.
 
 The fixed patterns give seed entities. Every token that looks like an identifier is an instance; its
-left word, its right word and its shape are the lexical patterns that the instance induces. On the
-graph of patterns and instances Spark alternates two steps: a pattern's score for a kind is the mean
-score of its instances, an instance's score is that of its best pattern; seeds stay at 1. Instances
-that end above a threshold without being seeds are identifiers that the fixed patterns miss.
+left word, its right word and its shape, alone and together, are the lexical patterns that the instance induces. On the
+graph of patterns and instances Spark alternates two steps: a pattern's score for a kind is the share
+of that kind among its instances that count (see ``discover``), an instance's score is that of its best pattern, contexts
+before shapes; seeds stay at 1. Instances that end above a threshold without being seeds are identifiers that the fixed patterns miss.
 All of it is DataFrame functions.
 """
 
@@ -174,23 +174,35 @@ def scanned(docs: DataFrame, text_col: str = "text", keep: tuple[str, ...] = ("d
 
 
 def discover(scan: DataFrame) -> DataFrame:
-    """(row, kind, start, stop) of instances that patterns find and base spans don't touch."""
+    """(row, kind, start, stop) of instances that patterns find and base spans don't touch.
+
+    A pattern's score for a kind is the share of its positives, which are seeds and, from the second round on, what was found as that kind. Its negatives
+    are seeds of other kinds, what was found as another kind and tokens too short to identify anybody; tokens that nothing is known of are negatives
+    of patterns with one neighbour or none, but not of contexts (both neighbours), whose instances may all be of a form that no seed has.
+    """
     key = ["row", "start", "stop"]
     flat = scan.select("row", F.explode("tokens").alias("t")).select("row", "t.start", "t.stop", "t.shape", "t.left", "t.right", "t.seed")
-    pattern = lambda name, *cols: F.concat_ws("\x00", F.lit(name), *cols)
-    patterns = F.array(pattern("shape", "shape"), pattern("left", "left", "shape"), pattern("right", "right", "shape"), pattern("word", "left"))
-    edges = written(flat.select(*key, "seed", F.explode(patterns).alias("pattern")), "pii-graph")
-    totals = edges.groupBy("pattern").agg(F.count("*").alias("n"))
+    pattern = lambda name, *cols: F.struct(F.lit(name == "context").alias("context"), F.xxhash64(F.lit(name), *cols).alias("pattern"))
+    # Another identifier beside one is no word: it tells of lists and of parts of numbers, not of kinds.
+    before, after = F.col("left") != "<id>", F.col("right") != "<id>"
+    words = [F.when(before, pattern("left", "left", "shape")), F.when(after, pattern("right", "right", "shape")), F.when(before, pattern("word", "left")), F.when(before & after, pattern("context", "left", "right"))]
+    patterns = F.array_compact(F.array(pattern("shape", "shape"), *words))
+    short = (F.col("stop") - F.col("start") < MIN_CHARS) & F.col("seed").isNull()
+    edges = written(flat.select(*key, "seed", short.alias("short"), F.explode(patterns).alias("p")).select(*key, "seed", "short", "p.context", "p.pattern"), "pii-graph")
+    totals = edges.groupBy("pattern").agg(F.count("*").alias("n"), F.count_if(F.col("short") | F.col("seed").isNotNull()).alias("known"))
     seeds = edges.filter("seed is not null").select(*key, F.col("seed").alias("kind"), F.lit(1.0).alias("score")).distinct()
-    scores = seeds
+    scores, found = seeds, None
     for _ in range(ROUNDS):
-        of = scores.join(edges.select(*key, "pattern"), key)
-        good = of.groupBy("pattern", "kind").agg(F.sum("score").alias("s"), F.count("*").alias("support")).filter(F.col("support") >= MIN_SEEDS)
-        good = good.join(totals, "pattern").select("pattern", "kind", (F.col("s") / F.col("n")).alias("score")).filter(F.col("score") >= MIN_SCORE)
-        found = edges.filter((F.col("stop") - F.col("start") >= MIN_CHARS) & F.col("seed").isNull()).join(good, "pattern").groupBy(*key).agg(F.max(F.struct("score", "kind")).alias("best"))
-        found = found.select(*key, F.col("best.kind").alias("kind"), F.col("best.score").alias("score"))
-        scores = written(seeds.unionByName(found), "pii-scores")
-    return scores.join(edges.filter("seed is null").select(*key).distinct(), key, "left_semi").select("row", "kind", "start", "stop")
+        of = scores.join(edges.select(*key, "pattern", "context", "seed"), key)
+        good = of.groupBy("pattern", "context", "kind").agg(F.sum("score").alias("s"), F.count("*").alias("support"), F.count_if(F.col("seed").isNull()).alias("new")).filter(F.col("support") >= MIN_SEEDS)
+        others = of.groupBy("pattern").agg(F.count_if(F.col("seed").isNull()).alias("all_new"))
+        good = good.join(totals, "pattern").join(others, "pattern")
+        judged = F.when(F.col("context"), F.col("known") + F.col("all_new")).otherwise(F.col("n"))
+        good = good.select("pattern", "kind", "context", (F.col("s") / judged).alias("score")).filter(F.col("score") >= MIN_SCORE)
+        new = edges.filter(~F.col("short") & F.col("seed").isNull()).drop("context").join(good, "pattern").groupBy(*key).agg(F.max(F.struct("context", "score", "kind")).alias("best"))
+        found = written(new.select(*key, F.col("best.kind").alias("kind"), F.col("best.score").alias("score")), "pii-scores")
+        scores = seeds.unionByName(found)
+    return found.select("row", "kind", "start", "stop")
 
 
 def spans(scan: DataFrame) -> DataFrame:
