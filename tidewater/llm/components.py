@@ -6,7 +6,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import forget, mark, written
+from .shared import forget, run, written
 
 
 def stars(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -37,18 +37,19 @@ def star_table(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     changes; every round is written to the shared folder. Loops and repeated edges do no harm.
     """
     now = written(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).filter("u <> v").distinct(), "edges")
-    state, begun = None, mark()
-    while not now.isEmpty():
-        both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        moved = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        now = written(moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
-        forget(edges.sparkSession, begun)  # the round before
-        after = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if after == state:
-            break
-        state = after
+    state = None
+    with run() as own:
+        while not now.isEmpty():
+            both = now.unionByName(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
+            large = both.filter("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+            least = large.groupBy("u").agg(F.min("v").alias("m"))
+            moved = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            now = written(moved.unionByName(least.select("u", F.col("m").alias("v"))).distinct(), "edges")
+            forget(edges.sparkSession, own)  # the round before
+            after = now.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+            if after == state:
+                break
+            state = after
     roots = now.select(F.col("v").alias("node")).distinct()
     return now.select(F.col("u").alias("node"), F.col("v").alias("root")).unionByName(roots.select("node", F.col("node").alias("root")))

@@ -4,13 +4,26 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _local_dirs: dict[str, str] = {}
-#: Paths of the tables written so far.
-_made: list[str] = []
+
+
+class Run(list):
+    """Paths of the tables that one run wrote, in a folder of its own."""
+
+    def __init__(self):
+        super().__init__()
+        self.name = uuid.uuid4().hex
+
+
+#: The run that tables belong to, apart for each thread.
+_run: ContextVar[Run | None] = ContextVar("run", default=None)
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -29,24 +42,34 @@ def shared_dir(spark: SparkSession) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a Parquet table in the shared folder: lineage ends here, lost executors cost nothing."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/tables/{name}-{uuid.uuid4().hex}"
+    own = _run.get()
+    path = f"{shared_dir(spark)}/tables/{'' if own is None else own.name + '/'}{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    _made.append(path)
+    if own is not None:
+        own.append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
-def mark() -> int:
-    """How many tables were written so far."""
-    return len(_made)
+@contextmanager
+def run() -> Iterator[Run]:
+    """Tables written within belong to a run of their own, whatever other threads write; see ``forget``. What is left of it passes to the run around it."""
+    own, around = Run(), _run.get()
+    token = _run.set(own)
+    try:
+        yield own
+    finally:
+        _run.reset(token)
+        if around is not None:
+            around += own
 
 
-def forget(spark: SparkSession, since: int, keep: int = 1) -> None:
-    """Deletes the tables written since a ``mark``, but for the last ``keep``; nothing may read them any more."""
-    until = max(since, len(_made) - keep)
-    for path in _made[since:until]:
+def forget(spark: SparkSession, own: Run, since: int = 0, keep: int = 1) -> None:
+    """Deletes the tables of a run but for the first ``since`` and the last ``keep``; nothing may read them any more."""
+    until = max(since, len(own) - keep)
+    for path in own[since:until]:
         where = spark._jvm.org.apache.hadoop.fs.Path(path)
         where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
-    del _made[since:until]
+    del own[since:until]
 
 
 def free_name(df: DataFrame, name: str) -> str:
