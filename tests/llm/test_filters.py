@@ -3,9 +3,10 @@ import hashlib
 import random
 import re
 
+import pytest
 from pyspark.sql import functions as F
 
-from tidewater.llm import digest, pii, rules
+from tidewater.llm import digest, lm, pii, rules, simhash, suffix
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -111,3 +112,29 @@ def test_masking_keeps_columns(spark):
     out = pii.mask(docs)
     assert out.columns == docs.columns
     assert {tuple(r) for r in out.collect()} == {(1, "x <EMAIL> y <PHONE>", 19, "q"), (2, None, None, "z"), (3, "clean", 5, None)}
+
+
+@pytest.mark.parametrize("range_bytes", [1 << 30, 200, 40])
+def test_followers_where_one_id_and_null_hold_most_rows(spark, range_bytes):
+    rng = random.Random(range_bytes)
+    word = lambda: "".join(rng.choice("abcÉß ") for _ in range(rng.randrange(0, 12)))
+    rows = [(rng.choice([7, 7, 7, None, None, rng.randrange(-50, 50), -(1 << 63), (1 << 63) - 1]), rng.choice([None, word(), word()])) for _ in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    hashed = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).withColumn("h", F.xxhash64("text")).collect()
+    order = sorted(((r["doc_id"], r["text"], r["h"]) for r in hashed), key=lambda r: (r[0] is None, -(r[0] or 0), r[2], r[1]))
+    want = collections.Counter((r[0], r[1], order[(i + 1) % len(order)][1]) for i, r in enumerate(order))
+    got = digest.followed(docs, range_bytes=range_bytes)
+    assert collections.Counter((r["id"], r["text"], r["next_text"]) for r in got.collect()) == want
+
+
+def test_ids_called_like_the_new_columns(spark):
+    docs = spark.createDataFrame([(1, "a b"), (2, "A  b")], "fingerprint long, text string")
+    got = digest.groups(docs, "fingerprint")
+    assert got.columns == ["fingerprint", "fingerprint_", "group_id"] and {r["fingerprint"]: r["group_id"] for r in got.collect()} == {1: 1, 2: 1}
+    assert simhash.fingerprints(docs.withColumnRenamed("fingerprint", "fp"), "fp").columns == ["fp", "fp_"]
+    named = lm.scores(docs.withColumnRenamed("fingerprint", "n_words"), "n_words")
+    assert named.columns == ["n_words", "n_words_", "log_score"] and sorted(r["n_words"] for r in named.collect()) == [1, 2]
+    texts = docs.withColumn("fingerprint", F.lit("x"))
+    for refused in (lambda: lm.scores(texts, "fingerprint"), lambda: suffix.dedup(texts, "fingerprint")):
+        with pytest.raises(TypeError, match="integer"):
+            refused()

@@ -3,7 +3,7 @@ import random
 import numpy as np
 import pytest
 
-from tidewater.llm import html, langid, minhash, packing, pii, rules, simhash
+from tidewater.llm import bpe, html, langid, minhash, packing, pii, rules, simhash
 
 
 def test_large_leaves_are_split_again_and_lose_no_link(spark, monkeypatch):
@@ -88,3 +88,30 @@ def test_the_learned_sample_does_not_depend_on_partitions(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
     one, other = (langid.train(docs.repartition(n), sample=90) for n in (1, 7))
     assert one.langs == ["de", "en", "fr", "xx"] and (one.weights == other.weights).all() and one.temperature == other.temperature
+
+
+def test_few_usable_texts_among_many_null_and_repeated_ones_are_learned(spark):
+    """A language of one usable text, of one row repeated, and rows that share an id."""
+    rows = [(i, "the of and to in", "en") for i in range(400)] + [(i, None, "fr") for i in range(3000)] + [(5000, "le la et un", "fr")]
+    rows += [(9, "der die und das", "de")] * 700 + [(3, f"el los y {i}", "es") for i in range(700)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = langid.train(docs, sample=40)
+    assert model.langs == ["de", "en", "es", "fr"]
+    assert model.predict("los y el")[0] == "es"  # one text alone is too little to be told by
+
+
+def test_more_languages_than_a_model_holds_are_refused(spark, monkeypatch):
+    monkeypatch.setattr(langid, "MAX_LANGS", 2)
+    docs = spark.createDataFrame([(i, "some text", f"l{i}") for i in range(3)], "doc_id long, text string, lang string")
+    with pytest.raises(ValueError, match="more than 2"):
+        langid.train(docs)
+
+
+def test_names_are_compared_without_case(spark):
+    docs = spark.createDataFrame([(1, "no", 3)], "doc_id long, text string, Lang_Pred int")
+    model = langid.Model([], np.zeros(langid.FEATURES), np.zeros((langid.FEATURES, 0)), np.zeros(0), 1.0)
+    assert langid.predict(docs, model).columns == ["doc_id", "lang_pred", "score"]
+    ids = spark.createDataFrame([(1, "no", b"")], "doc_id long, text string, IDS binary")
+    for call in (lambda: bpe.encode(ids, "path"), lambda: bpe.decode(ids.withColumnRenamed("text", "Decoded"), "path", "IDS")):
+        with pytest.raises(ValueError, match="exists"):
+            call()

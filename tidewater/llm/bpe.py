@@ -310,12 +310,12 @@ def load_names(path: str) -> Names:
 def encode(df: DataFrame, path: str, text_col: str = "text", out: str = "ids") -> DataFrame:
     """Adds ``out``: the ids of ``text_col`` as binary, little-endian unsigned 32-bit; null and empty texts give no ids.
 
-    All other columns stay; ``text_col`` is dropped, as ids replace it. An existing column ``out`` is
-    an error. Each row is encoded by itself: no shuffle, no limit on length.
+    All other columns stay; ``text_col`` is dropped, as ids replace it. Another column ``out`` is
+    an error (names are compared without case). Each row is encoded by itself: no shuffle, no limit on length.
     """
-    if out in df.columns:
+    keep = [c for c in df.columns if c.lower() != text_col.lower()]
+    if out.lower() in map(str.lower, keep):
         raise ValueError(f"column {out} exists")
-    keep = [c for c in df.columns if c != text_col]
     schema = T.StructType([*(df.schema[c] for c in keep), T.StructField(out, T.BinaryType(), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -330,8 +330,11 @@ def encode(df: DataFrame, path: str, text_col: str = "text", out: str = "ids") -
 
 
 def decode(df: DataFrame, path: str, ids_col: str = "ids", out: str = "decoded") -> DataFrame:
-    """Adds ``out``: the decoded text of a binary ``ids_col``; null and empty ids give the empty text, unknown ids nothing."""
-    if out in df.columns:
+    """Adds ``out``: the decoded text of a binary ``ids_col``; null and empty ids give the empty text, unknown ids nothing.
+
+    A column ``out`` (names are compared without case) is an error.
+    """
+    if out.lower() in map(str.lower, df.columns):
         raise ValueError(f"column {out} exists")
     schema = T.StructType([*df.schema.fields, T.StructField(out, T.StringType(), False)])
 

@@ -8,11 +8,16 @@ the bytes of the canonical forms decide, so a collision would not join two texts
 
 from __future__ import annotations
 
+import math
+from collections import Counter
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .shared import shuffle_parts, written
+from .shared import free_name, parts, written
 
+#: Bytes of text that one range of ids holds about, see ``followed``.
+RANGE_BYTES = 128 << 20
 _SPACE = r"[\s\x1c-\x1f\x85\p{Z}]+"
 
 
@@ -32,7 +37,7 @@ def wide_hash(form: Column) -> Column:
 
 
 def fingerprints(docs: DataFrame, text_col: str = "text", out: str = "fingerprint") -> DataFrame:
-    """Adds ``out`` to ``docs``: equal canonical forms have equal fingerprints. Null texts count as empty."""
+    """Adds ``out`` to ``docs``: equal canonical forms have equal fingerprints. Null texts count as empty; a column ``out`` (names are compared without case) is replaced."""
     return docs.withColumn(out, wide_hash(canonical(F.col(text_col))))
 
 
@@ -61,34 +66,52 @@ def resolved(fingerprint: Column, form: Column, mixed: list[str]) -> Column:
 def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, fingerprint, group_id): group_id is the smallest id of the rows whose canonical forms have the same bytes.
 
-    A null id is never the smallest, unless a group has no other. Each row stays a row.
+    A null id is never the smallest, unless a group has no other. Each row stays a row. Where the id is
+    itself called ``fingerprint`` or ``group_id``, the new column of that name gets an underscore.
     """
     table, mixed = buckets(docs, id_col, text_col)
     form = canonical(F.col(text_col))
-    return docs.select(id_col, resolved(wide_hash(form), form, mixed).alias("fingerprint")).join(table, "fingerprint").select(id_col, "fingerprint", "group_id")
+    own = docs.select(F.col(id_col).alias("id"), resolved(wide_hash(form), form, mixed).alias("fingerprint"))
+    names = [free_name(docs.select(id_col), c) for c in ("fingerprint", "group_id")]
+    return own.join(table, "fingerprint").select(F.col("id").alias(id_col), *(F.col(c).alias(n) for c, n in zip(("fingerprint", "group_id"), names)))
 
 
-def followed(docs: DataFrame, id_col: str, text_col: str, parts: int) -> DataFrame:
+def followed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", range_bytes: int = RANGE_BYTES) -> DataFrame:
     """(id, text, fingerprint, next_text, next_fingerprint): the row that follows in descending order of the id; after the last the first.
 
-    Null ids come last, equal ids in the order of their texts; null texts count as empty. Rows are dealt
-    out once, by ranges between quantiles of the id. Within a range a window finds the follower; the
-    last row of each range, one for each of at most ``parts + 2`` ranges, gets the first row of the next.
+    Null ids come last, equal ids (nulls too) in the order of the XXH64 values of their texts, then of the
+    texts; null texts count as empty. Rows are dealt out once, to ranges of about ``range_bytes``: between
+    quantiles of the id, and by the hash within an id that is several quantiles, or null. Within a range a
+    window finds the follower; the last row of each range gets the first row of the next. What comes to
+    the driver is one row for each range.
     """
-    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text"))
-    cuts = docs.agg(F.percentile_approx(id_col, [i / parts for i in range(1, parts)], 100 * parts)).first()[0] if parts > 1 else []
-    bounds = F.array(*map(F.lit, sorted(set(cuts or [])))).cast("array<bigint>")
-    part = F.when(F.col("id").isNull(), F.lit(parts + 1)).otherwise(F.size(F.filter(bounds, lambda b: b > F.col("id"))))
-    heads = sorted((r["part"], r["id"]) for r in rows.groupBy(part.alias("part")).agg(F.max("id").alias("id")).collect())
+    spark = docs.sparkSession
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(text_col, F.lit("")).alias("text")).withColumn("h", F.xxhash64("text"))
+    size, unnamed = rows.agg(*(F.coalesce(F.sum(F.when(c, F.octet_length("text"))), F.lit(0)) for c in (F.lit(True), F.col("id").isNull()))).first()
+    n = parts(spark, size, range_bytes)
+    cuts = docs.agg(F.percentile_approx(id_col, [i / n for i in range(1, n)], 10 * n)).first()[0] if n > 1 else []
+    times = Counter(cuts or [])
+    bounds, wide = sorted(times), {i: k for i, k in times.items() if k > 1}
+    # A row's place among the bounds, by chunks of them, and among the ranges of its own id.
+    longs = lambda xs: F.split(F.lit(",".join(map(str, xs))), ",").cast("array<bigint>") if xs else F.array().cast("array<bigint>")
+    up_to = lambda xs: F.size(F.filter(xs, lambda x: x <= F.col("id")))
+    chunk = math.isqrt(len(bounds)) + 1
+    full = up_to(longs(bounds[chunk - 1 :: chunk]))
+    above = len(bounds) - (full * chunk + up_to(F.slice(longs(bounds), full * chunk + 1, chunk)))
+    piece = lambda k: 1 + F.floor((F.shiftright("h", 40) + (1 << 23)) * k / (1 << 24))
+    own = F.coalesce(piece(F.element_at(F.map_from_arrays(longs(list(wide)), longs(list(wide.values()))), F.col("id"))), F.lit(0)) if wide else F.lit(0)
+    split = unnamed // range_bytes + 1
+    part = F.when(F.col("id").isNull(), F.lit(n) * n + piece(split)).otherwise(above * F.lit(n) + own).cast("long")  # an id has n - 1 ranges at most
     whole = rows.withColumn("part", part)
+    heads = sorted((r["part"], r["id"]) for r in whole.groupBy("part").agg(F.max("id").alias("id")).collect())
     printed = lambda df: df.withColumn("fingerprint", wide_hash(canonical(F.col("text"))))
-    within = Window.partitionBy("part").orderBy(F.col("id").desc_nulls_last(), "text")
+    within = Window.partitionBy("part").orderBy(F.col("id").desc_nulls_last(), "h", "text")
     led = printed(whole).withColumns({"next_text": F.lead("text").over(within), "next_fingerprint": F.lead("fingerprint").over(within)})
     after = [(p, *heads[(i + 1) % len(heads)]) for i, (p, _) in enumerate(heads)]
-    table = docs.sparkSession.createDataFrame(after, "part int, next_part int, next_id long")  # a row for each range
+    table = spark.createDataFrame(after, "part long, next_part long, next_id long")  # three numbers for each range
     first = whole.join(F.broadcast(table.select("next_part", "next_id")), (F.col("part") == F.col("next_part")) & F.col("id").eqNullSafe(F.col("next_id")))
-    first = printed(first.groupBy("next_part").agg(F.min("text").alias("text")))
-    first = F.broadcast(table).join(first, "next_part").select("part", F.col("text").alias("first_text"), F.col("fingerprint").alias("first_fingerprint"))
+    first = printed(first.groupBy("next_part").agg(F.min(F.struct("h", "text"))["text"].alias("text")))
+    first = table.join(first, "next_part").select("part", F.col("text").alias("first_text"), F.col("fingerprint").alias("first_fingerprint"))
     return led.join(first, "part", "left").select(
         "id", "text", "fingerprint", F.coalesce("next_text", "first_text").alias("next_text"), F.coalesce("next_fingerprint", "first_fingerprint").alias("next_fingerprint")
     )
@@ -109,7 +132,7 @@ def query(docs: DataFrame) -> DataFrame:
     """Fingerprints of all documents and of their edited texts, with the group of each document."""
     docs = docs.select("doc_id", "text")
     table, mixed = buckets(docs)
-    rows = followed(docs, "doc_id", "text", 2 * shuffle_parts(docs.sparkSession))
+    rows = followed(docs)
     rows = rows.withColumn("edited", edited(F.col("text"), F.col("next_text"))).withColumn("edited_fingerprint", wide_hash(canonical(F.col("edited"))))
     exact = lambda print_col, text_col: resolved(F.col(print_col), canonical(F.col(text_col)), mixed)
     out = rows.select(

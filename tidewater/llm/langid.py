@@ -20,6 +20,8 @@ FEATURES = 1 << 14
 #: Documents the weights are fitted on, at most, in equal shares of all languages (one of each at least); of them one in CALIBRATE for the temperature.
 SAMPLE_DOCS = 4000
 CALIBRATE = 5
+#: Languages that can be told apart, at most.
+MAX_LANGS = 512
 EPOCHS = 6
 BATCH = 16
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 0.02, 0.02
@@ -137,11 +139,14 @@ def learnable(id_col: str = "doc_id", lang_col: str = "lang") -> Column:
 
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", sample: int = SAMPLE_DOCS) -> Model:
-    """Learns from the rows of ``docs``, all of which have a language; null texts and texts without letters are left out.
+    """Learns from the rows of ``docs``, all of which have a language; null texts and texts without letters are left out first.
 
     The weights are fitted on ``sample`` rows at most, in equal shares of all languages: those with the
-    smallest hashes of their ids, then of their texts, so they don't depend on how rows are dealt out.
+    smallest hashes of id and text, repeated rows once, so they don't depend on how rows are dealt out.
+    Each language with a usable text gives a row at least. More than ``MAX_LANGS`` languages are an error,
+    as the model holds ``FEATURES`` numbers for each.
     """
+    docs = docs.filter(F.col(text_col).rlike(r"\p{L}"))
 
     def frequencies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total, n = np.zeros(FEATURES, np.int64), 0
@@ -170,14 +175,17 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", id_co
                     rows.append((b.column(1)[i].as_py(), b.column(2)[i].as_py(), at.astype("<i4").tobytes(), c[at].astype("<i4").tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.string(), pa.binary(), pa.binary()))], ["h", "lang", "at", "count"])
 
-    sizes = docs.groupBy(F.col(lang_col).alias("lang")).agg(F.count("*").alias("n")).collect()  # a row for each language
+    hashed = docs.select(F.col(text_col).alias("text"), F.xxhash64(id_col, text_col).alias("h"), F.col(lang_col).alias("lang"))
+    rank = F.pmod("h", F.lit(_HASHES))
+    sizes = hashed.groupBy("lang").agg(F.approx_count_distinct("h").alias("n"), F.min(rank).alias("least")).limit(MAX_LANGS + 1).collect()  # a row for each language
+    if len(sizes) > MAX_LANGS:
+        raise ValueError(f"{lang_col} has more than {MAX_LANGS} values")
     share = max(1, sample // max(1, len(sizes)))
     # So few hashes lie under a language's bound that a window over them is small, and hardly ever fewer than its share.
-    bounds = [(r["lang"], min(_HASHES, (2 * share + 64) * _HASHES // r["n"])) for r in sizes]
+    bounds = [(r["lang"], max(r["least"] + 1, min(_HASHES, (2 * share + 64) * _HASHES // r["n"]))) for r in sizes]
     bounded = F.broadcast(docs.sparkSession.createDataFrame(bounds, "lang string, bound long"))
-    hashed = docs.select(F.col(text_col).alias("text"), F.xxhash64(id_col).alias("h"), F.xxhash64(text_col).alias("t"), F.col(lang_col).alias("lang"))
-    near = hashed.join(bounded, "lang").filter(F.pmod("h", F.lit(_HASHES)) < F.col("bound"))
-    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(_HASHES)), "h", "t"))
+    near = hashed.join(bounded, "lang").filter(rank < F.col("bound")).groupBy("lang", "h").agg(F.min("text").alias("text"))
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(rank, "h"))
     picked = near.withColumn("place", place).filter(F.col("place") <= share).select("text", "h", "lang")
     rows = picked.mapInArrow(vectors, "h long, lang string, at binary, count binary").collect()  # at most `sample`, or one of each language
     rows.sort(key=lambda r: (r["h"], r["lang"], r["count"]))
@@ -201,9 +209,9 @@ def predict(docs: DataFrame, model: Model, text_col: str = "text", out: tuple[st
 
     A null text or one without a letter gets ``und`` and 0, as does every text if nothing was learned;
     of equally likely languages the first by name is taken.
-    Existing columns of these names are replaced; ``text_col`` is dropped.
+    Existing columns of these names (compared without case) are replaced; ``text_col`` is dropped.
     """
-    keep = [c for c in docs.columns if c != text_col and c not in out]
+    keep = [c for c in docs.columns if c.lower() not in {n.lower() for n in (text_col, *out)}]
     kinds = ", ".join([*(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in keep), f"{out[0]} string, {out[1]} double"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -18,8 +18,9 @@ import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .shared import parts, text_bytes
+from .shared import free_name, parts, text_bytes
 
 ORDER = 3
 BACKOFF = 0.4
@@ -256,8 +257,12 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
     the document has count); a word found nowhere else counts like one more word, 1 / (words + 1). Null
     and wordless texts have no words and score 0. Equal texts in several rows see each other; rows with
     equal or null ids are scored like others. ``docs`` is a table, or other rows that come in the same
-    order when a lost task runs again (write them first if they come out of a shuffle).
+    order when a lost task runs again (write them first if they come out of a shuffle). Ids must be
+    numbers, others are an error. Where the id is itself called ``n_words`` or ``log_score``, the new column
+    of that name gets an underscore.
     """
+    if not isinstance(docs.schema[id_col].dataType, T.IntegralType):
+        raise TypeError(f"{id_col} must be an integer column")
     shards = parts(docs.sparkSession, text_bytes(docs, text_col), SHARD_BYTES)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).cast("binary").alias("data"))
     # One exchange, which all orders read.
@@ -277,7 +282,7 @@ def scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", orde
         answers = asked.groupBy("shard").applyInArrow(adder(n), tells)
         told = answers if told is None else told.unionByName(answers)
     out = dealt.groupBy("block").cogroup(told.groupBy("block")).applyInArrow(lambda t, s: score(t, s, order), "id long, n_words long, log_score double")
-    return out.withColumnRenamed("id", id_col)
+    return out.toDF(id_col, *(free_name(docs.select(id_col), c) for c in ("n_words", "log_score")))
 
 
 def query(docs: DataFrame) -> DataFrame:

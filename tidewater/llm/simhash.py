@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from . import minhash
 from .components import star_table, stars
-from .shared import written
+from .shared import free_name, written
 
 SHINGLE_WORDS = 3
 SEED = 42
@@ -53,16 +53,17 @@ def fingerprint(text: str | None, words: int = SHINGLE_WORDS) -> int:
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = SHINGLE_WORDS) -> DataFrame:
-    """(id, fp): the fingerprint of every row as a signed long; null texts count as empty."""
+    """(id, fp): the fingerprint of every row as a signed long (``fp_`` if the id is itself called ``fp``); null texts count as empty."""
+    fp = free_name(docs.select(id_col), "fp")
     kind = docs.schema[id_col].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             texts = b.column(1)
             found = np.fromiter((fingerprint(texts[i].as_py(), words) for i in range(b.num_rows)), np.uint64, b.num_rows)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found.view(np.int64))], [id_col, "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(found.view(np.int64))], [id_col, fp])
 
-    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, fp long")
+    return docs.select(id_col, text_col).mapInArrow(run, f"`{id_col}` {kind}, {fp} long")
 
 
 def distance(a: np.ndarray, v: np.uint64) -> np.ndarray:

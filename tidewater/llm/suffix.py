@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .rindex import LIMIT, RunIndex
 from .shared import parts, text_bytes
@@ -393,8 +394,11 @@ def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", carry
 
     A byte is removed if a string of 50 bytes covers it that also starts in a document with a smaller
     id; texts count as they come in. Null texts are empty. Rows with equal ids keep a row each and don't
-    match each other; rows with a null id are neither searched nor found, and stay whole.
+    match each other; rows with a null id are neither searched nor found, and stay whole. Ids must be integers, others
+    are an error.
     """
+    if not isinstance(docs.schema[id_col].dataType, T.IntegralType):
+        raise TypeError(f"{id_col} must be an integer column")
     size = text_bytes(docs, text_col)
     blocks, shards = parts(docs.sparkSession, size, BLOCK_BYTES), parts(docs.sparkSession, size, SHARD_BYTES)
     more = [f"c{i}" for i in range(len(carry))]
