@@ -6,9 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import formats, lines, links, more, named, records, star, texts
+from . import formats, lines, links, more, named, older, records, star, texts
 
-MODULES = (star, texts, lines, links, more, named, records, formats)
+MODULES = (star, texts, lines, links, more, named, records, formats, older)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
