@@ -81,6 +81,11 @@ def first_case(pairs: list[tuple[Column, object]], rest: object) -> Column:
     return rest if out is None else out.otherwise(rest)
 
 
+def let(value: Column, body) -> Column:
+    """``body(value)``, for a value that is dear and used more than once: it is computed once."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
 def has_any(c: Column, parts) -> Column:
     return reduce(lambda a, b: a | b, (F.contains(c, F.lit(p)) for p in parts))
 
@@ -130,23 +135,27 @@ def parse_record(line: Column) -> Column:
     early = F.contains(line, F.lit("@")) & line.rlike(EARLY)
     standard = line.rlike(r"^(?:\w+\.\s+)?\d{1,2}\s+") & line.rlike(STANDARD)
     condensed = F.contains(line, F.lit("-")) & line.rlike(CONDENSED)
-    kind = first_case([(early, "early_at"), (standard, "standard_dash"), (condensed, "condensed")], F.lit(None).cast("string"))
-
-    def field(e: int | None, s: int | None, c: int | None) -> Column:
-        of = lambda p, g: F.lit(None).cast("string") if g is None else part(line, p, g)
-        return first_case([(early, of(EARLY, e)), (standard, of(STANDARD, s)), (condensed, of(CONDENSED, c))], F.lit(None).cast("string"))
-
-    clean = lambda c: F.trim(F.replace(c, F.lit("(s)"), F.lit("")))
-    return F.struct(
-        kind.alias("format_type"),
-        field(1, 1, None).alias("month"),
-        F.try_to_number(field(2, 2, None), F.lit("99")).cast("int").alias("day"),
-        clean(field(3, 3, 1)).alias("ship_name"),
-        F.contains(line, F.lit("(s)")).alias("is_steamship"),
-        F.trim(field(4, 4, 2)).alias("origin_port"),
-        F.trim(field(5, 5, 3)).alias("cargo"),
-        F.trim(field(None, 6, 4)).alias("merchant"),
-    )
+    # All groups by one match: no group but the last can hold the mark. Early lines have their cargo last, others their merchant.
+    mark = "\x1f-\x1f"
+    found = lambda kind, pattern, *groups: F.concat(F.array(F.lit(kind)), F.split(F.regexp_replace(line, pattern + "(?s:.*)", mark.join(groups)), mark, 6))
+    fields = F.when(early, found("early_at", EARLY, "$1", "$2", "$3", "$4", "", "$5")).when(standard, found("standard_dash", STANDARD, "$1", "$2", "$3", "$4", "$5", "$6"))
+    fields = fields.when(condensed, found("condensed", CONDENSED, "", "", "$1", "$2", "$3", "$4"))
+
+    def record(f: Column) -> Column:
+        field = lambda i: F.nullif(F.get(f, i), F.lit(""))
+        clean = lambda c: F.trim(F.replace(c, F.lit("(s)"), F.lit("")))
+        return F.struct(
+            F.get(f, 0).alias("format_type"),
+            field(1).alias("month"),
+            F.try_to_number(field(2), F.lit("99")).cast("int").alias("day"),
+            clean(field(3)).alias("ship_name"),
+            F.contains(line, F.lit("(s)")).alias("is_steamship"),
+            F.trim(field(4)).alias("origin_port"),
+            F.trim(F.when(F.get(f, 0) == "early_at", field(6)).otherwise(field(5))).alias("cargo"),
+            F.trim(F.when(F.get(f, 0) != "early_at", field(6))).alias("merchant"),
+        )
+
+    return let(fields, record)
 
 
 def confidence(own_place: Column, own_date: Column) -> Column:
