@@ -1,5 +1,6 @@
 import collections
 import datetime
+import os
 import random
 from difflib import SequenceMatcher
 
@@ -8,6 +9,9 @@ from pyspark.sql import functions as F
 
 from tidewater.operators import linkage as L
 from tidewater.operators import records as R
+from tidewater.plans import catalog
+
+SF = "/root/testdata/sf0.001"
 
 
 def ratio(a, b):
@@ -150,3 +154,20 @@ def test_close_pairs(spark):
     got = {(r["x"], r["y"]) for r in L.close_pairs(df, df.withColumnRenamed("x", "y"), "x", "y").collect()}
     pairs = df.distinct().alias("l").join(df.distinct().withColumnRenamed("x", "y"), F.lit(True)).filter(L.similarity(F.col("x"), F.col("y")) >= 0.8)
     assert got == {(r["x"], r["y"]) for r in pairs.collect()}
+
+
+def test_quantities_of_matches_are_those_of_the_labels(spark):
+    autos, humans = sides(random.Random(17))
+    frame = lambda x, s: spark.createDataFrame([(k, *r[1:], float(k % 13)) for k, r in enumerate(x)], f"{s}_id long, date date, port string, commodity string, {s}_quantity double")
+    a, h = frame(autos, "auto"), frame(humans, "human")
+    labels = [r for r in R.record_labels(a, h).collect() if r["match_type"].startswith("1:")]
+    got = collections.Counter((r["auto_id"], r["human_quantity"]) for r in R.matched_quantities(a, h).collect())
+    assert got == collections.Counter((r["auto_id"], float(r["human_id"] % 13)) for r in labels) and len(got) > 50
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+@pytest.mark.parametrize("name", ["j12_record_labels", "a15_record_scores", "a17_by_port", "a17_by_commodity"])
+def test_the_tables_are_joined_once(spark, name):
+    """What is left to run when the query returns reads the written records, not the tables."""
+    read = catalog.queries()[name](spark, SF).inputFiles()
+    assert read and not any("lineitem" in f for f in read)
