@@ -171,3 +171,31 @@ def test_the_tables_are_joined_once(spark, name):
     """What is left to run when the query returns reads the written records, not the tables."""
     read = catalog.queries()[name](spark, SF).inputFiles()
     assert read and not any("lineitem" in f for f in read)
+
+
+def test_near_quantities_are_those_of_all_pairs(spark):
+    rng = random.Random(18)
+    amount = lambda: rng.choice([None, 0.0, 5e-324, 1e308, -3.5, -7.0, float("nan"), 95.0, 90.0, 100.0, 99.99, *(rng.randrange(1, 400) / rng.choice([3, 7, 10, 100]) for _ in range(24))])
+    day = lambda: rng.choice([None, *(datetime.date(1969, 12, 1) + datetime.timedelta(rng.randrange(70)) for _ in range(12))])
+    a, h = ([(rng.choice(["riga", "memel", None]), day(), amount()) for _ in range(300)] for _ in range(2))
+    want = collections.defaultdict(lambda: [0, 0, 0])
+    for p, d, x in a:
+        for q, e, y in h:
+            if p and p == q and d and e and abs((d - e).days) <= 14:
+                want[p][0] += 1
+                if x is not None and y is not None and x == x and y == y and max(x, y) != 0:
+                    want[p][1] += abs(x - y) / max(x, y) <= 0.05
+                    want[p][2] += abs(x - y) / max(x, y) <= 0.10
+    autos, humans = (spark.createDataFrame(x, "key string, date date, quantity double") for x in (a, h))
+    keys = spark.createDataFrame([("riga", "riga"), ("memel", "memel")], "a_key string, b_key string")
+    got = {r["key"]: list(r)[1:] for r in R.near_quantities(autos, humans, keys).collect()}
+    assert got == dict(want) and min(map(min, got.values())) > 50
+
+
+def test_all_quantities_make_no_pairs(spark):
+    """Twice the events of the same days: rows grow with the events, pairs would grow fourfold."""
+    most = []
+    for n in (2000, 4000):
+        own = spark.range(n).select(F.lit("riga").alias("key"), F.date_add(F.lit("1883-01-01").cast("date"), (F.col("id") % 30).cast("int")).alias("date"), (F.col("id") / 7 + 1).alias("quantity"))
+        most.append(max(rows_made(R.near_quantities(own, own, spark.createDataFrame([("riga", "riga")], "a_key string, b_key string")))))
+    assert most[1] <= 2.2 * most[0] and most[1] < 100 * 4000
