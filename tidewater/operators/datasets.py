@@ -50,10 +50,18 @@ def commodity_flows_by_year(ships: DataFrame, cargo: DataFrame) -> DataFrame:
     return base.fillna({"top_origin": "", "top_destination": ""})
 
 
-def route_commodity_matrix(ships: DataFrame, cargo: DataFrame) -> DataFrame:
+def route_commodity_matrix(ships: DataFrame, cargo: DataFrame, parts: int | None = None) -> DataFrame:
+    """Shipments and items of each route, commodity and year.
+
+    Items are dealt to ``parts`` by their shipment (by default as many as shuffles have); the items of a shipment, which are counted
+    first, lie in one part, so that a task's memory is that of a part.
+    """
     keys = ["origin_port", "destination_port", "commodity", "year"]
-    joined = cargo.join(ships, "record_id").filter(given(*keys))
-    return joined.groupBy(*keys).agg(F.countDistinct("record_id").alias("num_ships"), F.count("*").alias("num_cargo_items"))
+    dealt = cargo.select("record_id", "commodity")
+    dealt = dealt.repartition(parts, "record_id") if parts else dealt.repartition("record_id")
+    joined = dealt.join(ships.select("record_id", "origin_port", "destination_port", "year"), "record_id").filter(given(*keys))
+    items = joined.groupBy(*keys, "record_id").agg(F.count("*").alias("items"))
+    return items.groupBy(*keys).agg(F.count("record_id").alias("num_ships"), F.sum("items").alias("num_cargo_items"))
 
 
 def port_roles(ships: DataFrame) -> DataFrame:
