@@ -65,3 +65,11 @@ def test_odd_rows(spark):
     assert kept.columns == docs.columns
     assert sorted(r["doc_id"] or 0 for r in kept.collect()) == [0, 1, 2, 9, 11]
     assert simhash.query(docs.limit(0)).count() == 0
+
+
+def test_texts_of_one_fingerprint_are_near_duplicates(spark):
+    """Fingerprints count repeats: texts that share most of their words are linked, though their sets of shingles are unlike."""
+    common = "alpha beta gamma " * 200
+    rows = [(1, common + " ".join(f"one{i}" for i in range(20)), 0), (2, common + " ".join(f"two{i}" for i in range(20)), 0), (3, "delta " * 50, 0)]
+    assert simhash.fingerprint(rows[0][1]) == simhash.fingerprint(rows[1][1])
+    assert sorted(r["doc_id"] for r in simhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string, x int")).collect()) == [1, 3]

@@ -169,10 +169,11 @@ def across(firsts: DataFrame, roots: DataFrame, every: bool) -> DataFrame:
     return found.select(F.least("s1", "s2").alias("a"), F.greatest("s1", "s2").alias("b")).distinct()
 
 
-def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", whole: bool = False) -> DataFrame:
+def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", whole: bool = False, alike: DataFrame | None = None) -> DataFrame:
     """(id, component_id) of every row of ``docs``; component_id is the smallest id that links lead to, null where no row has one.
 
-    If ``whole``: (id, h, root), the hash of the row's text and its component instead.
+    If ``whole``: (id, h, root), the hash of the row's text and its component instead. Texts whose hashes have one component_id in
+    ``alike`` (h, component_id) are linked, too.
     """
     known = written(signatures(docs, id_col, text_col), "signatures")
     nodes = written(known.groupBy("s").agg(F.min("id").alias("first"), F.min("h").alias("h"), F.first("bands").alias("bands")), "nodes")
@@ -181,6 +182,10 @@ def groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", whol
     members = written(buckets.join(several, "key").select("key", "a", "s"), "buckets")
     tried = written(members.filter("a <> s").select("a", F.col("s").alias("b")).distinct(), "pairs")
     links = written(confirmed(tried, written(sets(tried.select(F.explode(F.array("a", "b")).alias("s")), nodes, docs, text_col), "shingle-sets")), "links")
+    if alike is not None:
+        placed = written(known.select("h", "s").distinct().join(alike, "h").select("component_id", "s").distinct(), "alike")
+        least = placed.groupBy("component_id").agg(F.min("s").alias("a"))
+        links = links.unionByName(placed.join(least, "component_id").filter("a <> s").select("a", F.col("s").alias("b")))
     roots = written(star_table(links), "roots")
     placed = members.select("key", "s").join(roots, members["s"] == roots["node"], "left").select("key", "s", F.coalesce("root", "s").alias("root"))
     apart = placed.groupBy("key").agg(F.min("root").alias("p"), F.max("root").alias("q")).filter("p <> q").select("key")

@@ -232,14 +232,16 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """``docs`` without near-duplicates: of each group the row with the smallest ``doc_id`` stays, of several the one whose
     text has the smallest hash; rows without an id stay.
 
-    Groups are linked by five-word shingles with a similarity of 0.8 or more, which fingerprints of 64
-    bits can't tell apart at a radius that a tree can search. Of rows with equal ids and texts the one
-    with the smallest hash of all columns stays.
+    Texts are linked by their fingerprints, as ``groups`` finds them, and besides by five-word shingles with
+    a similarity of 0.8 or more, which fingerprints of 64 bits can't tell apart at a radius that a tree can
+    search. Of rows with equal ids and texts the one with the smallest hash of all columns stays.
     """
     own = {c: f"c{i}" for i, c in enumerate(docs.columns)}  # own names, so that none clashes
     rows = docs.select(*(F.col(f"`{c}`").alias(n) for c, n in own.items()))
     doc_id, text = own["doc_id"], own["text"]
-    grouped = minhash.groups(rows, doc_id, text, whole=True).filter(F.col("id").isNotNull())
+    hashes = rows.select(minhash.text_hash(text).alias("h"), F.col(text).alias("text"))
+    alike = groups(hashes, "h").select("h", "component_id").distinct()
+    grouped = minhash.groups(rows, doc_id, text, whole=True, alike=alike).filter(F.col("id").isNotNull())
     first = grouped.groupBy("root").agg(F.min(F.struct("id", "h")).alias("first")).select("first.id", "first.h").distinct()
     hashed = rows.withColumn("h", minhash.text_hash(text))
     kept = hashed.join(first, (F.col(doc_id) == F.col("id")) & (hashed["h"] == first["h"]), "left_semi")
