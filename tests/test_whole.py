@@ -105,3 +105,10 @@ def test_all_shipments_are_placed(spark):
     for y in {r["y"] for r in rows}:
         own = sorted((r for r in rows if r["y"] == y), key=lambda r: (r["m"], str(r["d"]) if r["record_id"] % 3 else "99", r["record_id"]))
         assert [got[r["record_id"]] for r in own] == list(range(1, len(own) + 1))
+
+
+def test_misspelled_names_of_many_rows_yield_to_far_more_frequent_ones(spark):
+    rows = [("Large",)] * 2000 + [("Largex",)] * 40 + [("largey",)] * 3 + [("mediums",)] * 50 + [("medium",)] * 60
+    got = L.normalize_commodities(spark.createDataFrame(rows, "raw string"), "raw").groupBy("raw", "commodity_name").count().collect()
+    want = {("Large", "large", 2000), ("Largex", "large", 40), ("largey", "large", 3), ("mediums", "mediums", 50), ("medium", "medium", 60)}
+    assert {tuple(r) for r in got} == want
