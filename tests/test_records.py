@@ -199,3 +199,25 @@ def test_all_quantities_make_no_pairs(spark):
         own = spark.range(n).select(F.lit("riga").alias("key"), F.date_add(F.lit("1883-01-01").cast("date"), (F.col("id") % 30).cast("int")).alias("date"), (F.col("id") / 7 + 1).alias("quantity"))
         most.append(max(rows_made(R.near_quantities(own, own, spark.createDataFrame([("riga", "riga")], "a_key string, b_key string")))))
     assert most[1] <= 2.2 * most[0] and most[1] < 100 * 4000
+
+
+def test_pairs_of_cells_are_those_of_a_double_loop(spark):
+    rng = random.Random(19)
+    day = lambda: rng.choice([None, *(datetime.date(1969, 12, 20) + datetime.timedelta(rng.randrange(40)) for _ in range(12))])
+    a, h = ([(i, day(), rng.choice(["riga", "memel", "memels", None])) for i in range(k, 300, 2)] for k in (0, 1))
+    alike = {("riga", "riga"): 1.0, ("memel", "memel"): 1.0, ("memel", "memels"): 0.833333}
+    want = {(i, j, alike[p, q]) for i, d, p in a for j, e, q in h if (p, q) in alike and d and e and abs((d - e).days) <= 14}
+    autos, humans = (spark.createDataFrame(x, f"{s}_id long, date date, key string") for x, s in ((a, "auto"), (h, "human")))
+    keys = spark.createDataFrame([(*k, v) for k, v in alike.items()], "a_key string, b_key string, total_score double")
+    for each in (1, 3, 1024):
+        got = [tuple(r) for r in L.cell_pairs(autos, humans, keys, each=each).collect()]
+        assert len(got) == len(set(got)) and set(got) == want and len(want) > 1000
+    assert L.cell_pairs(autos.limit(0), humans, keys).count() == 0
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="no test tables")
+def test_all_pairs_are_made_without_trying_others(spark):
+    """Names are compared before, and no operator makes more rows than there are pairs."""
+    pairs = catalog.queries()["j7_band_join_all"](spark, SF)
+    assert "levenshtein" not in pairs._jdf.queryExecution().optimizedPlan().toString()
+    assert max(rows_made(pairs)) == pairs.count() > 30000
