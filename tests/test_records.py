@@ -223,6 +223,40 @@ def test_all_pairs_are_made_without_trying_others(spark):
     assert max(rows_made(pairs)) == pairs.count() > 30000
 
 
+def bytes_moved(df):
+    """What the exchanges of the plan that ran were given, in bytes."""
+    q = df._jdf.queryExecution()
+    q.executedPlan().executeCollect()
+    out, todo = 0, [q.executedPlan()]
+    while todo:
+        p = todo.pop()
+        name = p.getClass().getSimpleName()
+        if name == "AdaptiveSparkPlanExec" or name.endswith("QueryStageExec"):
+            todo.append(p.executedPlan() if name == "AdaptiveSparkPlanExec" else p.plan())
+            continue
+        if name == "ShuffleExchangeExec":
+            out += p.metrics().get("dataSize").get().value()
+        kids = p.children()
+        todo += [kids.apply(i) for i in range(kids.size())]
+    return out
+
+
+def test_lists_are_not_moved_for_each_pair_of_lists(spark):
+    """Four times the events of the same days and names: what is moved grows with the events; a row for each two lists would be sixteen times as much."""
+    moved, day = [], F.date_add(F.lit("1883-01-01").cast("date"), (F.col("id") % 20).cast("int")).alias("date")
+    keys = spark.createDataFrame([("riga", "riga", 1.0)], "a_key string, b_key string, total_score double")
+    for n in (1500, 6000):
+        own = spark.range(n).select(F.col("id").alias("auto_id"), day, F.lit("riga").alias("key"))
+        pairs = L.cell_pairs(own, own.withColumnRenamed("auto_id", "human_id"), keys, each=8)
+        sums = pairs.agg(F.count("*").alias("n"), F.sum("auto_id").alias("a"), F.sum("human_id").alias("h"))
+        near = [(i, j) for i in range(20) for j in range(20) if abs(i - j) <= 14]
+        per = n // 20
+        total = sum(per * (per * i + 20 * (per * (per - 1) // 2)) for i, _ in near)
+        assert tuple(sums.collect()[0]) == (len(near) * per * per, total, total)
+        moved.append(bytes_moved(sums))
+    assert 0 < moved[1] <= 6 * moved[0]
+
+
 def test_classes_and_members_are_all_pairs(spark):
     """Copies, also in other cases and with blanks, missing dates and names: joined to their classes, records pair as a double loop says."""
     autos, humans = ([(k, *r[1:]) for k, r in enumerate(x)] for x in sides(random.Random(20)))
